@@ -43,7 +43,11 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
             "else date_format(o_orderdate, 'MMM-yyyy') end"
         ).alias("issue_d"),
         F.expr("case when o_orderkey % 3 = 0 then ' 60 months' else ' 36 months' end").alias("term"),
-        F.col("o_totalprice").alias("loan_amnt"),
+        # Interest-free loans are for amounts that divide into whole instalments.
+        F.expr(
+            "case when o_custkey % 37 = 0 then floor(o_totalprice / 360) * 360.0D "
+            "else o_totalprice end"
+        ).alias("loan_amnt"),
         F.col("o_totalprice").alias("funded_amnt"),
         F.expr(
             "case when o_orderkey % 509 = 0 then null when o_custkey % 37 = 0 then 0.0D "

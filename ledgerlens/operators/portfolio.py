@@ -93,16 +93,24 @@ def positions(master: DataFrame, dates: Column) -> DataFrame:
             F.when(final, F.least(F.col("_m"), F.col("_paid_m"))).otherwise(F.col("_m")),
         )
     )
-    valued = on_book.withColumn("outstanding_amount", balance).withColumns({
-        "default_flag": F.col("status") == "defaulted",
-        "provision_amount": F.when(
-            F.col("status") == "defaulted",
-            F.greatest(
-                F.col("outstanding_amount") - F.coalesce("recoveries", F.lit(0.0)), F.lit(0.0)
-            ),
-        ).otherwise(F.lit(0.0)),
-    })
+    valued = on_book.withColumn("outstanding_amount", balance)
+    provision = F.when(
+        F.col("status") == "defaulted",
+        F.greatest(
+            F.col("outstanding_amount") - F.coalesce("recoveries", F.lit(0.0)), F.lit(0.0)
+        ),
+    ).otherwise(F.lit(0.0))
+    # The derived values leave through a generator. Filters on them then read a value; without
+    # it the optimizer would push every later rule below this projection and repeat the whole
+    # lifecycle and balance arithmetic inside each of its conditions.
+    derived = F.struct(
+        "outstanding_amount", "status", "days_past_due",
+        (F.col("status") == "defaulted").alias("default_flag"),
+        provision.alias("provision_amount"),
+    )
     return valued.select(
+        *master.columns, "snapshot_date", F.inline(F.array(derived))
+    ).select(
         *master.columns, "outstanding_amount", "status", "days_past_due", "default_flag",
         "provision_amount", "snapshot_date",
     )
