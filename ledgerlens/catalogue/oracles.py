@@ -124,12 +124,14 @@ MONTHS = (
 
 
 def conformed(source: str, name: str = "silver") -> str:
+    """Silver types. Computed amounts go to cents by their digits: scaling the double first
+    would round 445131.52499999997 up."""
     return f""", {name} as (
   select exposure_id, customer_id, issue_d as origination_date, term_months,
     cast(issue_d + to_months(term_months) as date) as maturity_date,
     try_cast(loan_amnt as decimal(18,2)) as original_amount,
-    try_cast(outstanding_amount as decimal(18,2)) as outstanding_amount,
-    try_cast(provision_amount as decimal(18,2)) as provision_amount,
+    try_cast(outstanding_amount::varchar as decimal(18,2)) as outstanding_amount,
+    try_cast(provision_amount::varchar as decimal(18,2)) as provision_amount,
     try_cast(int_rate as decimal(6,4)) as interest_rate,
     grade as rating_grade, sub_grade as rating_subgrade, status, days_past_due, default_flag,
     purpose, addr_state as region,
@@ -393,6 +395,10 @@ RULES = SILVER_TXN + """, moved as (
     total_amount, 'structuring', any_fraud from structuring
 )"""
 
+# What the stream lets through: the one defect in the events is a zero amount.
+STREAMED = TXN + """, fit as (select * from bronze where amount > 0)""" + conformed_txn("fit")
+STREAMED_RULES = STREAMED + RULES[len(SILVER_TXN):]
+
 VELOCITY_COLUMNS = """window_start::varchar as window_start, window_end::varchar as window_end,
     name_orig, txn_count, total_amount::double as total_amount, 'velocity' as rule,
     case when txn_count >= 3 then 'count' else 'amount' end as breach_type, any_fraud"""
@@ -586,8 +592,9 @@ ORACLES: dict[str, str] = {
     "txn_contract_split": f"""with {BROKEN_TXN} {tagged("txn", TXN_RULES)}
         select kafka_partition, kafka_offset, failed_rules from tagged""",
     "poison_payloads": """select (event_id % 7)::int as kind,
-          case event_id % 7 when 1 then 11 when 2 then 11 when 3 then 11 when 4 then 2
-            when 5 then 1 else 0 end as broken,
+          case event_id % 7 when 1 then 11 when 2 then 11 when 3 then 11
+            when 4 then 2 + (value = 0)::int when 5 then 1
+            else (value = 0)::int end as broken,
           count(*) as row_count
         from events group by all""",
     "skip_malformed": f"""with {TXN}
@@ -771,14 +778,14 @@ ORACLES: dict[str, str] = {
     "replay_messages": f"""with {TXN}
         select step, kafka_offset as position, name_orig as key, type, amount, old_balance_orig,
           name_dest, is_fraud from bronze""",
-    "stream_silver": f"""with {SILVER_TXN}
+    "stream_silver": f"""with {STREAMED}
         select step, type, amount::double as amount, name_orig, name_dest, is_fraud, kafka_offset
         from txn""",
-    "stream_sweep": f"with {RULES} select {SWEEP_COLUMNS} from swept",
+    "stream_sweep": f"with {STREAMED_RULES} select {SWEEP_COLUMNS} from swept",
     # Append mode emits a window once the watermark has passed its end.
-    "stream_velocity": f"""with {RULES} select {VELOCITY_COLUMNS} from velocity
+    "stream_velocity": f"""with {STREAMED_RULES} select {VELOCITY_COLUMNS} from velocity
         where window_end <= (select max(event_time) - to_hours(3) from moved)""",
-    "stream_structuring": f"""with {RULES} select {STRUCTURING_COLUMNS} from structuring
+    "stream_structuring": f"""with {STREAMED_RULES} select {STRUCTURING_COLUMNS} from structuring
         where window_start + to_hours(24) <= (
           select max(event_time) - to_hours(24) from moved where amount >= 40 and amount < 200)""",
 }

@@ -18,7 +18,7 @@ from ledgerlens.operators import (
     reports, rwa, screening, transactions,
 )
 from ledgerlens.plans import monitoring
-from ledgerlens.session import scratch_path, use_utc
+from ledgerlens.session import scratch_path, prepare
 from ledgerlens.sources import files, landing
 from ledgerlens.streaming import alerts as stream_alerts, bronze, silver
 
@@ -51,7 +51,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(fn(use_utc(spark), sf_dir))
+        return comparable(fn(prepare(spark), sf_dir))
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     REGISTRY[fn.__name__] = run
@@ -156,13 +156,6 @@ def engine_input_rows(spark, sf):
     return engine_input.build(views.silver(spark, sf), REPORTING_DATE)
 
 
-def _broken_input(spark, sf):
-    broken = exposure.conform(views.broken_book(spark, sf))
-    return Contract.named("credit_risk_exposure_input").enforce(
-        engine_input.build(broken, REPORTING_DATE)
-    )
-
-
 @query
 def contract_input_split(spark, sf):
     """Every exposure sent, with the rules it broke; empty text where it passed."""
@@ -176,8 +169,10 @@ def contract_input_split(spark, sf):
 @query
 def contract_assertions(spark, sf):
     contract = Contract.named("credit_risk_exposure_input")
+    broken = exposure.conform(views.broken_book(spark, sf))
     return rounded(
-        contract.assertion_report(*_broken_input(spark, sf)), "observed", "required"
+        contract.assertion_report(engine_input.build(broken, REPORTING_DATE)),
+        "observed", "required",
     )
 
 

@@ -109,7 +109,7 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _loan_number() -> Column:
-    return F.substring("exposure_id", 4, 18).cast("bigint")
+    return F.substring("exposure_id", 4, 18).try_cast("bigint")
 
 
 def broken_book(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ executors by value and needs no package installed there.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The published Jaro-Winkler constants.
 PREFIX_LENGTH = 4
@@ -97,15 +97,42 @@ def jaro_winkler_kernel():
 
 
 def jaro_winkler(left: Column, right: Column) -> Column:
-    """Similarity in [0, 1] as a double. Both sides must be non-null."""
+    """Similarity in [0, 1] as a double. Both sides must be non-null.
+
+    For a similarity to filter by, use `score_pairs`: a filter on this column would make
+    Spark compute it twice.
+    """
+    import pandas as pd
+
     kernel = jaro_winkler_kernel()
 
     def score(a, b):
-        import pandas as pd
-
         return pd.Series(kernel(a, b))
 
-    import pandas as pd
-
     score.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
     return F.pandas_udf(score, "double")(left, right)
+
+
+def score_pairs(pairs: DataFrame, left: str, right: str, threshold: float) -> DataFrame:
+    """The pairs whose similarity reaches the threshold, with their `score`.
+
+    Pairs below it never leave the Python worker.
+    """
+    kernel = jaro_winkler_kernel()
+
+    def score(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            a, b = batch.column(0), batch.column(1)
+            scores = kernel(a.to_pylist(), b.to_pylist())
+            keep = pa.array(scores >= threshold)
+            yield pa.RecordBatch.from_arrays(
+                [a, b, pa.array(scores, pa.float64())], names=[left, right, "score"]
+            ).filter(keep)
+
+    return pairs.select(left, right).mapInArrow(
+        score, f"{left} string, {right} string, score double"
+    )

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import (
+    ArrayType, BinaryType, DoubleType, FloatType, MapType, StructType,
+)
 
 from ledgerlens.operators.detection import MONITORED_TYPES
 
@@ -16,34 +19,68 @@ TRANSACTION_TYPES = ["PAYMENT", *MONITORED_TYPES, "CASH_IN", "DEBIT"]
 _BASE = 1_000_000
 
 
+def _cell(df: DataFrame, name: str) -> Column:
+    """A value as text, such that two cells are equal exactly where their values are."""
+    kind = df.schema[name].dataType
+    value = F.col(name)
+    if isinstance(kind, (FloatType, DoubleType)):
+        return (value + F.lit(0.0)).cast("string")  # one zero, not two
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return F.when(value.isNotNull(), F.to_json(F.struct(value)))
+    if isinstance(kind, BinaryType):
+        return F.hex(value)
+    return value.cast("string")
+
+
 def profile_columns(
     df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True
 ) -> DataFrame:
     """Per column its type, share of non-null values and number of distinct values.
 
-    One aggregate over the whole table. `exact=False` counts distinct values with
-    HyperLogLog++, which adds no shuffle of the values and is the choice for wide tables
-    at the largest scale.
+    One pass over the whole table. Exact distinct counts take the table apart into
+    (column, value) cells and count equal cells before and after one shuffle; an aggregate
+    with a distinct count per column would shuffle rows as wide as the table for each of
+    them. `exact=False` counts with HyperLogLog++ and shuffles one row per task: the choice
+    for wide tables at the largest scale.
     """
     names = list(columns or df.columns)
     kinds = dict(df.dtypes)
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    counted = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(names)],
-        *[distinct(F.col(c)).alias(f"d_{i}") for i, c in enumerate(names)],
-    )
-    return counted.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.lit(kinds[c]).alias("data_type"),
-            F.coalesce(
-                F.try_divide(F.col(f"n_{i}").cast("double") * 100, F.col("rows")), F.lit(0.0)
-            ).alias("non_null_pct"),
-            F.col(f"d_{i}").alias("distinct_count"),
+    if exact:
+        cells = F.array(*[
+            F.struct(F.lit(i).alias("i"), _cell(df, c).alias("v")) for i, c in enumerate(names)
+        ])
+        counted = (
+            df.select(F.inline(cells))
+            .groupBy("i", "v")
+            .agg(F.count("*").alias("n"))
+            .groupBy("i")
+            .agg(
+                F.sum("n").alias("rows"),
+                F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("filled"),
+                F.count("v").alias("distinct_count"),
+            )
         )
-        for i, c in enumerate(names)
-    ])))
+    else:
+        one_row = df.agg(
+            F.count("*").alias("rows"),
+            *[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(names)],
+            *[F.approx_count_distinct(F.col(c)).alias(f"d_{i}") for i, c in enumerate(names)],
+        )
+        counted = one_row.select(F.inline(F.array(*[
+            F.struct(
+                F.lit(i).alias("i"), F.col("rows"), F.col(f"n_{i}").alias("filled"),
+                F.col(f"d_{i}").alias("distinct_count"),
+            )
+            for i in range(len(names))
+        ])))
+    return counted.select(
+        F.array(*[F.lit(c) for c in names])[F.col("i")].alias("column_name"),
+        F.array(*[F.lit(kinds[c]) for c in names])[F.col("i")].alias("data_type"),
+        F.coalesce(
+            F.try_divide(F.col("filled").cast("double") * 100, F.col("rows")), F.lit(0.0)
+        ).alias("non_null_pct"),
+        "distinct_count",
+    )
 
 
 def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

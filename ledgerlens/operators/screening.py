@@ -17,11 +17,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.similarity import PREFIX_LENGTH, PREFIX_SCALE, jaro_winkler
+from ledgerlens.functions.similarity import PREFIX_LENGTH, PREFIX_SCALE, score_pairs
 
 THRESHOLD = 0.90
 # The keyed list is broadcast up to this many entries and joined by shuffle beyond it.
 BROADCAST_ENTRIES = 2_000
+# Least number of tasks the distinct names are dealt out to, on a cluster still growing.
+BUSY_TASKS = 8
 
 # Most common first, for any text: only the speed depends on how well it fits, since every
 # fixed order of the characters gives the same pairs.
@@ -75,29 +77,37 @@ def _characters(name: Column) -> Column:
             ),
         )
 
-    return F.array_sort(
-        F.flatten(F.transform(F.array_distinct(F.split(name, "")), numbered))
+    # Declared never null: the join below would otherwise infer a not-null filter on it and
+    # push the whole computation down to every row the names come from.
+    return F.coalesce(
+        F.array_sort(F.flatten(F.transform(F.array_distinct(F.split(name, "")), numbered))),
+        F.array().cast("array<string>"),
+    )
+
+
+def _keys(chars: Column, first: Column, count: Column, cls: int, length: Column) -> Column:
+    """The first `count` characters as join keys of a class, each with its place."""
+    return F.transform(
+        F.slice(chars, 1, F.greatest(count, F.lit(0))),
+        lambda char, i: F.struct(
+            F.lit(cls).alias("cls"),
+            (first if cls == _SAME_FIRST else F.lit("")).alias("head"),
+            length.alias("len_key"),
+            char.alias("char"),
+            (i + 1).alias("at"),
+        ),
     )
 
 
 def _name_keys(share: dict[int, float]) -> Column:
     """The keys a screened name is looked up by: its rarest characters in each class."""
     length, chars = F.col("name_len"), F.col("name_chars")
+    first = F.coalesce(F.substring("name_key", 1, 1), F.lit(""))
 
     def of_class(cls: int) -> Column:
-        reach = length - _overlap(
-            share[cls], length, _least_partner(share[cls], length)
-        ) + F.lit(1)
-        return F.transform(
-            F.slice(chars, 1, F.greatest(reach, F.lit(0))),
-            lambda char: F.struct(
-                F.lit(cls).alias("cls"),
-                (F.substring(F.col("name_key"), 1, 1) if cls == _SAME_FIRST
-                 else F.lit("")).alias("head"),
-                (length if share[cls] > 1 else F.lit(0)).alias("len_key"),
-                char.alias("char"),
-            ),
-        )
+        s = share[cls]
+        count = length - _overlap(s, length, _least_partner(s, length)) + F.lit(1)
+        return _keys(chars, first, count, cls, length if s > 1 else F.lit(0))
 
     return F.concat(of_class(_SAME_FIRST), of_class(_OTHER_FIRST))
 
@@ -105,6 +115,7 @@ def _name_keys(share: dict[int, float]) -> Column:
 def _entry_keys(share: dict[int, float]) -> Column:
     """The keys a list entry is found under: per class, per length a match may have."""
     length, chars = F.col("listed_len"), F.col("listed_chars")
+    first = F.coalesce(F.substring("listed_key", 1, 1), F.lit(""))
 
     def of_class(cls: int) -> Column:
         s = share[cls]
@@ -117,24 +128,24 @@ def _entry_keys(share: dict[int, float]) -> Column:
             partner_lengths = F.array(F.lit(1))
         return F.flatten(F.transform(
             partner_lengths,
-            lambda n: F.transform(
-                F.slice(
-                    chars, 1,
-                    F.greatest(length - _overlap(s, length, n) + F.lit(1), F.lit(0)),
-                ),
-                lambda char: F.struct(
-                    F.lit(cls).alias("cls"),
-                    (F.substring(F.col("listed_key"), 1, 1) if cls == _SAME_FIRST
-                     else F.lit("")).alias("head"),
-                    (n if s > 1 else F.lit(0)).alias("len_key"),
-                    char.alias("char"),
-                ),
+            lambda n: _keys(
+                chars, first, length - _overlap(s, length, n) + F.lit(1), cls,
+                n if s > 1 else F.lit(0),
             ),
         ))
 
     return F.concat(of_class(_SAME_FIRST), of_class(_OTHER_FIRST))
 
 
+def _keyed(df: DataFrame, side: str, keys: Column, place: str) -> DataFrame:
+    return (
+        df.withColumn(f"{side}_len", F.coalesce(F.length(f"{side}_key"), F.lit(0)))
+        .withColumn(f"{side}_chars", _characters(F.col(f"{side}_key")))
+        .select(f"{side}_key", f"{side}_len", f"{side}_chars", F.inline(keys))
+        .withColumnRenamed("at", place)
+    )
+
+
 def candidate_pairs(
     names: DataFrame, listed: DataFrame, threshold: float = THRESHOLD,
     broadcast_entries: int = BROADCAST_ENTRIES,
@@ -147,41 +158,34 @@ def candidate_pairs(
         raise ValueError("the threshold must be positive: a score of 0 matches everything")
     share = _required_share(threshold)
 
-    probe = (
-        names.withColumn("name_len", F.length("name_key"))
-        .withColumn("name_chars", _characters(F.col("name_key")))
-        .withColumn("k", F.explode(_name_keys(share)))
-        .select("name_key", "name_len", "name_chars", "k.*")
-    )
-    index = (
-        listed.withColumn("listed_len", F.length("listed_key"))
-        .withColumn("listed_chars", _characters(F.col("listed_key")))
-        .withColumn("k", F.explode(_entry_keys(share)))
-        .select("listed_key", "listed_len", "listed_chars", "k.*")
-    )
+    probe = _keyed(names, "name", _name_keys(share), "name_at")
+    index = _keyed(listed, "listed", _entry_keys(share), "listed_at")
     # Reading one row past the limit tells whether the list is within it.
     if listed.limit(broadcast_entries + 1).count() <= broadcast_entries:
         index = F.broadcast(index)
 
-    met = probe.join(index, ["cls", "head", "len_key", "char"])
-
+    name_len, listed_len = F.col("name_len"), F.col("listed_len")
     same_first = F.col("cls") == _SAME_FIRST
-    need = F.when(
-        same_first, _overlap(share[_SAME_FIRST], F.col("name_len"), F.col("listed_len"))
-    ).otherwise(_overlap(share[_OTHER_FIRST], F.col("name_len"), F.col("listed_len")))
-
-    def rarest(chars: str, length: str) -> Column:
-        return F.slice(F.col(chars), 1, F.greatest(F.col(length) - need + 1, F.lit(0)))
-
-    # A pair may meet on several characters; it is kept on the first they share. A pair
-    # with equal first characters also meets in the other class, and is kept in its own.
-    shared = F.array_intersect(
-        rarest("name_chars", "name_len"), rarest("listed_chars", "listed_len")
+    need = F.when(same_first, _overlap(share[_SAME_FIRST], name_len, listed_len)).otherwise(
+        _overlap(share[_OTHER_FIRST], name_len, listed_len)
     )
     heads_differ = F.substring("name_key", 1, 1) != F.substring("listed_key", 1, 1)
-    return met.filter(same_first | heads_differ).filter(
-        F.try_element_at(shared, F.lit(1)) == F.col("char")
-    ).select("name_key", "listed_key")
+    met_before = F.arrays_overlap(
+        F.slice("name_chars", 1, F.col("name_at") - 1),
+        F.slice("listed_chars", 1, F.col("listed_at") - 1),
+    )
+    return (
+        probe.join(index, ["cls", "head", "len_key", "char"])
+        # Keys were laid out for the least demanding partner; these two know both lengths.
+        .filter(F.col("name_at") <= name_len - need + 1)
+        .filter(F.col("listed_at") <= listed_len - need + 1)
+        # A pair with equal first characters meets in both classes and is kept in its own.
+        .filter(same_first | heads_differ)
+        # A pair may meet on several characters; it is kept on the first they share. Both
+        # arrays are in one order, so an earlier meeting lies before this one in both.
+        .filter(~met_before)
+        .select("name_key", "listed_key")
+    )
 
 
 def best_matches(
@@ -200,9 +204,7 @@ def best_matches(
         .agg(F.min(F.struct("entity_id", "program")).alias("entry"))
     )
     pairs = candidate_pairs(names, entries.select("listed_key"), threshold, broadcast_entries)
-    scored = pairs.withColumn(
-        "score", jaro_winkler(F.col("name_key"), F.col("listed_key"))
-    ).filter(F.col("score") >= F.lit(float(threshold)))
+    scored = score_pairs(pairs, "name_key", "listed_key", threshold)
     return (
         scored.join(entries, "listed_key")
         .groupBy("name_key")
@@ -229,9 +231,13 @@ def screen(
     keyed = dest_names.withColumn("name_key", F.lower("dest_name")).filter(
         F.col("name_key") != ""
     )
-    best = best_matches(
-        keyed.select("name_key").distinct(), watchlist, threshold, broadcast_entries
+    # Names are few bytes but much work each. Spread by size alone they would end up in a
+    # handful of tasks, so the distinct ones are dealt out to every core.
+    context = dest_names.sparkSession.sparkContext
+    names = keyed.select("name_key").distinct().repartition(
+        max(context.defaultParallelism, BUSY_TASKS)
     )
+    best = best_matches(names, watchlist, threshold, broadcast_entries)
     return keyed.join(best, "name_key").select(
         "name_dest", "dest_name", "seeded_hit",
         F.col("entity_id").alias("watchlist_entity"),

@@ -23,6 +23,9 @@ DEFAULTS = {
     # Out-of-range casts are handled with try_cast where a contract can quarantine the row;
     # anything else should fail loudly.
     "spark.sql.ansi.enabled": "true",
+    # Contracts put dozens of rules into one stage. Beyond 8000 bytes the JVM no longer
+    # compiles a generated method to machine code, and smaller methods are faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Keyed windows keep state per account: state must not have to fit the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -41,10 +44,11 @@ def session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the one setting that changes results on a session made by somebody else."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Pin what results and plans depend on, on a session made by somebody else."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        if spark.conf.get(key) != DEFAULTS[key]:
+            spark.conf.set(key, DEFAULTS[key])
     return spark
 
 

@@ -87,13 +87,14 @@ def parse(messages: DataFrame, skip_malformed: bool = False) -> DataFrame:
     An unreadable payload becomes all nulls and is kept: bronze records what was delivered.
     `skip_malformed` drops those rows instead.
     """
-    parsed = messages.select(
+    # The generator parses each message once. As a plain projection the parse would be
+    # repeated in every later filter, once per field the filter names.
+    flat = messages.select(
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
-        F.from_json(F.col("value").cast("string"), PAYLOAD).alias("txn"),
+        F.inline(F.array(F.from_json(F.col("value").cast("string"), PAYLOAD))),
     )
-    flat = parsed.select("kafka_partition", "kafka_offset", "kafka_timestamp", "txn.*")
     if not skip_malformed:
         return flat
     fields = [c for c in flat.columns if not c.startswith("kafka_")]
