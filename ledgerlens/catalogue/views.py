@@ -33,7 +33,9 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.max("l_shipdate").alias("shipped"))
     )
-    return table(spark, sf_dir, "orders").join(paid, "o_orderkey", "left").select(
+    # Both sides grow with the orders. The hint keeps the join a shuffle at any size, so the
+    # lifecycle arithmetic after it runs on every core also where one side would fit memory.
+    return table(spark, sf_dir, "orders").join(paid.hint("merge"), "o_orderkey", "left").select(
         F.expr(
             "case when o_orderkey % 211 = 0 then concat('Total rows ', o_orderkey) "
             "else cast(o_orderkey as string) end"

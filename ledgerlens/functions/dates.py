@@ -42,10 +42,11 @@ def date_spine(start: str | date, end: str | date, freq: str = DAILY) -> Column:
         return F.sequence(first, last, F.expr("interval 1 day"))
     if freq != MONTH_END:
         raise ValueError(f"freq must be {DAILY!r} or {MONTH_END!r}, not {freq!r}")
-    month_ends = F.transform(
-        F.sequence(F.trunc(first, "MM"), last, F.expr("interval 1 month")), F.last_day
-    )
-    return F.filter(month_ends, lambda d: (d >= first) & (d <= last))
+    # Months added to a 31st land on the last day of every month. The series starts at the
+    # end of the year before, and its first elements up to the month before `start` go.
+    year_end = F.make_date(F.year(first) - 1, F.lit(12), F.lit(31))
+    series = F.sequence(year_end, last, F.expr("interval 1 month"))
+    return F.slice(series, F.month(first) + 1, F.greatest(F.size(series), F.lit(0)))
 
 
 def month_year(text: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlens.contracts import Contract
 from ledgerlens.contracts.contract import FAILED, broken_rules
-from ledgerlens.functions.dates import MONTH_END, date_spine
+from ledgerlens.functions.dates import DAILY, MONTH_END, date_spine
 from ledgerlens.operators import engine_input, exposure, rwa
 from ledgerlens.operators.loans import loan_master
 from ledgerlens.operators.portfolio import positions
@@ -80,8 +80,13 @@ def build_master(raw: DataFrame, path: str) -> None:
 def build_snapshots(
     master: DataFrame, root: str, start: str | date, end: str | date, freq: str = MONTH_END
 ) -> None:
-    """All snapshot partitions of a date range from one job."""
-    write_partitions(positions(master, date_spine(start, end, freq)), root, "snapshot_date")
+    """All snapshot partitions of a date range from one job.
+
+    A few month-ends are written straight from the tasks that made them; a daily range
+    would give every task a file per day, so its rows are gathered by date first.
+    """
+    book = positions(master, date_spine(start, end, freq))
+    write_partitions(book, root, "snapshot_date", rebalance=freq == DAILY)
 
 
 def run_silver(

@@ -26,6 +26,8 @@ DEFAULTS = {
     # Contracts put dozens of rules into one stage. Beyond 8000 bytes the JVM no longer
     # compiles a generated method to machine code, and smaller methods are faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording the Python call site of every Column doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Keyed windows keep state per account: state must not have to fit the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

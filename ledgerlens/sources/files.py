@@ -54,12 +54,18 @@ def read_partition(
     return spark.read.parquet(root).filter(F.col(column) == as_date(on))
 
 
-def write_partitions(df: DataFrame, root: str, *columns: str) -> None:
+def write_partitions(
+    df: DataFrame, root: str, *columns: str, rebalance: bool = False
+) -> None:
     """Replace the partitions the rows belong to and leave all others alone.
 
     Files are staged and swapped in at job commit, so a job that fails midway changes
-    nothing and a rerun converges.
+    nothing and a rerun converges. Every task writes one file per partition it holds rows
+    of; `rebalance` first gathers rows by partition, splitting large ones and merging small
+    ones, which pays where tasks times partitions would be too many files.
     """
+    if rebalance:
+        df = df.hint("rebalance", *columns)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
