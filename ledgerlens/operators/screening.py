@@ -41,6 +41,15 @@ def _required_share(threshold: float) -> dict[int, float]:
     }
 
 
+def _bounds_length(share: float) -> bool:
+    """Whether the class bounds a partner's length closely enough to make it part of the key.
+
+    m <= min(l, w) gives min/max >= S - 1; for a looser bound the lengths are left to the
+    conditions of the join.
+    """
+    return share - 1 >= 0.1
+
+
 def _overlap(share: float, length: Column, other: Column) -> Column:
     """Least number of shared characters for two lengths; a positive score needs one."""
     exact = F.lit(share) * length * other / (length + other)
@@ -48,8 +57,8 @@ def _overlap(share: float, length: Column, other: Column) -> Column:
 
 
 def _least_partner(share: float, length: Column) -> Column:
-    """Shortest length a partner can have. m <= min(l, w) gives min/max >= S - 1."""
-    if share <= 1:
+    """Shortest length a partner can have."""
+    if not _bounds_length(share):
         return F.lit(1)
     return F.greatest(
         F.ceil(F.lit(share - 1) * length - F.lit(_EPSILON)), F.lit(1)
@@ -107,7 +116,7 @@ def _name_keys(share: dict[int, float]) -> Column:
     def of_class(cls: int) -> Column:
         s = share[cls]
         count = length - _overlap(s, length, _least_partner(s, length)) + F.lit(1)
-        return _keys(chars, first, count, cls, length if s > 1 else F.lit(0))
+        return _keys(chars, first, count, cls, length if _bounds_length(s) else F.lit(0))
 
     return F.concat(of_class(_SAME_FIRST), of_class(_OTHER_FIRST))
 
@@ -120,7 +129,7 @@ def _entry_keys(share: dict[int, float]) -> Column:
     def of_class(cls: int) -> Column:
         s = share[cls]
         shortest = _least_partner(s, length)
-        if s > 1:
+        if _bounds_length(s):
             longest = F.floor(length / F.lit(s - 1) + F.lit(_EPSILON)).cast("int")
             partner_lengths = F.sequence(shortest, F.greatest(longest, shortest))
         else:
@@ -130,7 +139,7 @@ def _entry_keys(share: dict[int, float]) -> Column:
             partner_lengths,
             lambda n: _keys(
                 chars, first, length - _overlap(s, length, n) + F.lit(1), cls,
-                n if s > 1 else F.lit(0),
+                n if _bounds_length(s) else F.lit(0),
             ),
         ))
 
