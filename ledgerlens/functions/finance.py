@@ -21,6 +21,12 @@ DEFAULTED_WEIGHT = Decimal("1.50")
 CAPITAL_RATIO = Decimal("0.08")
 
 
+def money(amount: int | str | Decimal) -> Column:
+    """A money literal. Compared with a money column it leaves the column uncast, so that
+    the comparison can be pushed into the Parquet scan; an integer literal would widen it."""
+    return F.lit(Decimal(str(amount))).cast(MONEY)
+
+
 def calendar_months(start: Column, end: Column) -> Column:
     """Whole calendar months from `start` to `end`, blind to the day of the month."""
     return (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)

@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.dates import REFERENCE_DATE, event_time, step_of
-from ledgerlens.functions.finance import MONEY
+from ledgerlens.functions.finance import MONEY, money
 
 # The rules' names, monitored types and default limits.
 MONITORED_TYPES = ["TRANSFER", "CASH_OUT"]
@@ -46,7 +46,9 @@ def is_sweep(tolerance: Decimal = SWEEP_TOLERANCE) -> Column:
     """The amount takes the whole opening balance, within the tolerance."""
     opening = F.col("old_balance_orig")
     return (
-        monitored() & (opening > 0) & (F.abs(F.col("amount") - opening) <= F.lit(tolerance))
+        monitored()
+        & (opening > money(0))
+        & (F.abs(F.col("amount") - opening) <= F.lit(tolerance))
     )
 
 
@@ -54,9 +56,9 @@ def is_drain(minimum: int = DRAIN_AMOUNT) -> Column:
     """A large amount that leaves the account at zero."""
     return (
         monitored()
-        & (F.col("new_balance_orig") == 0)
-        & (F.col("old_balance_orig") > 0)
-        & (F.col("amount") >= F.lit(minimum))
+        & (F.col("new_balance_orig") == money(0))
+        & (F.col("old_balance_orig") > money(0))
+        & (F.col("amount") >= money(minimum))
     )
 
 
@@ -119,8 +121,8 @@ def _structuring_windows(
     amount = F.col("amount")
     just_under = txns.filter(
         monitored()
-        & (amount >= F.lit(Decimal(threshold) * Decimal(str(band))))
-        & (amount < F.lit(threshold))
+        & (amount >= money(Decimal(threshold) * Decimal(str(band))))
+        & (amount < money(threshold))
     ).select("step", "name_orig", "amount", "is_fraud")
     floor = threshold if min_total is None else min_total
     return _windows(just_under, reference, STRUCTURING_WATERMARK, *window).filter(

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.dates import as_date
-from ledgerlens.functions.finance import MONEY
+from ledgerlens.functions.finance import MONEY, money
 
 # This book is unsecured retail term lending in one currency.
 EXPOSURE_CLASS = "retail_other"
@@ -16,7 +16,7 @@ DEFAULT_AT_DPD = 90
 
 
 def scope() -> Column:
-    return (F.col("outstanding_amount") > 0) | (F.col("status") == "defaulted")
+    return (F.col("outstanding_amount") > money(0)) | (F.col("status") == "defaulted")
 
 
 def in_scope(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ledgerlens.contracts import Contract
 from ledgerlens.contracts.contract import FAILED, broken_rules
@@ -51,10 +52,11 @@ class Staged:
         tagged.withColumn("_broken", F.size(FAILED) > 0).write.partitionBy("_broken").parquet(
             self.path
         )
-        self.schema = tagged.schema
+        # Declared, because an empty dataset leaves no file to read a schema from.
+        self.schema = StructType([*tagged.schema.fields, StructField("_broken", BooleanType())])
 
     def _rows(self, broken: bool) -> DataFrame:
-        stored = self.spark.read.schema(self.schema.add("_broken", "boolean")).parquet(self.path)
+        stored = self.spark.read.schema(self.schema).parquet(self.path)
         return stored.filter(F.col("_broken") == F.lit(broken)).drop("_broken")
 
     @property

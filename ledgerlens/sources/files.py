@@ -130,16 +130,18 @@ def compact(
     sizes = file_inventory(spark, root).groupBy("partition").agg(
         F.count("*").alias("files"), F.sum("bytes").alias("bytes")
     )
+    writers_of = F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int")
     before = sizes.agg(
         F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(writers_of), F.lit(1)).alias("writers"),
     ).first()
     data = spark.read.parquet(root)
     if columns:
         # ceil(bytes / target) writers per partition, joined on by its path segment.
         writers = sizes.select(
             F.col("partition").alias("_segment"),
-            F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int").alias("_files"),
+            writers_of.alias("_files"),
         )
         first = columns[0]
         segment = F.concat(F.lit(f"{first}="), F.col(first).cast("string"))
@@ -154,7 +156,7 @@ def compact(
                 ),
             )
             .drop("_segment", "_files")
-            .repartition(*columns, "_writer")
+            .repartition(before["writers"], *columns, "_writer")
             .drop("_writer")
         )
         spread.write.partitionBy(*columns).parquet(out)

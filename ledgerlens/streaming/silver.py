@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerlens.contracts import Contract
 from ledgerlens.operators.transactions import POSITION, conform, dedupe_stream
@@ -36,8 +37,14 @@ def _not_stored_elsewhere(df: DataFrame, path: str, lineage: str) -> DataFrame:
     spark = df.sparkSession
     if not exists(spark, path):
         return df
+    # Declared, because batches without rows for this table leave no file to read one from.
+    stored = StructType([
+        *df.schema.fields, StructField(LINEAGE, StringType()), StructField(BATCH, LongType()),
+    ])
     others = (
-        spark.read.parquet(path).filter(F.col(LINEAGE) != lineage).select(*POSITION)
+        spark.read.schema(stored).parquet(path)
+        .filter(F.col(LINEAGE) != lineage)
+        .select(*POSITION)
     )
     return df.join(others, POSITION, "left_anti")
 
