@@ -346,7 +346,7 @@ def watchlist_screen_shuffled(spark, sf):
     """The same screening with the list too large to broadcast, at a lower threshold."""
     return screening.screen(
         views.dest_names(spark, sf), views.watchlist(spark, sf), threshold=0.85,
-        broadcast_entries=0,
+        broadcast_bytes=0,
     )
 
 

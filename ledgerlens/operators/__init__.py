@@ -1 +1,5 @@
-"""DataFrame-to-DataFrame operators. None of them runs an action on data-sized frames."""
+"""DataFrame-to-DataFrame operators.
+
+They are lazy, but for the size checks that decide a broadcast (screening, as-of reads),
+which aggregate the small side.
+"""

@@ -14,18 +14,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 RETENTION_DAYS = 30
 RETAIN_LAST = 5
+BROADCAST_PARTITIONS = 100_000
 
 
 def read_as_of(
-    df: DataFrame, partition: Sequence[str], version: int | Column, column: str = "version"
+    df: DataFrame, partition: Sequence[str], version: int | Column, column: str = "version",
+    broadcast_partitions: int = BROADCAST_PARTITIONS,
 ) -> DataFrame:
     """The rows as they stood at a version: per partition its latest one not above it.
 
     The latest versions are found by an aggregate that combines map-side and joined back on
     (partition, version). A window over the partition would move all its rows into one task.
+    Up to `broadcast_partitions` of them are broadcast, so the rows themselves stay where
+    they are; beyond that the join shuffles, and a partition with most rows is split.
     """
     not_later = df.filter(F.col(column) <= version)
     current = not_later.groupBy(*partition).agg(F.max(column).alias(column))
+    if current.limit(broadcast_partitions + 1).count() <= broadcast_partitions:
+        current = F.broadcast(current)
     return not_later.join(current, [*partition, column], "left_semi")
 
 

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlens.functions.similarity import PREFIX_LENGTH, PREFIX_SCALE, score_pairs
 
 THRESHOLD = 0.90
-# The keyed list is broadcast up to this many entries and joined by shuffle beyond it.
-BROADCAST_ENTRIES = 2_000
+# The keyed list is broadcast up to this size and joined by shuffle beyond it.
+BROADCAST_BYTES = 64 * 1024 * 1024
 # Least number of tasks the distinct names are dealt out to, on a cluster still growing.
 BUSY_TASKS = 8
 
@@ -95,7 +95,11 @@ def _characters(name: Column) -> Column:
 
 
 def _keys(chars: Column, first: Column, count: Column, cls: int, length: Column) -> Column:
-    """The first `count` characters as join keys of a class, each with its place."""
+    """The first `count` characters as join keys of a class.
+
+    Each comes with its place in the order and the characters before it, which is all the
+    join needs to know of the rest.
+    """
     return F.transform(
         F.slice(chars, 1, F.greatest(count, F.lit(0))),
         lambda char, i: F.struct(
@@ -104,6 +108,7 @@ def _keys(chars: Column, first: Column, count: Column, cls: int, length: Column)
             length.alias("len_key"),
             char.alias("char"),
             (i + 1).alias("at"),
+            F.slice(chars, F.lit(1), i).alias("before"),
         ),
     )
 
@@ -146,18 +151,32 @@ def _entry_keys(share: dict[int, float]) -> Column:
     return F.concat(of_class(_SAME_FIRST), of_class(_OTHER_FIRST))
 
 
-def _keyed(df: DataFrame, side: str, keys: Column, place: str) -> DataFrame:
+def _keyed(df: DataFrame, side: str, keys: Column) -> DataFrame:
     return (
         df.withColumn(f"{side}_len", F.coalesce(F.length(f"{side}_key"), F.lit(0)))
         .withColumn(f"{side}_chars", _characters(F.col(f"{side}_key")))
-        .select(f"{side}_key", f"{side}_len", f"{side}_chars", F.inline(keys))
-        .withColumnRenamed("at", place)
+        .select(f"{side}_key", f"{side}_len", F.inline(keys))
+        .withColumnsRenamed({"at": f"{side}_at", "before": f"{side}_before"})
     )
 
 
+def _index_bytes(listed: DataFrame, share: dict[int, float]) -> int:
+    """An upper bound on the size of the keyed list, from the lengths of its entries."""
+    length = F.length("listed_key")
+    rows = F.lit(0)
+    for s in share.values():
+        lengths = F.lit(1)
+        if _bounds_length(s):
+            lengths = F.ceil(length / F.lit(s - 1)) - _least_partner(s, length) + F.lit(2)
+        rows = rows + lengths * (length - _overlap(s, length, _least_partner(s, length)) + 1)
+    # A key row holds the entry, its key, and on average half the characters before it.
+    size = F.sum(rows.cast("double") * (F.lit(96.0) + F.lit(8.0) * length))
+    return int(listed.agg(F.coalesce(size, F.lit(0.0))).first()[0])
+
+
 def candidate_pairs(
     names: DataFrame, listed: DataFrame, threshold: float = THRESHOLD,
-    broadcast_entries: int = BROADCAST_ENTRIES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every (name_key, listed_key) pair that can reach the threshold, each exactly once.
 
@@ -167,10 +186,9 @@ def candidate_pairs(
         raise ValueError("the threshold must be positive: a score of 0 matches everything")
     share = _required_share(threshold)
 
-    probe = _keyed(names, "name", _name_keys(share), "name_at")
-    index = _keyed(listed, "listed", _entry_keys(share), "listed_at")
-    # Reading one row past the limit tells whether the list is within it.
-    if listed.limit(broadcast_entries + 1).count() <= broadcast_entries:
+    probe = _keyed(names, "name", _name_keys(share))
+    index = _keyed(listed, "listed", _entry_keys(share))
+    if _index_bytes(listed, share) <= broadcast_bytes:
         index = F.broadcast(index)
 
     name_len, listed_len = F.col("name_len"), F.col("listed_len")
@@ -179,10 +197,6 @@ def candidate_pairs(
         _overlap(share[_OTHER_FIRST], name_len, listed_len)
     )
     heads_differ = F.substring("name_key", 1, 1) != F.substring("listed_key", 1, 1)
-    met_before = F.arrays_overlap(
-        F.slice("name_chars", 1, F.col("name_at") - 1),
-        F.slice("listed_chars", 1, F.col("listed_at") - 1),
-    )
     return (
         probe.join(index, ["cls", "head", "len_key", "char"])
         # Keys were laid out for the least demanding partner; these two know both lengths.
@@ -192,14 +206,14 @@ def candidate_pairs(
         .filter(same_first | heads_differ)
         # A pair may meet on several characters; it is kept on the first they share. Both
         # arrays are in one order, so an earlier meeting lies before this one in both.
-        .filter(~met_before)
+        .filter(~F.arrays_overlap("name_before", "listed_before"))
         .select("name_key", "listed_key")
     )
 
 
 def best_matches(
     names: DataFrame, watchlist: DataFrame, threshold: float = THRESHOLD,
-    broadcast_entries: int = BROADCAST_ENTRIES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per distinct lower-cased name its best entry: `name_key, entity_id, program, score`.
 
@@ -212,7 +226,7 @@ def best_matches(
         .groupBy("listed_key")
         .agg(F.min(F.struct("entity_id", "program")).alias("entry"))
     )
-    pairs = candidate_pairs(names, entries.select("listed_key"), threshold, broadcast_entries)
+    pairs = candidate_pairs(names, entries.select("listed_key"), threshold, broadcast_bytes)
     scored = score_pairs(pairs, "name_key", "listed_key", threshold)
     return (
         scored.join(entries, "listed_key")
@@ -234,7 +248,7 @@ def best_matches(
 
 def screen(
     dest_names: DataFrame, watchlist: DataFrame, threshold: float = THRESHOLD,
-    broadcast_entries: int = BROADCAST_ENTRIES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Destinations whose beneficiary name matches a listed one, with the best match."""
     keyed = dest_names.withColumn("name_key", F.lower("dest_name")).filter(
@@ -246,7 +260,7 @@ def screen(
     names = keyed.select("name_key").distinct().repartition(
         max(context.defaultParallelism, BUSY_TASKS)
     )
-    best = best_matches(names, watchlist, threshold, broadcast_entries)
+    best = best_matches(names, watchlist, threshold, broadcast_bytes)
     return keyed.join(best, "name_key").select(
         "name_dest", "dest_name", "seeded_hit",
         F.col("entity_id").alias("watchlist_entity"),

@@ -10,7 +10,8 @@ from ledgerlens.operators.detection import (
     DRAIN, STRUCTURING, SWEEP, VELOCITY, build_alerts,
 )
 from ledgerlens.operators.screening import THRESHOLD, screen
-from ledgerlens.sources.files import exists, remove, write_partitions
+from ledgerlens.session import scratch_path
+from ledgerlens.sources.files import children, remove, write_partitions
 from ledgerlens.streaming.bronze import run_bronze
 from ledgerlens.streaming.silver import bronze_stream, run_silver
 
@@ -20,16 +21,18 @@ ALL_RULES = (SWEEP, DRAIN, VELOCITY, STRUCTURING)
 def write_alerts(alerts: DataFrame, root: str, rules: Sequence[str]) -> None:
     """Replace the alerts of the given rules, partitioned by rule.
 
-    A rule that found nothing this time is cleared: its old alerts must not outlive the run
-    that no longer raises them.
+    The rules run once, into a staging table. A rule that found nothing this time is
+    cleared: its old alerts must not outlive the run that no longer raises them.
     """
     spark = alerts.sparkSession
-    write_partitions(alerts, root, "rule")
-    raised = {r["rule"] for r in alerts.select("rule").distinct().collect()}
+    staged = scratch_path(spark, "alerts")
+    alerts.write.partitionBy("rule").parquet(staged)
+    raised = {name.removeprefix("rule=") for name in children(spark, staged)}
+    if raised & set(rules):
+        write_partitions(spark.read.parquet(staged), root, "rule")
     for rule in set(rules) - raised:
-        path = f"{root.rstrip('/')}/rule={rule}"
-        if exists(spark, path):
-            remove(spark, path)
+        remove(spark, f"{root.rstrip('/')}/rule={rule}")
+    remove(spark, staged)
 
 
 def run_alerts(
@@ -37,7 +40,10 @@ def run_alerts(
 ) -> int:
     """Raise alerts over all of silver; returns how many the table now holds for the rules."""
     write_alerts(build_alerts(silver, rules, **limits), root, rules)
-    stored = silver.sparkSession.read.parquet(root)
+    spark = silver.sparkSession
+    if not any(name.startswith("rule=") for name in children(spark, root)):
+        return 0
+    stored = spark.read.parquet(root)
     return stored.filter(stored["rule"].isin(*rules)).count()
 
 

@@ -31,6 +31,14 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries right under a path; one listing, nothing below it."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    return [entry.getPath().getName() for entry in fs.listStatus(target)]
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with declared types, so an id never becomes a number in some files only.
 
@@ -147,11 +155,13 @@ def compact(
         segment = F.concat(F.lit(f"{first}="), F.col(first).cast("string"))
         spread = (
             data.withColumn("_segment", segment)
-            .join(writers, "_segment", "left")
+            # One row per partition, which the driver has listed already.
+            .join(F.broadcast(writers), "_segment", "left")
+            # Dealt out in turn: equal rows do not end up with one writer.
             .withColumn(
                 "_writer",
                 F.pmod(
-                    F.xxhash64(*[c for c in data.columns]),
+                    F.monotonically_increasing_id(),
                     F.greatest(F.coalesce("_files", F.lit(1)), F.lit(1)),
                 ),
             )

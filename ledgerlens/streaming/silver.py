@@ -12,11 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerlens.contracts import Contract
 from ledgerlens.operators.transactions import POSITION, conform, dedupe_stream
-from ledgerlens.sources.files import exists, write_partitions
+from ledgerlens.sources.files import children, write_partitions
 
 CONTRACT = "txn_monitoring_transaction"
 LINEAGE, BATCH = "query_id", "batch_id"
@@ -31,36 +30,41 @@ def bronze_stream(spark: SparkSession, path: str) -> DataFrame:
 def _not_stored_elsewhere(df: DataFrame, path: str, lineage: str) -> DataFrame:
     """Leave out positions that another lineage of the same stream has stored.
 
-    Positions of other lineages are static files read two columns wide. Partition pruning
-    makes this empty work in the usual case of one lineage.
+    One listing of the lineages tells whether there is another; there usually is none, and
+    the batch goes through as it is. Otherwise their positions are read two columns wide.
     """
     spark = df.sparkSession
-    if not exists(spark, path):
+    others = [
+        f"{path}/{name}" for name in children(spark, path)
+        if name.startswith(f"{LINEAGE}=") and name != f"{LINEAGE}={lineage}"
+    ]
+    if not others:
         return df
-    # Declared, because batches without rows for this table leave no file to read one from.
-    stored = StructType([
-        *df.schema.fields, StructField(LINEAGE, StringType()), StructField(BATCH, LongType()),
-    ])
-    others = (
-        spark.read.schema(stored).parquet(path)
-        .filter(F.col(LINEAGE) != lineage)
+    # The schema is declared, as a lineage may hold no row of this table.
+    stored = (
+        spark.read.schema(df.select(*POSITION).schema).option("basePath", path).parquet(*others)
         .select(*POSITION)
     )
-    return df.join(others, POSITION, "left_anti")
+    return df.join(stored, POSITION, "left_anti")
 
 
 def batch_writer(
-    contract: Contract, silver: str, quarantine: str
+    contract: Contract, silver: str, quarantine: str, dedupe: bool = False
 ) -> Callable[[DataFrame, int], None]:
+    """The handler of one micro-batch.
+
+    A broker delivers a position once per batch, so rows are not compared with each other;
+    `dedupe` does, for a source that may hold copies, at the price of a shuffle.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
         lineage = context.getLocalProperty("sql.streaming.queryId") or "unnamed"
         landed = conform(batch)
-        # Within a batch a position is delivered at most once unless the producer's log was
-        # landed twice; unreadable positions are never merged.
-        anchored = F.col("kafka_partition").isNotNull() & F.col("kafka_offset").isNotNull()
-        unique = dedupe_stream(landed.filter(anchored)).unionByName(landed.filter(~anchored))
-        passed, quarantined = contract.enforce(unique, carry=["kafka_partition"])
+        if dedupe:
+            # Rows without a position cannot be told apart by it and are all kept.
+            placed = F.col("kafka_partition").isNotNull() & F.col("kafka_offset").isNotNull()
+            landed = dedupe_stream(landed.filter(placed)).unionByName(landed.filter(~placed))
+        passed, quarantined = contract.enforce(landed, carry=["kafka_partition"])
         for rows, path in ((passed, silver), (quarantined, quarantine)):
             fresh = _not_stored_elsewhere(rows, path, lineage)
             write_partitions(
@@ -72,17 +76,19 @@ def batch_writer(
 
 
 def start_silver(
-    bronze: DataFrame, silver: str, quarantine: str, checkpoint: str, once: bool = True
+    bronze: DataFrame, silver: str, quarantine: str, checkpoint: str, once: bool = True,
+    dedupe: bool = False,
 ) -> StreamingQuery:
-    handle = batch_writer(Contract.named(CONTRACT), silver, quarantine)
+    handle = batch_writer(Contract.named(CONTRACT), silver, quarantine, dedupe)
     writer = bronze.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def run_silver(
-    bronze: DataFrame, silver: str, quarantine: str, checkpoint: str, once: bool = True
+    bronze: DataFrame, silver: str, quarantine: str, checkpoint: str, once: bool = True,
+    dedupe: bool = False,
 ) -> None:
-    start_silver(bronze, silver, quarantine, checkpoint, once).awaitTermination()
+    start_silver(bronze, silver, quarantine, checkpoint, once, dedupe).awaitTermination()
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
+        spark__sql__maxMetadataStringLength="10000",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     made.sparkContext.setLogLevel("ERROR")

@@ -159,6 +159,7 @@ def test_alert_table_drops_what_a_rule_no_longer_raises(spark, root):
     assert monitoring.run_alerts(quiet, f"{root}/alerts", rules) == 1
     stored = spark.read.parquet(f"{root}/alerts")
     assert [r["rule"] for r in stored.collect()] == [SWEEP]
+    assert monitoring.run_alerts(txns(spark), f"{root}/alerts", rules) == 0
 
 
 def test_screening_job(spark, root):

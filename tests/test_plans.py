@@ -88,7 +88,7 @@ def test_screening_joins_by_key_and_scores_once(spark):
     listed = spark.createDataFrame([("W", "a b", "P")],
                                    "entity_id string, name string, program string")
     small = plan(screening.screen(dest, listed))
-    large = plan(screening.screen(dest, listed, broadcast_entries=0))
+    large = plan(screening.screen(dest, listed, broadcast_bytes=0))
     for text in (small, large):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
         assert text.count("MapInArrow") == 1

@@ -95,7 +95,7 @@ def names(seed, n):
 
 
 @pytest.mark.parametrize("threshold", [0.97, 0.90, 0.84, 0.80, 0.7, 0.45])
-@pytest.mark.parametrize("broadcast", [2_000, 0])
+@pytest.mark.parametrize("broadcast", [64_000_000, 0])
 def test_no_pair_at_or_above_the_threshold_is_lost(spark, threshold, broadcast):
     left = names(1, 250) + ["a", "aa", "ab", "q", "w" * 90]
     right = names(2, 120) + ["a", "ba", "w" * 60]

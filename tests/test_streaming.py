@@ -111,6 +111,17 @@ def test_a_retried_batch_overwrites_itself(spark, root):
     assert {r["batch_id"] for r in stored.select("batch_id").distinct().collect()} == {7}
 
 
+def test_copies_within_a_batch_are_merged_on_request(spark, root):
+    batch = bronze.parse(bronze.as_messages(log(spark, 20)))
+    twice = batch.unionByName(batch)
+    contract = Contract.named(silver.CONTRACT)
+    silver.batch_writer(contract, f"{root}/s", f"{root}/q", dedupe=True)(twice, 0)
+    assert silver.read_silver(spark, f"{root}/s").count() == 20
+    silver.batch_writer(contract, f"{root}/s2", f"{root}/q2")(twice, 0)
+    row = stream_positions(silver.read_silver(spark, f"{root}/s2")).first()
+    assert (row["row_count"], row["position_count"]) == (40, 20)
+
+
 def test_a_bronze_sink_without_its_checkpoint_is_refused(spark, root):
     messages = message_files(spark, root, log(spark, 10))
     bronze.run_bronze(messages, f"{root}/b", f"{root}/c1")
