@@ -3,8 +3,10 @@
 A name is never compared with the whole list. If two names score at least the threshold,
 arithmetic on the Jaro-Winkler formula forces them to share so many characters that they
 must also share one of their few rarest ones. Names and list entries are keyed by those
-characters and meet in an equi-join, and only the pairs that meet are scored. No bound below is a heuristic: each
-follows from the formula, so every pair at or above the threshold is found.
+characters and meet in an equi-join. Of the pairs that meet, those that can share enough
+characters at all, which a comparison of two 64-bit masks tells, are scored. No bound below
+is a heuristic: each follows from the formula, so every pair at or above the threshold is
+found.
 
 With lengths l and w and m matched characters, Jaro is at most (m/l + m/w + 1)/3, and the
 Winkler boost adds at most 0.1 * p * (1 - jaro) for p common leading characters. Hence a
@@ -94,6 +96,29 @@ def _characters(name: Column) -> Column:
     )
 
 
+def _mask(chars: Column) -> Column:
+    """The characters as 64 bits: one each for the first two of every common character, the
+    remaining ten shared by the rest.
+
+    Two names share at most as many characters as their masks share bits, plus those that
+    found their bit taken in the name that has fewer of them.
+    """
+    def bit(char: Column) -> Column:
+        place = F.instr(F.lit(_COMMON_FIRST), F.substring(char, 3, 1))
+        repeat = F.substring(char, 4, 10).cast("int")
+        own = 2 * len(_COMMON_FIRST)
+        return F.when((place > 0) & (repeat <= 2), (place - 1) * 2 + repeat - 1).otherwise(
+            F.pmod(F.hash(char), F.lit(64 - own)) + own
+        )
+
+    return F.aggregate(
+        chars, F.lit(0).cast("bigint"),
+        lambda mask, char: mask.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(char))
+        ),
+    )
+
+
 def _keys(chars: Column, first: Column, count: Column, cls: int, length: Column) -> Column:
     """The first `count` characters as join keys of a class.
 
@@ -155,7 +180,14 @@ def _keyed(df: DataFrame, side: str, keys: Column) -> DataFrame:
     return (
         df.withColumn(f"{side}_len", F.coalesce(F.length(f"{side}_key"), F.lit(0)))
         .withColumn(f"{side}_chars", _characters(F.col(f"{side}_key")))
-        .select(f"{side}_key", f"{side}_len", F.inline(keys))
+        .withColumn(f"{side}_mask", _mask(F.col(f"{side}_chars")))
+        .withColumn(
+            f"{side}_taken",
+            F.size(f"{side}_chars") - F.bit_count(f"{side}_mask"),
+        )
+        .select(
+            f"{side}_key", f"{side}_len", f"{side}_mask", f"{side}_taken", F.inline(keys)
+        )
         .withColumnsRenamed({"at": f"{side}_at", "before": f"{side}_before"})
     )
 
@@ -197,11 +229,15 @@ def candidate_pairs(
         _overlap(share[_OTHER_FIRST], name_len, listed_len)
     )
     heads_differ = F.substring("name_key", 1, 1) != F.substring("listed_key", 1, 1)
+    shared_at_most = F.bit_count(
+        F.col("name_mask").bitwiseAND(F.col("listed_mask"))
+    ) + F.least("name_taken", "listed_taken")
     return (
         probe.join(index, ["cls", "head", "len_key", "char"])
         # Keys were laid out for the least demanding partner; these two know both lengths.
         .filter(F.col("name_at") <= name_len - need + 1)
         .filter(F.col("listed_at") <= listed_len - need + 1)
+        .filter(shared_at_most >= need)
         # A pair with equal first characters meets in both classes and is kept in its own.
         .filter(same_first | heads_differ)
         # A pair may meet on several characters; it is kept on the first they share. Both
