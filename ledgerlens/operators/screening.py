@@ -282,22 +282,34 @@ def best_matches(
     )
 
 
-def screen(
+def _keyed_names(dest_names: DataFrame) -> DataFrame:
+    return dest_names.withColumn("name_key", F.lower("dest_name")).filter(
+        F.col("name_key") != ""
+    )
+
+
+def match_names(
     dest_names: DataFrame, watchlist: DataFrame, threshold: float = THRESHOLD,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Destinations whose beneficiary name matches a listed one, with the best match."""
-    keyed = dest_names.withColumn("name_key", F.lower("dest_name")).filter(
-        F.col("name_key") != ""
-    )
+    """`best_matches` for the names of a destination table, each distinct name once."""
     # Names are few bytes but much work each. Spread by size alone they would end up in a
     # handful of tasks, so the distinct ones are dealt out to every core.
     context = dest_names.sparkSession.sparkContext
-    names = keyed.select("name_key").distinct().repartition(
-        max(context.defaultParallelism, BUSY_TASKS)
+    names = (
+        _keyed_names(dest_names).select("name_key").distinct()
+        .repartition(max(context.defaultParallelism, BUSY_TASKS))
     )
-    best = best_matches(names, watchlist, threshold, broadcast_bytes)
-    return keyed.join(best, "name_key").select(
+    return best_matches(names, watchlist, threshold, broadcast_bytes)
+
+
+def attach_matches(dest_names: DataFrame, matches: DataFrame) -> DataFrame:
+    """The destinations whose name has a match, with it.
+
+    An inner equi-join on the name: a match table Spark knows to be small is broadcast, and
+    otherwise a name carried by very many destinations is split by the skew join.
+    """
+    return _keyed_names(dest_names).join(matches, "name_key").select(
         "name_dest", "dest_name", "seeded_hit",
         F.col("entity_id").alias("watchlist_entity"),
         "program",
@@ -305,6 +317,16 @@ def screen(
     )
 
 
+def screen(
+    dest_names: DataFrame, watchlist: DataFrame, threshold: float = THRESHOLD,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Destinations whose beneficiary name matches a listed one, with the best match."""
+    return attach_matches(
+        dest_names, match_names(dest_names, watchlist, threshold, broadcast_bytes)
+    )
+
+
 def top_hits(hits: DataFrame, n: int = 10) -> DataFrame:
     """The highest-scoring hits; equal scores by destination."""
     return hits.orderBy(F.desc("match_score"), "name_dest").limit(n)

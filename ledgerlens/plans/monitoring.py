@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.operators.detection import (
     DRAIN, STRUCTURING, SWEEP, VELOCITY, build_alerts,
 )
-from ledgerlens.operators.screening import THRESHOLD, screen
+from ledgerlens.operators.screening import THRESHOLD, attach_matches, match_names
 from ledgerlens.session import scratch_path
 from ledgerlens.sources.files import children, remove, write_partitions
-from ledgerlens.streaming.bronze import run_bronze
-from ledgerlens.streaming.silver import bronze_stream, run_silver
+from ledgerlens.streaming.bronze import BRONZE, parse, run_bronze, start_append
+from ledgerlens.streaming.silver import bronze_stream, run_silver, start_silver
 
 ALL_RULES = (SWEEP, DRAIN, VELOCITY, STRUCTURING)
 
@@ -50,14 +51,37 @@ def run_alerts(
 def run_screening(
     dest_names: DataFrame, watchlist: DataFrame, path: str, threshold: float = THRESHOLD
 ) -> int:
-    screen(dest_names, watchlist, threshold).write.mode("overwrite").parquet(path)
-    return dest_names.sparkSession.read.parquet(path).count()
+    """Screen all destinations; returns the number of hits stored.
 
+    The matched names are stored first. Their size is then known, so that a small result is
+    broadcast and the destinations are not shuffled to meet it.
+    """
+    spark = dest_names.sparkSession
+    staged = scratch_path(spark, "matches")
+    match_names(dest_names, watchlist, threshold).write.parquet(staged)
+    attach_matches(dest_names, spark.read.parquet(staged)).write.mode("overwrite").parquet(path)
+    remove(spark, staged)
+    return spark.read.parquet(path).count()
 
-def run_stream(spark: SparkSession, messages: DataFrame, root: str, once: bool = True) -> None:
-    """Messages to bronze to silver under one root, each stage with its own checkpoint."""
-    run_bronze(messages, f"{root}/bronze", f"{root}/checkpoints/bronze", once)
+
+def run_stream(spark: SparkSession, messages: DataFrame, root: str) -> None:
+    """What has arrived, to bronze and on to silver, each with its own checkpoint; then stop."""
+    run_bronze(messages, f"{root}/bronze", f"{root}/checkpoints/bronze")
     run_silver(
-        bronze_stream(spark, f"{root}/bronze"), f"{root}/silver", f"{root}/quarantine",
-        f"{root}/checkpoints/silver", once,
+        bronze_stream(spark, f"{root}/bronze", BRONZE), f"{root}/silver", f"{root}/quarantine",
+        f"{root}/checkpoints/silver",
+    )
+
+
+def start_stream(
+    spark: SparkSession, messages: DataFrame, root: str
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Both stages side by side, until stopped."""
+    bronze = start_append(
+        parse(messages), f"{root}/bronze", f"{root}/checkpoints/bronze", once=False
+    )
+    silver = start_silver(
+        bronze_stream(spark, f"{root}/bronze", BRONZE), f"{root}/silver", f"{root}/quarantine",
+        f"{root}/checkpoints/silver", once=False,
     )
+    return bronze, silver

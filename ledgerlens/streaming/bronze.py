@@ -14,6 +14,7 @@ PAYLOAD = (
     "new_balance_orig double, name_dest string, old_balance_dest double, "
     "new_balance_dest double, is_fraud int"
 )
+BRONZE = "kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp, " + PAYLOAD
 MESSAGE = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 )

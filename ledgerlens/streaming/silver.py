@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ledgerlens.contracts import Contract
 from ledgerlens.operators.transactions import POSITION, conform, dedupe_stream
@@ -21,9 +22,15 @@ CONTRACT = "txn_monitoring_transaction"
 LINEAGE, BATCH = "query_id", "batch_id"
 
 
-def bronze_stream(spark: SparkSession, path: str) -> DataFrame:
-    """A landed table as a stream of its new files."""
-    schema = spark.read.parquet(path).schema
+def bronze_stream(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """A landed table as a stream of its new files.
+
+    Declare the schema where columns were added over time: older rows then read as null
+    there. Bronze is written exactly once; a silver batch that is retried replaces its files,
+    so a stream over silver belongs after the silver run, not beside it.
+    """
+    if schema is None:
+        schema = spark.read.parquet(path).schema
     return spark.readStream.schema(schema).parquet(path)
 
 

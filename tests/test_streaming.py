@@ -9,7 +9,7 @@ from frames import txns
 from ledgerlens.contracts import Contract
 from ledgerlens.operators import detection as d
 from ledgerlens.operators.transactions import conform, replay_messages, stream_positions
-from ledgerlens.plans.monitoring import run_stream
+from ledgerlens.plans.monitoring import run_stream, start_stream
 from ledgerlens.sources import files
 from ledgerlens.streaming import alerts, bronze, silver
 
@@ -186,6 +186,38 @@ def test_windowed_rules_stream_like_batch(spark, root, rule):
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
+def test_sweep_runs_on_parsed_messages_too(spark, root):
+    messages = message_files(spark, root, log(spark, 40))
+    parsed = bronze.parse(messages, skip_malformed=True)
+    alerts.start_sweep(parsed, f"{root}/out", f"{root}/ck").awaitTermination()
+    stored = spark.read.parquet(f"{root}/out")
+    assert stored.columns == alerts.SWEEP_COLUMNS and stored.count() == 10
+
+
+def test_both_stages_run_side_by_side(spark, root):
+    messages = message_files(spark, root, log(spark, 30))
+    queries = start_stream(spark, messages, f"{root}/lake")
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        queries[1].processAllAvailable()
+        stored = silver.read_silver(spark, f"{root}/lake/silver")
+        assert stream_positions(stored).first().asDict() == {"row_count": 30, "position_count": 30}
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def test_a_column_added_later_reads_as_null(spark, root):
+    log(spark, 5).drop("kafka_offset").write.parquet(f"{root}/old")
+    log(spark, 5).write.mode("append").parquet(f"{root}/old")
+    declared = "step int, kafka_offset bigint"
+    rows = spark.read.schema(declared).parquet(f"{root}/old")
+    assert rows.count() == 10 and rows.filter("kafka_offset is null").count() == 5
+    stream = silver.bronze_stream(spark, f"{root}/old", declared)
+    assert stream.isStreaming and stream.columns == ["step", "kafka_offset"]
+
+
 def test_open_windows_are_not_emitted(spark, root):
     rows = txns(spark, *[{"step": 10, "amount": 2_000_000}])
     stream = silver_files(spark, f"{root}/s", rows)
