@@ -357,6 +357,14 @@ TXN_RULES = {
         "or abs(old_balance_orig - new_balance_orig - amount) <= 1 or new_balance_orig = 0",
 }
 
+# What the kinds of spoiled message leave to be read.
+SPOILED = """, messages as (
+  select *, case kind when 1 then 'unreadable' when 2 then 'unreadable'
+    when 3 then 'unreadable' when 4 then 'no destination' when 5 then 'amount is text'
+    else 'readable' end as state
+  from (select *, (kafka_offset % 7)::int as kind from bronze)
+)"""
+
 # Sweep, drain, velocity and structuring, with the limits scaled to the event amounts.
 RULES = SILVER_TXN + """, moved as (
   select *, timestamp '2018-01-01' + to_hours(step) as event_time
@@ -591,15 +599,16 @@ ORACLES: dict[str, str] = {
         from txn""",
     "txn_contract_split": f"""with {BROKEN_TXN} {tagged("txn", TXN_RULES)}
         select kafka_partition, kafka_offset, failed_rules from tagged""",
-    "poison_payloads": """select (event_id % 7)::int as kind,
-          case event_id % 7 when 1 then 11 when 2 then 11 when 3 then 11
-            when 4 then 2 + (value = 0)::int when 5 then 1
-            else (value = 0)::int end as broken,
+    "poison_payloads": f"""with {TXN} {SPOILED}
+        select kind, case state
+            when 'unreadable' then 11
+            when 'no destination' then 2 + (amount = 0)::int
+            when 'amount is text' then 1
+            else (amount = 0)::int end as broken,
           count(*) as row_count
-        from events group by all""",
-    "skip_malformed": f"""with {TXN}
-        select kafka_offset, step, type, name_orig from bronze
-        where kafka_offset % 7 not in (1, 2, 3)""",
+        from messages group by all""",
+    "skip_malformed": f"""with {TXN} {SPOILED}
+        select kafka_offset, step, type, name_orig from messages where state <> 'unreadable'""",
     "sweep_alerts": f"""with {RULES}
         select step, {SWEEP_COLUMNS}, old_balance_orig::double as old_balance_orig,
           'whole_account_sweep' as rule from swept""",

@@ -247,15 +247,10 @@ def txn_contract_split(spark, sf):
 @query
 def poison_payloads(spark, sf):
     """How many rules each kind of spoiled message breaks."""
-    messages = views.poisoned_messages(spark, sf)
-    parsed = messages.select(
-        "kind", F.from_json(F.col("value").cast("string"), bronze.PAYLOAD).alias("t"),
-        F.col("offset").alias("kafka_offset"),
-    ).select("kind", "t.*", "kafka_offset")
+    parsed = transactions.conform(bronze.parse(views.poisoned_messages(spark, sf)))
     contract = Contract.named("txn_monitoring_transaction")
-    conformed = transactions.conform(parsed.withColumn("kafka_partition", F.col("kind")))
     return (
-        contract.tag(conformed, carry=["kafka_partition"])
+        contract.tag(parsed, carry=["kafka_partition"])
         .groupBy(F.col("kafka_partition").alias("kind"), F.size(FAILED).alias("broken"))
         .agg(F.count("*").alias("row_count"))
     )

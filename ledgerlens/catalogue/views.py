@@ -203,7 +203,8 @@ def replayed_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def poisoned_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message in one of seven states, from well formed to not JSON at all."""
+    """Every message in one of seven states, from well formed to not JSON at all; the
+    partition tells the state."""
     txns = bronze_txn(spark, sf_dir)
     log = replay_messages(txns).withColumn("kind", (F.col("position") % 7).cast("int"))
     value, kind = F.col("value"), F.col("kind")
@@ -220,9 +221,8 @@ def poisoned_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(value)
     )
     return log.select(
-        "kind",
         spoiled.cast("binary").alias("value"),
-        F.lit(0).alias("partition"),
+        kind.alias("partition"),
         F.col("position").alias("offset"),
         F.lit("2018-01-01").cast("timestamp").alias("timestamp"),
     )

@@ -22,8 +22,7 @@ CAPITAL_RATIO = Decimal("0.08")
 
 
 def money(amount: int | str | Decimal) -> Column:
-    """A money literal. Compared with a money column it leaves the column uncast, so that
-    the comparison can be pushed into the Parquet scan; an integer literal would widen it."""
+    """A money literal: exact, and of the type of the columns it is compared with."""
     return F.lit(Decimal(str(amount))).cast(MONEY)
 
 

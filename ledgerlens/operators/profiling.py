@@ -107,28 +107,21 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count and share of every value of several columns, in one pass over the table.
 
-    Nulls are not a category, but they count in the total a share is taken of. Both the
-    counts and the totals come from the same shuffle.
+    Nulls are not a category, but they count in the total a share is taken of. That total is
+    a scalar subquery that reads no column; a window over the column would bring every
+    distinct value of it into one task.
     """
     cells = [
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
         for c in columns
     ]
-    counted = (
+    total = df.select(F.count("*")).scalar()
+    return (
         df.select(F.inline(F.array(*cells)))
+        .filter(F.col("value").isNotNull())
         .groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    # One row per profiled column, so its size is known; a window over the column would bring
-    # every distinct value of it into one task.
-    totals = counted.groupBy("column_name").agg(F.sum("n").alias("_rows"))
-    return (
-        counted.filter(F.col("value").isNotNull())
-        .join(F.broadcast(totals), "column_name")
-        .select(
-            "column_name", "value", F.col("n").alias("row_count"),
-            (F.col("n").cast("double") * 100 / F.col("_rows")).alias("share_pct"),
-        )
+        .agg(F.count("*").alias("row_count"))
+        .withColumn("share_pct", F.col("row_count").cast("double") * 100 / total)
     )
 
 
@@ -166,28 +159,27 @@ def fraud_by_type(
 
 
 def exact_median(df: DataFrame, group: str, value: str, scale: int = 2) -> DataFrame:
-    """The exact median of a decimal(18, scale) column per group: `group, median`.
+    """The exact median of a decimal(18, scale) column per non-null group: `group, median`.
 
     `percentile` would gather a group's values in one task. Here equal values collapse into
     counts, and the middle ranks are located digit by digit: each of three rounds counts at
     most a million digit values per group and keeps the one that holds the rank, so no task
     ever sees more than that.
     """
+    cents = (F.col(value).cast(f"decimal(18,{scale})") * F.lit(10**scale)).cast("bigint")
     counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(
-            F.col(group).alias("g"),
-            (F.col(value).cast(f"decimal(18,{scale})") * F.lit(10**scale))
-            .cast("bigint").alias("v"),
-        )
+        df.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
+        .groupBy(F.col(group).alias("g"), F.coalesce(cents, F.lit(0)).alias("v"))
         .agg(F.count("*").alias("n"))
     )
-    # Floor division, so that negative numbers order rightly by their digits.
+    # Floor division, so that negative numbers order rightly by their digits. The digits are
+    # declared non-null: a not-null filter that only some rounds infer would make their
+    # inputs differ, and the counts would be computed anew for each round.
     digits = (
-        counts.withColumn("d2", F.expr(f"pmod(v, {_BASE})"))
-        .withColumn("v1", F.expr(f"(v - d2) div {_BASE}"))
-        .withColumn("d1", F.expr(f"pmod(v1, {_BASE})"))
-        .withColumn("d0", F.expr(f"(v1 - d1) div {_BASE}"))
+        counts.withColumn("d2", F.expr(f"coalesce(pmod(v, {_BASE}), 0)"))
+        .withColumn("v1", F.expr(f"coalesce((v - d2) div {_BASE}, 0)"))
+        .withColumn("d1", F.expr(f"coalesce(pmod(v1, {_BASE}), 0)"))
+        .withColumn("d0", F.expr(f"coalesce((v1 - d1) div {_BASE}, 0)"))
         .select("g", "d0", "d1", "d2", "n")
     )
     # The lower and upper middle rank of each group, equal for an odd number of rows.
