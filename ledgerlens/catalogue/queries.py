@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DateType, DecimalType, TimestampNTZType, TimestampType
 
 from ledgerlens.catalogue import views
-from ledgerlens.catalogue.views import FIRST_MONTH, LAST_MONTH, REPORTING_DATE
+from ledgerlens.catalogue.views import REPORTING_DATE
 from ledgerlens.contracts import Contract
 from ledgerlens.contracts.contract import FAILED
 from ledgerlens.functions.dates import MONTH_END

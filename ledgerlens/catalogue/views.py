@@ -44,7 +44,9 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
             "case when o_orderkey % 223 = 0 then 'n/a' "
             "else date_format(o_orderdate, 'MMM-yyyy') end"
         ).alias("issue_d"),
-        F.expr("case when o_orderkey % 3 = 0 then ' 60 months' else ' 36 months' end").alias("term"),
+        F.expr(
+            "case when o_orderkey % 3 = 0 then ' 60 months' else ' 36 months' end"
+        ).alias("term"),
         # Interest-free loans are for amounts that divide into whole instalments.
         F.expr(
             "case when o_custkey % 37 = 0 then floor(o_totalprice / 360) * 360.0D "
@@ -55,7 +57,9 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
             "case when o_orderkey % 509 = 0 then null when o_custkey % 37 = 0 then 0.0D "
             "else cast(5 + o_custkey % 20 as double) end"
         ).alias("int_rate"),
-        F.expr("o_totalprice / case when o_orderkey % 3 = 0 then 60 else 36 end").alias("installment"),
+        F.expr(
+            "o_totalprice / case when o_orderkey % 3 = 0 then 60 else 36 end"
+        ).alias("installment"),
         F.expr("substr('ABCDEFG', cast(1 + o_custkey % 7 as int), 1)").alias("grade"),
         F.expr(
             "concat(substr('ABCDEFG', cast(1 + o_custkey % 7 as int), 1), "
@@ -65,7 +69,9 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("concat('NATION_', o_custkey % 25)").alias("addr_state"),
         F.expr("cast(20000 + (o_custkey % 1000) * 100 as double)").alias("annual_inc"),
         F.expr("cast(o_custkey % 400 as double) / 10").alias("dti"),
-        F.expr("case when o_orderkey % 29 = 0 then 'Joint App' else 'Individual' end").alias("application_type"),
+        F.expr(
+            "case when o_orderkey % 29 = 0 then 'Joint App' else 'Individual' end"
+        ).alias("application_type"),
         F.expr(
             "case o_custkey % 3 when 0 then 'RENT' when 1 then 'OWN' else 'MORTGAGE' end"
         ).alias("home_ownership"),

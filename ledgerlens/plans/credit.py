@@ -101,16 +101,18 @@ def run_silver(
         FAILED, broken_rules(exposure.rules())
     )
     staged = Staged(tagged, "silver-exposure")
-    kept, dropped = staged.counts()
-    replace_partition(
-        staged.quarantined, quarantine_root, "snapshot_date", snapshot,
-        known_empty=dropped == 0,
-    )
-    replace_partition(
-        staged.passed, silver_root, "snapshot_date", snapshot, known_empty=kept == 0
-    )
-    staged.drop()
-    return Outcome(kept, dropped)
+    try:
+        kept, dropped = staged.counts()
+        replace_partition(
+            staged.quarantined, quarantine_root, "snapshot_date", snapshot,
+            known_empty=dropped == 0,
+        )
+        replace_partition(
+            staged.passed, silver_root, "snapshot_date", snapshot, known_empty=kept == 0
+        )
+        return Outcome(kept, dropped)
+    finally:
+        staged.drop()
 
 
 def _publish(

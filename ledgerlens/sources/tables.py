@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 from typing import Any
@@ -65,11 +66,15 @@ def replace_slice(
         return
     target = spark.table(table)
     body = df.select(*[c for c in target.columns if c != column])
-    body.createOrReplaceTempView("_replacement")
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = '{value}') "
-        "SELECT * FROM _replacement"
-    )
+    view = f"replacement_{uuid.uuid4().hex}"
+    body.createTempView(view)
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = '{value}') "
+            f"SELECT * FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def rows(spark: SparkSession, data: Sequence[tuple], ddl: str) -> DataFrame:
