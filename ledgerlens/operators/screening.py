@@ -111,11 +111,15 @@ def _mask(chars: Column) -> Column:
             F.pmod(F.hash(char), F.lit(64 - own)) + own
         )
 
-    return F.aggregate(
-        chars, F.lit(0).cast("bigint"),
-        lambda mask, char: mask.bitwiseOR(
-            F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(char))
+    # Never null, for the same reason as the characters.
+    return F.coalesce(
+        F.aggregate(
+            chars, F.lit(0).cast("bigint"),
+            lambda mask, char: mask.bitwiseOR(
+                F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(char))
+            ),
         ),
+        F.lit(0).cast("bigint"),
     )
 
 
