@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import SPACED_WORD, table, whole
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 ROUNDS, SMOOTHING, THRESHOLD = 10, 0.02, 0.5
 # Frequent words of the corpus languages.
@@ -29,53 +29,57 @@ STOP_WORDS = {
 }
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once: a lambda over an array of one names it. A
+    column of an inner select would be inlined into every place that uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _repeated(trigrams: Column) -> Column:
     """Positions of words inside three-word windows that occur twice or more."""
-    placed = F.sort_array(F.transform(trigrams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-
-    def covered(sorted_: Column) -> Column:
+    def covered(placed: Column) -> Column:
         def again(s: Column, i: Column) -> Column:
-            before, after = F.get(sorted_, i - 1)["h"], F.get(sorted_, i + 1)["h"]
+            before, after = F.get(placed, i - 1)["h"], F.get(placed, i + 1)["h"]
             return F.coalesce(s["h"] == before, F.lit(False)) | F.coalesce(s["h"] == after, F.lit(False))
 
-        hits = F.transform(F.filter(sorted_, again), lambda s: F.array(s["i"], s["i"] + 1, s["i"] + 2))
+        hits = F.transform(F.filter(placed, again), lambda s: F.array(s["i"], s["i"] + 1, s["i"] + 2))
         return F.size(F.array_distinct(F.flatten(hits))).cast("long")
 
-    # A lambda over an array of one names the sorted array, so that it is sorted only once.
-    return F.transform(F.array(placed), covered)[0]
+    return _let(F.sort_array(F.transform(trigrams, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), covered)
 
 
-def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with one struct column `_m` of counts over the whole text.
+def measures(text: Column) -> Column:
+    """A struct of counts over the whole text, each array computed once.
 
     Windows of three words are compared by 64-bit hashes within one text. The sort that finds
     their places only runs where the hashes are not all different.
     """
-    text = F.col("_text")
-    base = docs.withColumn("_text", whole(text_col)).withColumn(
-        "_words", F.filter(F.split("_text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    ).withColumn(
-        "_lines", F.filter(F.split("_text", "\n"), lambda x: F.regexp_like(x, F.lit(SPACED_WORD)))
-    ).withColumn(
-        "_three", F.slice(
-            F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2))),
-            1, F.greatest(F.size("_words") - 2, F.lit(0))))
-    words = F.col("_words")
-    stop_hits = F.greatest(*[F.size(F.array_intersect(words, F.array(*map(F.lit, s.split())))) for s in STOP_WORDS.values()])
-    counted = base.withColumn("_m", F.struct(
-        F.size(words).cast("long").alias("n_words"),
-        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size(F.array_distinct("_three")) == F.size("_three"), F.lit(0).cast("long"))
-        .otherwise(_repeated(F.col("_three"))).alias("n_repeat_words"),
+    def of_words(words: Column) -> Column:
+        three = F.slice(
+            F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))),
+            1, F.greatest(F.size(words) - 2, F.lit(0)))
+        stop_hits = F.greatest(*[
+            F.size(F.array_intersect(words, F.array(*map(F.lit, s.split())))) for s in STOP_WORDS.values()])
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+            F.size(F.array_distinct(words)).cast("long").alias("n_distinct"),
+            stop_hits.cast("long").alias("stop_hits"),
+            _let(three, lambda t: F.when(F.size(F.array_distinct(t)) == F.size(t), F.lit(0).cast("long"))
+                 .otherwise(_repeated(t))).alias("n_repeat_words"))
+
+    def of_lines(lines: Column) -> Column:
+        return F.struct(
+            F.size(lines).cast("long").alias("n_lines"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"))
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(SPACED_WORD)))
+    return F.struct(
+        _let(words, of_words).alias("w"), _let(lines, of_lines).alias("l"),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
-        F.regexp_count(text, F.lit(r"[!?]{2,}")).cast("long").alias("n_shouts"),
-        F.size(F.array_distinct(words)).cast("long").alias("n_distinct"),
-        stop_hits.cast("long").alias("stop_hits"),
-    ))
-    return counted.drop("_text", "_words", "_lines", "_three")
+        F.regexp_count(text, F.lit(r"[!?]{2,}")).cast("long").alias("n_shouts"))
 
 
 def votes(m: Column) -> Column:
@@ -83,23 +87,24 @@ def votes(m: Column) -> Column:
 
     A text without words gets no votes but the one on its length.
     """
-    words, chars = F.greatest(m["n_words"], F.lit(1)), F.greatest(m["word_chars"], F.lit(1))
-    lines = F.greatest(m["n_lines"], F.lit(1))
+    words, chars = F.greatest(m["w"]["n_words"], F.lit(1)), F.greatest(m["w"]["word_chars"], F.lit(1))
+    lines = F.greatest(m["l"]["n_lines"], F.lit(1))
 
     def rule(measure: Column, good_to: float, bad_from: float) -> Column:
         vote = F.when(measure <= good_to, "+").when(measure >= bad_from, "-").otherwise("0")
-        return F.when(m["n_words"] > 0, vote).otherwise("0")
+        return F.when(m["w"]["n_words"] > 0, vote).otherwise("0")
 
     return F.concat(
-        F.when(m["n_words"] < MIN_WORDS, "-").when(m["n_words"] >= 2 * MIN_WORDS, "+").otherwise("0"),
-        rule(F.abs(m["word_chars"] / words - 6.5), 2.5, 4.5),
+        F.when(m["w"]["n_words"] < MIN_WORDS, "-").when(m["w"]["n_words"] >= 2 * MIN_WORDS, "+").otherwise("0"),
+        rule(F.abs(m["w"]["word_chars"] / words - 6.5), 2.5, 4.5),
         rule(m["n_symbols"] / chars, 0.01, 0.08),
-        rule(m["n_dup_lines"] / lines, 0.1, 0.5),
-        rule(m["n_repeat_words"] / words, 0.1, 0.4),
+        rule(m["n_symbols"] / words, 0.05, 0.3),
+        rule(m["l"]["n_dup_lines"] / lines, 0.1, 0.5),
+        rule(m["w"]["n_repeat_words"] / words, 0.1, 0.4),
         rule(m["n_upper"] / chars, 0.1, 0.4),
         rule(m["n_shouts"] / words, 0.01, 0.2),
-        rule(1 - m["n_distinct"] / words, 0.7, 0.9),
-        rule(-m["stop_hits"] / F.least(words / 20, F.lit(5.0)), -0.6, -0.05),
+        rule(1 - m["w"]["n_distinct"] / words, 0.7, 0.9),
+        rule(-m["w"]["stop_hits"] / F.least(words / 20, F.lit(5.0)), -0.6, -0.05),
     )
 
 
@@ -148,14 +153,14 @@ def fit(patterns: DataFrame, rules: int) -> dict:
     return model
 
 
-RULES = 9
+RULES = 10
 
 
 def _judged(measured: DataFrame) -> DataFrame:
     """Rows with `_m`, written once, with `_good`, `_failed` and `_kept`."""
     stored = table(measured.withColumn("_votes", votes(F.col("_m"))), "quality")
     model = fit(stored.groupBy(F.col("_votes").alias("pattern")).agg(F.count(F.lit(1)).alias("n")), RULES)
-    m = F.col("_m")
+    m = F.col("_m")["w"]
     failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEATED_PERCENT * m["n_words"])
     return stored.withColumn("_good", posterior(F.col("_votes"), model)).withColumn("_failed", failed).withColumn(
         "_kept", ~F.col("_failed") & (F.col("_good") >= THRESHOLD))
@@ -168,16 +173,16 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     A null text has no words and fails, as does an empty one. Repeated rows are each judged
     and get the same verdict; other columns are not read; an empty table gives none.
     """
-    measured = measures(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body")), "_body").drop("_body")
+    measured = docs.select(F.col(id_col).alias("_id"), measures(whole(text_col)).alias("_m"))
     m = F.col("_m")
     return _judged(measured).select(
-        F.col("_id").alias(id_col), m["n_words"].alias("n_words"), m["word_chars"].alias("word_chars"),
-        m["n_symbols"].alias("n_symbols"), m["n_dup_lines"].alias("n_dup_lines"),
-        m["n_repeat_words"].alias("n_repeat_words"), F.col("_failed").alias("base_failed"),
+        F.col("_id").alias(id_col), m["w"]["n_words"].alias("n_words"), m["w"]["word_chars"].alias("word_chars"),
+        m["n_symbols"].alias("n_symbols"), m["l"]["n_dup_lines"].alias("n_dup_lines"),
+        m["w"]["n_repeat_words"].alias("n_repeat_words"), F.col("_failed").alias("base_failed"),
         F.col("_kept").alias("kept"), F.round("_good", 6).alias("p_good"))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of docs that the verdict keeps, with the columns of docs."""
-    held = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_body"))
-    return _judged(measures(held, "_body").drop("_body")).filter("_kept").select("_row.*")
+    held = docs.select(F.struct(*docs.columns).alias("_row"), measures(whole(text_col)).alias("_m"))
+    return _judged(held).filter("_kept").select("_row.*")
