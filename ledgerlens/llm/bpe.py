@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,12 +20,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.chunks import pieces
+from ledgerlens.llm.chunks import Known, pieces
 from ledgerlens.llm.common import slices, whole
 
 # Fixed value: the published pre-tokenisation pattern of this vocabulary.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-NEVER = np.int64(1 << 40)
+NEVER, NONE = np.int64(1 << 40), 1 << 40
 
 
 def byte_symbols() -> dict[str, int]:
@@ -51,7 +52,9 @@ class Vocabulary:
         for content, i in added.items():
             self.bytes[i] = content.encode()
         self.ids = {self.bytes[i]: i for i in vocab.values()}
-        self.longest = max(map(len, self.ids))
+        self.reach: dict[bytes, int] = {}
+        for token in self.ids:
+            self.reach[token[:2]] = max(self.reach.get(token[:2], 1), len(token))
         self.special = added
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(added, key=len, reverse=True)) + ")") if added else None
         self.base = [self.ids[bytes([b])] for b in range(256)]
@@ -102,9 +105,10 @@ class Vocabulary:
 
     def greedy(self, word: bytes) -> list[int]:
         out, at, n = [], 0, len(word)
-        ids = self.ids
+        ids, reach = self.ids, self.reach
         while at < n:
-            stop = min(n, at + self.longest)
+            # No token that starts with these two bytes is longer than that.
+            stop = min(n, at + reach.get(word[at:at + 2], 1))
             while word[at:stop] not in ids:
                 stop -= 1
             out.append(ids[word[at:stop]])
@@ -112,7 +116,25 @@ class Vocabulary:
         return out
 
     def exact(self, word: bytes) -> list[int]:
-        """Merging in order of rank, leftmost first, in n log n steps."""
+        """Merging in order of rank, leftmost first."""
+        return self._exact_short(word) if len(word) <= 48 else self._exact_long(word)
+
+    def _exact_short(self, word: bytes) -> list[int]:
+        token = [self.base[c] for c in word]
+        merge, none = self.merge.get, (NONE, 0)
+        ranks = [merge(pair, none) for pair in zip(token, token[1:])]
+        while ranks and (best := min(ranks)) is not none and best[0] != NONE:
+            i = ranks.index(best)
+            token[i:i + 2] = [best[1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = merge((token[i - 1], token[i]), none)
+            if i < len(ranks):
+                ranks[i] = merge((token[i], token[i + 1]), none)
+        return token
+
+    def _exact_long(self, word: bytes) -> list[int]:
+        """The same with a heap, in n log n steps."""
         token = [self.base[c] for c in word]
         n = len(token)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -161,35 +183,34 @@ class Vocabulary:
 
 
 class Codec:
-    """Encodes and decodes texts; words and pieces met before come from tables that are
-    emptied at `most` entries."""
+    """Encodes and decodes texts; words and pieces that were met before come from tables."""
 
-    def __init__(self, path: str, most: int = 300_000):
-        self.vocabulary, self.most = Vocabulary(path), most
-        self.words: dict[str, list[int]] = {}
-        self.pieces: dict[str, bytes] = {}
+    def __init__(self, path: str, most: int = 250_000):
+        self.vocabulary = Vocabulary(path)
+        self.words, self.pieces = Known(most), Known(most)
 
-    def _split(self, piece: str) -> list[str]:
-        special = self.vocabulary.special
-        if self.vocabulary.cut is None or not any(s in piece for s in special):
-            return WORD.findall(piece)
-        parts = self.vocabulary.cut.split(piece)
-        return [w for p in parts if p for w in ([p] if p in special else WORD.findall(p))]
+    def _split(self, piece: str, special: bool) -> list[str]:
+        if special:
+            parts = self.vocabulary.cut.split(piece)
+            return [w for p in parts if p for w in ([p] if p in self.vocabulary.special else WORD.findall(p))]
+        if piece[1:].isalpha() and piece[0] == " " and piece.isascii():
+            return [piece]
+        return WORD.findall(piece)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.pieces) > self.most or len(self.words) > self.most:
-            self.pieces.clear()
-            self.words.clear()
+        specials = self.vocabulary.special
+        special = any(s in t for s in specials for t in texts)
         cut = [pieces(t) for t in texts]
-        new = {p: self._split(p) for p in {p for c in cut for p in c if p not in self.pieces}}
-        special = self.vocabulary.special
-        unknown = list({w for ws in new.values() for w in ws if w not in self.words and w not in special})
+        new = [(p, self._split(p, special)) for p in self.pieces.missing({p for c in cut for p in c})]
+        unknown = self.words.missing({w for _, ws in new for w in ws} - specials.keys())
+        young = self.words.young
         if unknown:
-            self.words.update(zip(unknown, self.vocabulary.encode_words([w.encode() for w in unknown]), strict=True))
-        for p, ws in new.items():
-            ids = [i for w in ws for i in ([special[w]] if w in special else self.words[w])]
-            self.pieces[p] = np.array(ids, np.int32).tobytes()
-        get = self.pieces.__getitem__
+            coded = self.vocabulary.encode_words([w.encode() for w in unknown])
+            young.update((w, array("i", ids).tobytes()) for w, ids in zip(unknown, coded, strict=True))
+        tokens = young if not special else {**young, **{s: array("i", [i]).tobytes() for s, i in specials.items()}}
+        self.pieces.young.update(
+            (p, tokens[ws[0]] if len(ws) == 1 else b"".join([tokens[w] for w in ws])) for p, ws in new)
+        get = self.pieces.young.__getitem__
         return [np.frombuffer(b"".join(map(get, c)), np.int32) for c in cut]
 
     def decode(self, ids: np.ndarray) -> str:

@@ -19,3 +19,25 @@ def pieces(text: str) -> list[str]:
         return _CUT.split(text)
     first, *rest = text.split(" ")
     return [first, *[" " + r for r in rest]]
+
+
+class Known:
+    """A table in two generations: at `most` entries the younger one becomes the older one, so
+    what is in use stays and the size is bounded."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that have to be made; the others are in `young` afterwards."""
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        out = []
+        for k in keys:
+            if k not in young:
+                if k in old:
+                    young[k] = old[k]
+                else:
+                    out.append(k)
+        return out

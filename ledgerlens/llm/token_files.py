@@ -25,7 +25,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.chunks import pieces
+from ledgerlens.llm.chunks import Known, pieces
 from ledgerlens.llm.common import slices, whole
 from ledgerlens.session import scratch_path
 
@@ -93,28 +93,24 @@ def _opened(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Encoder:
-    """ids of a text by the tokenizers library. Pieces that were met before come from a table,
-    which is emptied at `most` entries."""
+    """ids of a text by the tokenizers library. Pieces that were met before come from a table."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-        self.most = most
+        self.known = Known(most)
 
     def __call__(self, texts: list[str], end: int | None) -> list[bytes]:
         cut = [pieces(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = list({p for c in cut for p in c if p not in self.known})
+        new = self.known.missing({p for c in cut for p in c})
         for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[p] = np.asarray(e.ids, self.kind).tobytes()
+            self.known.young[p] = np.asarray(e.ids, self.kind).tobytes()
         tail = b"" if end is None else self.kind.type(end).tobytes()
-        get = self.known.__getitem__
+        get = self.known.young.__getitem__
         return [b"".join(map(get, c)) + tail for c in cut]
 
 
