@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = ["orders", "lineitem", "events", "part"]
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are absent")
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = entry_points.REGISTRY, entry_points.ORACLES
 
 
 @pytest.fixture(scope="module")
