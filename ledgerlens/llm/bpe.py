@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.chunks import Known, pieces
-from ledgerlens.llm.common import slices, whole
+from ledgerlens.llm.common import beside, slices, whole
 
 # Fixed value: the published pre-tokenisation pattern of this vocabulary.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -225,7 +225,7 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     an empty table gives none. Memory is bounded by one slice of about a megabyte of text, or
     one text, and the tables.
     """
-    schema = docs.select(F.col(id_col)).schema.add("ids", "array<int>").add("decoded", "string")
+    schema = beside(docs, id_col, "ids array<int>, decoded string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(tokenizer)

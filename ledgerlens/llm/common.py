@@ -54,3 +54,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20)
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+
+
+def beside(docs: DataFrame, id_col: str, columns: str) -> str:
+    """The schema of the id column as it is in docs, and the given columns."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    return f"`{id_col}` {kind}, {columns}"

@@ -17,9 +17,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import LOWER_BYTES, PLAIN_WORD, slices, whole
+from ledgerlens.llm.common import LOWER_BYTES, PLAIN_WORD, beside, slices, whole
 from ledgerlens.llm.license_rules import NAMES, PASSAGES
 
 # Phrases and labels that always count.
@@ -139,10 +138,6 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of the strongest detection. Rows are treated one by one: repeated ones repeat, other columns
     are not read, an empty table gives none. Memory: one slice of texts, or one text.
     """
-    schema = docs.select(F.col(id_col)).schema
-    for field in COLUMNS.split(", "):
-        name, kind = field.split(" ", 1)
-        schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner()
@@ -160,4 +155,4 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [b[id_col], *[pa.array([o[n] for o in out], k) for n, k in zip(names, kinds, strict=True)]], [id_col, *names])
 
-    return docs.select(id_col, whole(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(id_col, whole(text_col).alias("_text")).mapInArrow(run, beside(docs, id_col, COLUMNS))
