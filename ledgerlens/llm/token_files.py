@@ -103,12 +103,35 @@ class Encoder:
         self.tokenizer.no_padding()
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known = Known(most)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # One character of a byte-level token stands for one byte.
+        self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
+
+    def _joined(self, some: list[str]) -> list[bytes]:
+        """The ids of pieces by one call on all of them. Pieces that start with a space and end
+        in something else stay apart for the pre-tokeniser; the lengths of the tokens in bytes
+        tell where each piece ends."""
+        text = "".join(some)
+        ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+        lengths = map(len, some if text.isascii() else [p.encode() for p in some])
+        ends = np.cumsum(np.fromiter(lengths, np.int64, len(some)))
+        cuts = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * self.kind.itemsize).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _learn(self, new: list[str], special: bool) -> None:
+        known = self.known.young
+        joined = [] if special else [p for p in new if p[:1] == " " and not p[-1].isspace()]
+        for i in range(0, len(joined), 1000):
+            known.update(zip(joined[i:i + 1000], self._joined(joined[i:i + 1000]), strict=True))
+        rest = [p for p in new if p not in known]
+        for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+            known[p] = np.asarray(e.ids, self.kind).tobytes()
 
     def __call__(self, texts: list[str], end: int | None) -> list[bytes]:
         cut = [pieces(t) for t in texts]
-        new = self.known.missing({p for c in cut for p in c})
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known.young[p] = np.asarray(e.ids, self.kind).tobytes()
+        special = any(s in t for s in self.added for t in texts)
+        self._learn(self.known.missing({p for c in cut for p in c}), special)
         tail = b"" if end is None else self.kind.type(end).tobytes()
         get = self.known.young.__getitem__
         return [b"".join(map(get, c)) + tail for c in cut]
