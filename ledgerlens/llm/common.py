@@ -60,3 +60,11 @@ def beside(docs: DataFrame, id_col: str, columns: str) -> str:
     """The schema of the id column as it is in docs, and the given columns."""
     kind = docs.schema[id_col].dataType.simpleString()
     return f"`{id_col}` {kind}, {columns}"
+
+
+ROW = "_row_number"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number of its own for each row; it holds once the rows are written."""
+    return docs.withColumn(ROW, F.monotonically_increasing_id())

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import ascii_lower, table, whole
+from ledgerlens.llm.common import ROW, ascii_lower, numbered, table, whole
 
 RUNS, FAN = 64, 8
 DIGEST = ["_digest", "_bytes", "_check"]
@@ -78,3 +78,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         (F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_nth") == 1)).alias("kept"),
         F.lower(F.hex("_digest")).alias("text_sha256"),
     )
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay, one per text, with the columns of docs."""
+    stored = table(numbered(docs), "copies")
+    at = stored.select(F.struct(F.col(id_col).alias("id"), F.col(ROW).alias("row")).alias("_at"), F.col(text_col).alias("_text"))
+    kept = exact_dedup(at, "_at", "_text").filter("kept").select(F.col("_at.row").alias(ROW))
+    return stored.join(kept, ROW, "left_semi").select(*docs.columns)

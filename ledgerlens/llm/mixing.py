@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import SPACED_WORD, table, whole
+from ledgerlens.llm.common import ROW, SPACED_WORD, numbered, table, whole
 
 WEIGHTS, SHARE, REPEATS = (5, 2, 1), 1.5, 2
 SHARD_BLOCKS, SHARD_WORDS = 1 << 16, 1 << 30
@@ -34,10 +34,11 @@ def _drawn(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(SEED), *parts))
 
 
-def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, row_col: str | None = None) -> DataFrame:
     """id, source key ("s" and the source, or "n" for null), words, place in the seeded order."""
     return docs.select(
         F.col(id_col).alias("_id"),
+        (F.col(row_col) if row_col else F.lit(0).cast("long")).alias("_row"),
         F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n")).alias("_key"),
         F.regexp_count(whole(text_col), F.lit(SPACED_WORD)).cast("long").alias("_size"),
         _drawn(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_draw"),
@@ -113,16 +114,17 @@ def shard_quotas(sources: DataFrame) -> DataFrame:
     return so_far.withColumn("_blocks", F.col("quota") - before)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        row_col: str | None = None) -> DataFrame:
     """One row per row of docs: id, size, source_size, target, taken.
 
     size counts words between ASCII white space (null text: 0); a null source is one source,
     ranked last. taken is the number of words that the mix takes of the document, at most
     twice its size; a source's taken words are its quota of blocks, so they differ from its
     target by about a block (total / 65536, at least a word). Rows repeated with one id are
-    told apart by nothing and share their places in the stream. Empty tables give none.
+    told apart by `row_col`, if there is one, which then comes back too. Empty tables give none.
     """
-    rows = table(sizes(docs, id_col, text_col, source_col), "sizes")
+    rows = table(sizes(docs, id_col, text_col, source_col, row_col), "sizes")
     ranges = table(rows.groupBy("_key", "_range").agg(F.sum("_size").alias("_in_range")), "ranges")
     # Small tables are written between the steps, so that each is planned on its own.
     sources = table(targets(ranges.groupBy("_key").agg(F.sum("_in_range").alias("_words"))), "targets")
@@ -138,7 +140,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.coalesce(F.sum("_in_range").over(
             Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
     ).join(plan, "_key")
-    ordered = Window.partitionBy("_key", "_range").orderBy("_draw", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy("_key", "_range").orderBy("_draw", "_id", "_size", "_row").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("_within", F.coalesce(F.sum("_size").over(ordered), F.lit(0))).join(starts, ["_key", "_range"])
     at, to = F.col("_before") + F.col("_within"), F.col("_before") + F.col("_within") + F.col("_size")
     passes = F.coalesce(F.floor(F.try_divide(F.col("_length"), F.col("_words"))), F.lit(0))
@@ -146,5 +148,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     over = F.greatest(F.lit(0), F.least(to, F.least(end, F.col("_words"))) - F.greatest(at, F.col("_start")))
     wrapped = F.greatest(F.lit(0), F.least(to, end - F.col("_words")) - at)
     return placed.select(
-        F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_words").alias("source_size"),
+        F.col("_id").alias(id_col), *([F.col("_row").alias(row_col)] if row_col else []), F.col("_size").alias("size"), F.col("_words").alias("source_size"),
         F.col("_target").alias("target"), (passes * F.col("_size") + over + wrapped).cast("long").alias("taken"))
+
+
+def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of docs, each as many times as the mix passes over it; a pass that takes part
+    of a document counts as one, which concerns two documents a source at most."""
+    stored = table(numbered(docs), "mix")
+    taken = mix(stored, id_col, text_col, source_col, ROW).filter("taken > 0").select(
+        ROW, F.ceil(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    joined = stored.join(taken, ROW)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bpe, exact_dedup, license_scan, mixing, quality, token_files
+from ledgerlens.llm import bpe, exact_dedup, license_scan, mixing, near_dedup, pii, quality, token_files, wrappers
 from ledgerlens.llm.common import load
 
 
@@ -27,6 +27,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(load(spark, sf_dir, "pages"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digests(load(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
@@ -35,13 +43,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(load(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_license_scan, op2_token_files, op3_bpe, op6_mixing, op8_quality, op10_exact_dedup)
+        op1_license_scan, op2_token_files, op3_bpe, op4_main_text, op5_pii, op6_mixing, op8_quality, op9_near_dedup, op10_exact_dedup)
 }
 
 ORACLES: dict[str, str] = {

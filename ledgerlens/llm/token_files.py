@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.chunks import Known, pieces
@@ -198,8 +198,6 @@ def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id",
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (tokens before it in all shards), tokens (its ids as bytes, two or four
     each) and width, from the files. A task reads one shard a block of documents at a time."""
-    from pyspark.sql import Window
-
     manifest = spark.read.schema("shard int, path string, docs long, tokens long").parquet(f"{folder}/manifest")
     # One row a shard: the sum over all of them is a table of a few columns.
     placed = manifest.withColumn("base", F.coalesce(
