@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bpe, exact_dedup, license_scan, mixing, near_dedup, pii, quality, token_files, wrappers
+from ledgerlens.llm import bpe, exact_dedup, license_scan, mixing, near_dedup, pii, quality, suffix_dedup, token_files, wrappers
 from ledgerlens.llm.common import load
 
 
@@ -39,6 +39,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_digests(load(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_license_scan, op2_token_files, op3_bpe, op4_main_text, op5_pii, op6_mixing, op8_quality, op9_near_dedup, op10_exact_dedup)
+        op1_license_scan, op2_token_files, op3_bpe, op4_main_text, op5_pii, op6_mixing, op7_suffix_dedup, op8_quality, op9_near_dedup, op10_exact_dedup)
 }
 
 ORACLES: dict[str, str] = {
