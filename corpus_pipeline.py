@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, common, exact_dedup, mixing, quality
+from ledgerlens.llm import bpe, common, exact_dedup, mixing, near_dedup, quality
 from ledgerlens.llm.queries import tokenizer_path
 
 # The order of rows and hash-drawn copies can't be told in DuckDB SQL, nor near duplicates.
@@ -23,6 +23,11 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.drop_copies(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id."""
+    return near_dedup.drop_near_copies(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes words of it, a part of it counting as once."""
     return mixing.repeat(docs)
@@ -34,7 +39,8 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality", quality_rules), ("exact_dedup", exact_duplicates), ("mixing", mixed), ("bpe", encoded),
+    ("quality", quality_rules), ("exact_dedup", exact_duplicates),
+    ("near_dedup", near_duplicates), ("mixing", mixed), ("bpe", encoded),
 ]
 
 
