@@ -10,7 +10,7 @@ over the patterns for the rounds of the estimate.
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,20 +108,16 @@ def votes(m: Column) -> Column:
     )
 
 
-def _log(p: dict, rule: int, vote: Column, good: bool) -> Column:
-    share = p[rule]
-    side = 0 if good else 1
-    return F.when(vote == "+", F.log(F.lit(share["+"][side]))).when(vote == "-", F.log(F.lit(share["-"][side]))).otherwise(
-        F.log(F.lit(share["0"][side])))
+VOTES = "+0-"
 
 
 def posterior(pattern: Column, model: dict) -> Column:
-    """The probability of being good, given the votes."""
-    n = len(model["rules"])
-    picked = [F.substring(pattern, i + 1, 1) for i in range(n)]
-    odds = reduce(lambda a, b: a + b, [
-        _log(model["rules"], i, v, True) - _log(model["rules"], i, v, False) for i, v in enumerate(picked)
-    ], F.log(F.lit(model["good"] / (1 - model["good"]))))
+    """The probability of being good, given the votes: prior odds and a term a vote, looked up
+    by rule and vote."""
+    terms = F.array(*[F.lit(math.log(shares[v][0] / shares[v][1])) for shares in model["rules"] for v in VOTES])
+    looked_up = F.transform(
+        F.split(pattern, ""), lambda v, i: F.element_at(terms, (i * len(VOTES) + F.instr(F.lit(VOTES), v)).cast("int")))
+    odds = F.aggregate(looked_up, F.lit(math.log(model["good"] / (1 - model["good"]))), lambda a, x: a + x)
     return 1 / (1 + F.exp(-odds))
 
 
@@ -129,27 +125,18 @@ def fit(patterns: DataFrame, rules: int) -> dict:
     """EM on (pattern, n). It starts from the meaning of the votes, a bad one counting more
     than a good one, and every share keeps a little of both classes, so the classes can't swap
     their meaning and no single vote decides alone. An empty table gives the starting shares."""
-    start = reduce(lambda a, b: a + b, [
-        F.when(F.substring("pattern", i + 1, 1) == "-", -3.0).when(F.substring("pattern", i + 1, 1) == "+", 0.6).otherwise(0.0)
-        for i in range(rules)])
-    good = 1 / (1 + F.exp(-start))
-    model: dict = {}
+    start = {"+": (math.exp(0.6), 1.0), "0": (1.0, 1.0), "-": (math.exp(-3.0), 1.0)}
+    model: dict = {"good": 0.5, "rules": [start] * rules}
+    lean = {"+": (0.7, 0.3), "0": (0.2, 0.2), "-": (0.1, 0.5)}
     for _ in range(ROUNDS):
-        weighed = patterns.select("pattern", "n", good.alias("g"))
-        sums = weighed.agg(
-            F.sum(F.col("n") * F.col("g")).alias("good"), F.sum("n").alias("all"),
-            *[F.sum(F.when(F.substring("pattern", i + 1, 1) == v, F.col("n") * w)).alias(f"{side}{v}{i}")
-              for i in range(rules) for v in "+0-" for side, w in (("g", F.col("g")), ("b", 1 - F.col("g")))],
-        ).first().asDict()
-        total = float(sums["all"] or 0)
-        n_good = float(sums["good"] or 0)
-        extra = SMOOTHING * total + 1
-        lean = {"+": (0.7, 0.3), "0": (0.2, 0.2), "-": (0.1, 0.5)}
-        model = {"good": (n_good + extra) / (total + 2 * extra), "rules": [
-            {v: (((sums[f"g{v}{i}"] or 0.0) + extra * lean[v][0]) / (n_good + extra),
-                 ((sums[f"b{v}{i}"] or 0.0) + extra * lean[v][1]) / (total - n_good + extra)) for v in "+0-"}
-            for i in range(rules)]}
-        good = posterior(F.col("pattern"), model)
+        weighed = patterns.select("n", posterior(F.col("pattern"), model).alias("g"), F.posexplode(F.split("pattern", "")).alias("rule", "vote"))
+        sums = weighed.groupBy("rule", "vote").agg(F.sum(F.col("n") * F.col("g")).alias("good"), F.sum("n").alias("all")).collect()
+        by = {(r["rule"], r["vote"]): (r["good"], r["all"] - r["good"]) for r in sums}
+        good, bad = (sum(by.get((0, v), (0.0, 0.0))[side] for v in VOTES) for side in (0, 1))
+        extra = SMOOTHING * (good + bad) + 1
+        model = {"good": (good + extra) / (good + bad + 2 * extra), "rules": [
+            {v: tuple((by.get((i, v), (0.0, 0.0))[side] + extra * lean[v][side]) / (total + extra) for side, total in ((0, good), (1, bad)))
+             for v in VOTES} for i in range(rules)]}
     return model
 
 
