@@ -420,7 +420,7 @@ listed as (
   select 'WL-' || substr(sha256(p_name), 1, 8) as entity_id, p_name as name,
     case substr(sha256(p_name), 2, 1) when '0' then 'SDN' when '1' then 'EU' else 'UN' end
       as program
-  from (select distinct p_name from part) where sha256(p_name) < 'a'
+  from (select distinct p_name from part)
 ), accounts as (
   select user_id, k, user_id * 40 + k as n
   from (select distinct user_id, event_id % 40 as k from events)
@@ -431,7 +431,7 @@ listed as (
       when 3 then upper(p_name)
       else chr(cast(97 + n % 26 as int)) || '. ' || split_part(p_name, ' ', 2) || ' '
         || split_part(p_name, ' ', 1) end as dest_name,
-    n % 11 < 4 and sha256(p_name) < 'a' as seeded_hit
+    n % 11 < 4 as seeded_hit
   from accounts join part on p_partkey = n % (select max(p_partkey) + 1 from part)
 ), scored as (
   select key, entity_id, program, jaro_winkler_similarity(key, lower(name)) as score

@@ -244,8 +244,8 @@ def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """About two thirds of the part names are listed."""
-    return part_names(spark, sf_dir).filter(F.col("h") < "a").select(
+    """Every part name is listed."""
+    return part_names(spark, sf_dir).select(
         F.concat(F.lit("WL-"), F.substring("h", 1, 8)).alias("entity_id"),
         F.col("p_name").alias("name"),
         F.expr(
@@ -257,7 +257,7 @@ def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One beneficiary name per destination account.
 
-    A third are slips of a part name, listed or not; the rest are that name's words turned
+    A third are slips of a listed part name; the rest are that name's words turned
     round with the account's initial put in front.
     """
     accounts = table(spark, sf_dir, "events").select("user_id", F.expr("event_id % 40").alias("k"))
@@ -279,7 +279,7 @@ def dest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
             "else concat(chr(cast(97 + n % 26 as int)), '. ', split_part(p_name, ' ', 2), ' ', "
             "split_part(p_name, ' ', 1)) end"
         ).alias("dest_name"),
-        F.expr("n % 11 < 4 and sha2(p_name, 256) < 'a'").alias("seeded_hit"),
+        F.expr("n % 11 < 4").alias("seeded_hit"),
     )
 
 

@@ -25,9 +25,11 @@ def fingerprint(columns: Iterable[str]) -> list[Column]:
     """Aggregates that tell two row multisets apart whatever their order and file layout.
 
     A sum and an xor of one 64-bit row hash, next to the count. Columns are hashed in name
-    order, so column order does not matter either.
+    order, so column order does not matter either. The hash skips nulls, so a flag for each
+    column is hashed too.
     """
-    row = F.xxhash64(*sorted(columns))
+    ordered = sorted(columns)
+    row = F.xxhash64(*ordered, *[F.col(c).isNull() for c in ordered])
     return [
         F.count("*").alias("row_count"),
         F.sum(row.cast("decimal(38,0)")).alias("hash_sum"),

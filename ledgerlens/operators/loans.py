@@ -38,9 +38,11 @@ def raw_schema(columns: list[str] | None = None) -> StructType:
 
 
 def _with_keys_and_dates(raw: DataFrame) -> DataFrame:
+    if absent := sorted(set(STATIC + OUTCOME) - set(raw.columns)):
+        raise ValueError(f"the extract lacks the columns {', '.join(absent)}")
     digits = F.regexp_extract("term", r"(\d+)", 1)
     return (
-        raw.select(*[c for c in STATIC + OUTCOME if c in raw.columns])
+        raw.select(*STATIC, *OUTCOME)
         .withColumns({
             "issue_d": month_year(F.col("issue_d")),
             "last_pymnt_d": month_year(F.col("last_pymnt_d")),

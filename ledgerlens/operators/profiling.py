@@ -219,9 +219,14 @@ def amount_stats(txns: DataFrame, label: str = "is_fraud") -> DataFrame:
         (F.sum("amount").cast("double") / F.count("amount")).alias("mean_amount"),
         F.max("amount").alias("max_amount"),
     )
-    return simple.join(
-        exact_median(txns, label, "amount").withColumnRenamed("median", "median_amount"), label
-    ).select(label, "row_count", "median_amount", "mean_amount", "max_amount")
+    # The null label is one too, and a label without any amount has no median.
+    key = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("null"))
+    medians = exact_median(txns.withColumn("label_key", key), "label_key", "amount").withColumnRenamed(
+        "median", "median_amount"
+    )
+    return simple.withColumn("label_key", key).join(medians, "label_key", "left").select(
+        label, "row_count", "median_amount", "mean_amount", "max_amount"
+    )
 
 
 def drain_signature(txns: DataFrame) -> DataFrame:

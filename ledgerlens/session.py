@@ -48,8 +48,11 @@ def session(app: str, master: str | None = None, **extra: str) -> SparkSession:
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin what results and plans depend on, on a session made by somebody else."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
-        if spark.conf.get(key) != DEFAULTS[key]:
+    for key in (
+        "spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit",
+        "spark.sql.streaming.stateStore.providerClass",
+    ):
+        if spark.conf.get(key, None) != DEFAULTS[key]:
             spark.conf.set(key, DEFAULTS[key])
     return spark
 
@@ -58,10 +61,12 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path for intermediate tables and stream checkpoints.
 
     On a cluster this lies in the shared folder named by `spark.checkpoint.dir`, so any
-    executor can read what another one wrote. Only where that is unset (local tests) does it
-    fall back to a temporary folder of this machine.
+    executor can read what another one wrote. Where that is unset, a local session uses a
+    temporary folder of this machine, and one on a cluster refuses.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="ledgerlens-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

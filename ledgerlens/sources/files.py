@@ -42,16 +42,21 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with declared types, so an id never becomes a number in some files only.
 
-    The schema is matched to the header by name, and only its columns are parsed.
+    The schema is matched to the header by name, and only its columns are parsed. A declared
+    column that the header lacks is refused, and so is a file whose header differs from the
+    first one's: its values would land in other columns.
     """
     header = spark.read.option("header", True).csv(path)
     names = {f.name for f in schema.fields}
+    if absent := sorted(names - set(header.columns)):
+        raise ValueError(f"{path} lacks the declared columns {', '.join(absent)}")
     full = StructType()
     for name in header.columns:
         full = full.add(schema[name] if name in names else header.schema[name])
     return (
-        spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE").csv(path)
-        .select(*[f.name for f in schema.fields if f.name in header.columns])
+        spark.read.schema(full).option("header", True).option("enforceSchema", False)
+        .option("mode", "PERMISSIVE").csv(path)
+        .select(*[f.name for f in schema.fields])
     )
 
 

@@ -185,6 +185,12 @@ def test_loan_master_rejects_and_counts(spark):
         ],
         schema,
     )
+    with pytest.raises(ValueError, match="annual_inc"):
+        loan_master(raw)
+    raw = raw.select(*[
+        F.col(f.name) if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in raw_schema()
+    ])
     kept = {r["id"]: r for r in loan_master(raw).collect()}
     assert set(kept) == {"1077", "1079"}
     assert kept["1077"]["term_months"] == 36 and kept["1079"]["term_months"] is None

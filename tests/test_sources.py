@@ -1,9 +1,12 @@
 from datetime import date
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerlens.functions.keys import fingerprint
 from ledgerlens.operators.loans import raw_schema
 from ledgerlens.sources import files, landing, tables
 
@@ -125,7 +128,7 @@ def test_csv_keeps_the_id_as_text(spark, root):
     path = f"{root}/raw.csv"
     with open(path, "w") as f:
         f.write("member,id,issue_d,loan_amnt,zip\n1,0012,Dec-2018,5000.5,x\n2,Total,,,\n")
-    df = files.read_csv(spark, path, raw_schema())
+    df = files.read_csv(spark, path, raw_schema(["id", "issue_d", "loan_amnt"]))
     assert df.columns == ["id", "issue_d", "loan_amnt"]
     assert [(r["id"], r["loan_amnt"]) for r in df.collect()] == [("0012", 5000.5), ("Total", None)]
 
@@ -176,3 +179,21 @@ def test_catalog_slice_replacement(spark):
     tables.replace_slice(one.filter("false"), "risk.s", "snapshot_date", "2018-12-31")
     assert {r["exposure_id"] for r in spark.table("risk.s").collect()} == {"c"}
     spark.sql("DROP TABLE risk.s")
+
+
+def test_csv_files_with_other_headers_are_refused(spark, root):
+    schema = StructType([StructField("grade", StringType()), StructField("purpose", StringType())])
+    for name, text in (("a", "grade,purpose\nA,car\n"), ("b", "purpose,grade\nhouse,B\n")):
+        Path(f"{root}/{name}.csv").write_text(text)
+    assert files.read_csv(spark, f"{root}/b.csv", schema).first().asDict() == {"grade": "B", "purpose": "house"}
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, root, schema).collect()
+    with pytest.raises(ValueError, match="region"):
+        files.read_csv(spark, f"{root}/a.csv", schema.add("region", StringType()))
+
+
+def test_fingerprints_see_where_a_null_stands(spark):
+    schema = "a string, b string"
+    one, other = ([tuple(r) for r in spark.createDataFrame([row], schema).agg(*fingerprint(["a", "b"])).collect()]
+                  for row in ((None, "x"), ("x", None)))
+    assert one != other
