@@ -13,6 +13,7 @@ import heapq
 import json
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -217,6 +218,12 @@ class Codec:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
+@lru_cache(1)
+def codec_of(path: str) -> Codec:
+    """One codec, with the words it knows, for all tasks of a worker process."""
+    return Codec(path)
+
+
 def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ids (array of int) and decoded (the text made of those ids again), per row of docs.
 
@@ -228,7 +235,7 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     schema = beside(docs, id_col, "ids array<int>, decoded string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(tokenizer)
+        codec = codec_of(tokenizer)
         for b in slices(batches, "_text"):
             coded = codec.encode(b["_text"].to_pylist())
             ends = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)

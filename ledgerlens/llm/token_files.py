@@ -18,6 +18,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +138,12 @@ class Encoder:
         return [b"".join(map(get, c)) + tail for c in cut]
 
 
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder, with the pieces it knows, for all tasks of a worker process."""
+    return Encoder(path)
+
+
 def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
           end: int | None = END) -> DataFrame:
     """Encodes every text (null: empty), appends `end`, and writes shards into `folder`, a path
@@ -164,7 +171,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id",
         fs, top = _opened(folder)
         for b in slices(batches, "text"):
             if encoder is None:
-                encoder = Encoder(tokenizer)
+                encoder = encoder_of(tokenizer)
                 shard = b["shard"][0].as_py()
                 name = f"{top}/{shard:08d}.{uuid.uuid4().hex}"
                 fs.create_dir(top)
