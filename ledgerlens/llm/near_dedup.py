@@ -5,7 +5,7 @@ occurrence-labelled shingles with the smallest values and keeps them in text ord
 collide when they share those shingles and their order, which follows edit similarity. Every
 pick is a bucket; in a bucket documents are compared with a centre, not with each other, in
 rounds: those that are not similar to it get another centre among themselves until none is
-left. Four orders of choosing centres make different stars over the same buckets.
+left, or all that are left are of one class. Four orders of choosing centres make different stars over the same buckets.
 
 A pair is similar when a banded alignment of its shingle sequences matches at least 0.8 of
 their union. Classes are the connected components of similar pairs; identical texts count as
@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import LOWER_BYTES, PLAIN_WORD, ROW, beside, numbered, slices, table, whole
 
-SHINGLE, PICKS, FUNCTIONS, ORDERS, SIMILAR = 5, 3, 16, 4, 0.8
+SHINGLE, PICKS, FUNCTIONS, ORDERS, SETTLE, SIMILAR = 5, 3, 16, 4, 4, 0.8
 WORDS = re.compile(PLAIN_WORD)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = np.random.default_rng(9).integers(1, 1 << 63, FUNCTIONS, dtype=np.uint64) | np.uint64(1)
@@ -171,6 +172,19 @@ def links(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> list[
         left = table(starred.join(tried.filter("not similar").select("a", "b"), ["a", "b"], "left_semi").select("_node", "_band", "_sig"), "left")
         if left.isEmpty():
             return found
+        if len(found) % SETTLE == 2:
+            left = table(_unsettled(left, found), "left")
+            if left.isEmpty():
+                return found
+
+
+def _unsettled(left: DataFrame, found: list[DataFrame]) -> DataFrame:
+    """Rows of the buckets that still hold two classes: a link within one class adds nothing."""
+    edges = reduce(DataFrame.unionByName, found).distinct()
+    labels = components(table(edges, "edges")).withColumnRenamed("node", "_node")
+    labelled = left.join(labels, "_node", "left").withColumn("_label", F.coalesce("label", "_node")).drop("label")
+    mixed = labelled.groupBy("_band", "_sig").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).filter("_low <> _high")
+    return labelled.join(mixed, ["_band", "_sig"]).select("_node", "_band", "_sig")
 
 
 def components(edges: DataFrame) -> DataFrame:
