@@ -3,9 +3,14 @@
 A document is the sequence of its five-word shingles. Each hash function picks the `PICKS`
 occurrence-labelled shingles with the smallest values and keeps them in text order: documents
 collide when they share those shingles and their order, which follows edit similarity. Every
-pick is a bucket; in a bucket documents are compared with a centre, not with each other, in
-rounds: those that are not similar to it get another centre among themselves until none is
-left, or all that are left are of one class. Four orders of choosing centres make different stars over the same buckets.
+pick is a bucket; in a bucket documents are compared with centres, not with each other, in
+rounds of 1, 2, 4 and more centres a bucket. Four orders of choosing centres make different
+stars over the same buckets.
+
+One minus the similarity is a metric, so a text at distance d from a centre can only be similar
+to texts within d + 0.2 of that centre. A text that is similar to a centre leaves the bucket
+when all texts so near are similar to that centre too, and are of its class therefore; a bucket
+is left when it holds one class. So no link between two classes is lost in a bucket.
 
 A pair is similar when a banded alignment of its shingle sequences matches at least 0.8 of
 their union. Classes are the connected components of similar pairs; identical texts count as
@@ -18,7 +23,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +31,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import LOWER_BYTES, PLAIN_WORD, ROW, beside, numbered, slices, table, whole
 
-SHINGLE, PICKS, FUNCTIONS, ORDERS, SETTLE, SIMILAR = 5, 3, 16, 4, 4, 0.8
+SHINGLE, PICKS, FUNCTIONS, ORDERS, SIMILAR = 5, 3, 16, 4, 0.8
+# A text similar to a text that is similar to a centre is at least so similar to the centre.
+TWICE = 1 - 2 * (1 - SIMILAR)
+CENTRES = 64
 WORDS = re.compile(PLAIN_WORD)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = np.random.default_rng(9).integers(1, 1 << 63, FUNCTIONS, dtype=np.uint64) | np.uint64(1)
@@ -81,16 +88,16 @@ def signatures(values: np.ndarray) -> list[int]:
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Matches of the best alignment over the union, or 0 where it is below SIMILAR for sure.
+    """Matches of the best alignment over the union, or 0 where it is below TWICE for sure.
 
-    At that similarity an alignment skips at most (n + m) / 9 shingles, so it stays within a
+    At that similarity an alignment skips at most (n + m) / 4 shingles, so it stays within a
     band of that width; the common ends are matched first, and the rest bit-parallel: one
     integer holds a row of the alignment.
     """
     n, m = len(a), len(b)
     if not n or not m:
         return 0.0
-    band = int((n + m) * (1 - SIMILAR) / (1 + SIMILAR) + 1e-9)
+    band = int((n + m) * (1 - TWICE) / (1 + TWICE) + 1e-9)
     if abs(n - m) > band:
         return 0.0
     k = min(n, m)
@@ -102,7 +109,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     matched = head + tail
     if x and y:
         most = sum((Counter(x) & Counter(y)).values())
-        if (matched + most) < SIMILAR * (n + m - matched - most):
+        if matched + most < TWICE * (n + m - matched - most) - 1e-9:
             return 0.0
         masks: dict[int, int] = {}
         for i, v in enumerate(x):
@@ -120,20 +127,21 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, node (128-bit digest of the whole text) and its signatures."""
+    """id, node (128-bit digest of the whole text), its number of shingles and signatures."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         for b in slices(batches, "_text"):
-            found = [signatures(shingles(t, known)) for t in b["_text"].to_pylist()]
+            values = [shingles(t, known) for t in b["_text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b[id_col], b["_node"], pa.array(found, pa.list_(pa.int64()))], [id_col, "_node", "_sigs"])
+                [b[id_col], b["_node"], pa.array(map(len, values), pa.int32()), pa.array(map(signatures, values), pa.list_(pa.int64()))],
+                [id_col, "_node", "_size", "_sigs"])
 
     rows = docs.select(id_col, whole(text_col).alias("_text")).withColumn("_node", F.unhex(F.md5("_text")))
-    return rows.mapInArrow(run, beside(docs, id_col, "_node binary, _sigs array<bigint>"))
+    return rows.mapInArrow(run, beside(docs, id_col, "_node binary, _size int, _sigs array<bigint>"))
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) with `similar`, each aligned once."""
+    """Pairs (a, b) with their `distance`, 1 where it is above that of TWICE."""
     with_a = pairs.join(texts.select(F.col("_node").alias("a"), F.col("_text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("_node").alias("b"), F.col("_text").alias("text_b")), "b")
 
@@ -142,49 +150,81 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for b in slices(batches, "text_a"):
             scores = [similarity(shingles(s, known), shingles(t, known)) for s, t in zip(
                 b["text_a"].to_pylist(), b["text_b"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array([s >= SIMILAR for s in scores])], ["a", "b", "similar"])
+            # A score of just SIMILAR is similar, whatever its difference from 1 is as a double.
+            far = [1 - s if s < SIMILAR else min(1 - s, NEAR) for s in scores]
+            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(far, pa.float64())], ["a", "b", "distance"])
+
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, distance double")
+
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, similar boolean")
+BUCKET = ["_band", "_sig"]
+NEAR, REACH = 1 - SIMILAR, 1 - TWICE + 1e-9
 
 
-def links(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> list[DataFrame]:
-    """Verified pairs (a, b) of nodes, a table a round."""
-    nodes = rows.groupBy("_node").agg(F.min(id_col).alias("_first"), F.any_value("_sigs").alias("_sigs"))
-    members = nodes.select("_node", "_first", F.posexplode("_sigs").alias("_band", "_sig"))
-    buckets = members.groupBy("_band", "_sig").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_band", "_sig")
-    members = table(members.join(buckets, ["_band", "_sig"]), "buckets")
+def links(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Verified pairs (a, b) of nodes, and node, label of those that have one."""
+    nodes = rows.groupBy("_node").agg(F.min(id_col).alias("_first"), F.any_value("_size").alias("_size"), F.any_value("_sigs").alias("_sigs"))
+    members = nodes.select("_node", "_first", "_size", F.posexplode("_sigs").alias(*BUCKET))
+    buckets = members.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(BUCKET)
+    members = table(members.join(buckets, BUCKET), "buckets")
     # One row of each text that has a partner: found by node and id, so that copies of one
     # text do not meet in one task. The node tells texts apart, the hash of the id only rows.
     involved = members.select("_node", F.xxhash64("_first").alias("_id")).distinct()
     all_rows = docs.select(F.xxhash64(id_col).alias("_id"), whole(text_col).alias("_text")).withColumn("_node", F.unhex(F.md5("_text")))
     texts = table(all_rows.join(involved, ["_node", "_id"], "left_semi").dropDuplicates(["_node", "_id"]).select("_node", "_text"), "texts")
-    found, left, tried = [], members.select("_node", "_band", "_sig"), None
+    left, tried, labels, centres = members.select("_node", "_size", *BUCKET), None, None, 1
     while True:
-        priority = F.xxhash64("_node", F.pmod("_band", F.lit(ORDERS)))
-        centres = left.groupBy("_band", "_sig").agg(F.min(F.struct(priority.alias("p"), F.col("_node").alias("node"))).alias("_c"), F.count(F.lit(1)).alias("_n"))
-        starred = left.join(centres.filter("_n > 1").select("_band", "_sig", F.col("_c.node").alias("_centre")), ["_band", "_sig"]).filter("_node <> _centre")
-        starred = table(starred.select("_band", "_sig", "_node", F.least("_node", "_centre").alias("a"), F.greatest("_node", "_centre").alias("b")), "stars")
-        pairs = starred.select("a", "b").distinct()
-        new = pairs if tried is None else pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        star = table(_stars(left, centres), "stars")
+        pairs = star.filter(F.least("_size", "_centre_size") >= (TWICE - 1e-9) * F.greatest("_size", "_centre_size")).select("a", "b").distinct()
+        new = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         judged = table(_verify(new, texts), "judged")
-        found.append(judged.filter("similar").select("a", "b"))
         tried = judged if tried is None else tried.unionByName(judged)
-        left = table(starred.join(tried.filter("not similar").select("a", "b"), ["a", "b"], "left_semi").select("_node", "_band", "_sig"), "left")
+        labels = _relabelled(labels, judged.filter(F.col("distance") <= NEAR).select("a", "b"))
+        left = table(_mixed(_staying(star, tried), labels), "left")
         if left.isEmpty():
-            return found
-        if len(found) % SETTLE == 2:
-            left = table(_unsettled(left, found), "left")
-            if left.isEmpty():
-                return found
+            return tried.filter(F.col("distance") <= NEAR).select("a", "b"), labels
+        centres = min(2 * centres, CENTRES)
+
+
+def _stars(left: DataFrame, centres: int) -> DataFrame:
+    """Members of each bucket beside each of its first so many centres, itself not."""
+    order = Window.partitionBy(BUCKET).orderBy(F.xxhash64("_node", F.pmod("_band", F.lit(ORDERS))), "_node")
+    first = left.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= centres).select(
+        *BUCKET, F.col("_node").alias("_centre"), F.col("_size").alias("_centre_size"))
+    pairs = left.join(first, BUCKET).filter("_node <> _centre")
+    return pairs.withColumns({"a": F.least("_node", "_centre"), "b": F.greatest("_node", "_centre")})
 
 
-def _unsettled(left: DataFrame, found: list[DataFrame]) -> DataFrame:
+def _staying(star: DataFrame, tried: DataFrame) -> DataFrame:
+    """Members that may have links which the stars do not show. Centres have none left."""
+    scored = star.join(tried, ["a", "b"], "left").select(
+        "_node", "_size", *BUCKET, "_centre", F.coalesce("distance", F.lit(1.0)).alias("_far"))
+    between = scored.filter((F.col("_far") > NEAR) & (F.col("_far") <= REACH)).groupBy(*BUCKET, "_centre").agg(F.min("_far").alias("_between"))
+    near = F.col("_far") <= NEAR
+    judged = scored.join(between, [*BUCKET, "_centre"], "left").groupBy("_node", "_size", *BUCKET).agg(
+        F.max(near).alias("_near"),
+        F.max(F.coalesce(near & (F.col("_between") <= F.col("_far") + NEAR + 1e-9), F.lit(False))).alias("_reached"))
+    done = star.select(*BUCKET, F.col("_centre").alias("_node")).distinct()
+    return judged.filter("_reached or not _near").join(done, [*BUCKET, "_node"], "left_anti").select("_node", "_size", *BUCKET)
+
+
+def _mixed(left: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of the buckets that still hold two classes: a link within one class adds nothing."""
-    edges = reduce(DataFrame.unionByName, found).distinct()
-    labels = components(table(edges, "edges")).withColumnRenamed("node", "_node")
-    labelled = left.join(labels, "_node", "left").withColumn("_label", F.coalesce("label", "_node")).drop("label")
-    mixed = labelled.groupBy("_band", "_sig").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).filter("_low <> _high")
-    return labelled.join(mixed, ["_band", "_sig"]).select("_node", "_band", "_sig")
+    labelled = left.join(labels.withColumnRenamed("node", "_node"), "_node", "left").withColumn("_label", F.coalesce("label", "_node"))
+    mixed = labelled.groupBy(BUCKET).agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).filter("_low <> _high")
+    return labelled.join(mixed, BUCKET).select("_node", "_size", *BUCKET)
+
+
+def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """node, label with more links: only the links between classes are looked at."""
+    if labels is None:
+        return components(edges)
+    for end in ("a", "b"):
+        edges = edges.join(labels.select(F.col("node").alias(end), "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    merged = components(edges.filter("a <> b"))
+    moved = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select(
+        "node", F.coalesce("to", "label").alias("label"))
+    return table(moved.unionByName(merged.join(labels, "node", "left_anti")), "labels")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -195,12 +235,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lower = table(labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label")), "lower")
-        jumped = lower.join(lower.select(F.col("node").alias("label"), F.col("label").alias("next")), "label").select(
-            "node", "was", F.least("label", "next").alias("label"))
-        jumped = table(jumped, "labels")
-        if jumped.filter("label <> was").isEmpty():
-            return jumped.select("node", "label")
-        labels = jumped.select("node", "label")
+        if lower.filter("label <> was").isEmpty():
+            return lower.select("node", "label")
+        labels = table(lower.join(lower.select(F.col("node").alias("label"), F.col("label").alias("next")), "label").select(
+            "node", F.least("label", "next").alias("label")), "labels")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,15 +251,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     other. Other columns are not read; an empty table gives none.
     """
     rows = table(sketch(docs, id_col, text_col), "sketch")
-    edges = None
-    for part in links(rows, docs, id_col, text_col):
-        edges = part if edges is None else edges.unionByName(part)
-    edges = table(edges.distinct(), "edges")
+    edges, labels = links(rows, docs, id_col, text_col)
     ends = edges.select(F.explode(F.array("a", "b")).alias("_node")).groupBy("_node").agg(F.count(F.lit(1)).alias("n_links"))
-    labels = components(edges).join(ends.withColumnRenamed("_node", "node"), "node")
+    labels = labels.withColumnRenamed("node", "_node").join(ends, "_node", "left")
     # Rows are first counted by text, so a text with many copies is one row here.
     texts = rows.groupBy("_node").agg(F.min(id_col).alias("_least"), F.count(F.lit(1)).alias("_rows"))
-    labelled = texts.join(labels.withColumnRenamed("node", "_node"), "_node", "left").withColumn("_label", F.coalesce("label", "_node"))
+    labelled = texts.join(labels, "_node", "left").withColumn("_label", F.coalesce("label", "_node"))
     classes = labelled.groupBy("_label").agg(F.min("_least").alias("class_id"), F.sum("_rows").alias("class_size"))
     placed = table(labelled.join(classes, "_label").select("_node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "classes")
     nth = F.row_number().over(Window.partitionBy("_node", id_col).orderBy("_node"))

@@ -251,6 +251,36 @@ def test_near_dedup(docs, nothing):
     assert near_dedup.near_dedup(nothing).count() == 0
 
 
+def test_near_dedup_keeps_every_link_between_classes(spark):
+    """Chains of edits, whose ends are not similar, and a shared passage, against all pairs."""
+    draw = random.Random(11)
+    rows = []
+    for family in range(6):
+        words = prose(50 + family, 150).split()
+        for _ in range(12):
+            rows.append(" ".join(words))
+            for _ in range(2):
+                words[draw.randrange(len(words))] = f"new{draw.randrange(1000)}"
+    passage = prose(60, 120)
+    rows += [passage + " " + prose(70 + k, 60) for k in range(30)]
+    parts = [near_dedup.shingles(t, {}) for t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if near_dedup.similarity(parts[i], parts[j]) >= near_dedup.SIMILAR:
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_dedup(docs).collect()}
+    assert got == {i: find(i) for i in range(len(rows))}
+
+
 def test_alignment_equals_dynamic_programming():
     draw = random.Random(5)
     for _ in range(300):
