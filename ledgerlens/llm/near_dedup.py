@@ -4,7 +4,7 @@ A document is the sequence of its five-word shingles. Each hash function picks t
 occurrence-labelled shingles with the smallest values and keeps them in text order: documents
 collide when they share those shingles and their order, which follows edit similarity. Every
 pick is a bucket; in a bucket documents are compared with centres, not with each other, in
-rounds of 1, 2, 4 and more centres a bucket. Four orders of choosing centres make different
+rounds of 1, 4, 16 and more centres a bucket. Four orders of choosing centres make different
 stars over the same buckets.
 
 One minus the similarity is a metric, so a text at distance d from a centre can only be similar
@@ -34,7 +34,9 @@ from ledgerlens.llm.common import LOWER_BYTES, PLAIN_WORD, ROW, beside, numbered
 SHINGLE, PICKS, FUNCTIONS, ORDERS, SIMILAR = 5, 3, 16, 4, 0.8
 # A text similar to a text that is similar to a centre is at least so similar to the centre.
 TWICE = 1 - 2 * (1 - SIMILAR)
-CENTRES = 64
+# Centres of a bucket in a round: so many times as many as in the round before, up to a most
+# that bounds the rows a round makes of one; rounds go on until no bucket is left.
+GROWTH, CENTRES = 4, 64
 WORDS = re.compile(PLAIN_WORD)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = np.random.default_rng(9).integers(1, 1 << 63, FUNCTIONS, dtype=np.uint64) | np.uint64(1)
@@ -183,7 +185,7 @@ def links(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> tuple
         left = table(_mixed(_staying(star, tried), labels), "left")
         if left.isEmpty():
             return tried.filter(F.col("distance") <= NEAR).select("a", "b"), labels
-        centres = min(2 * centres, CENTRES)
+        centres = min(GROWTH * centres, CENTRES)
 
 
 def _stars(left: DataFrame, centres: int) -> DataFrame:
@@ -221,7 +223,10 @@ def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
         return components(edges)
     for end in ("a", "b"):
         edges = edges.join(labels.select(F.col("node").alias(end), "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
-    merged = components(edges.filter("a <> b"))
+    edges = table(edges.filter("a <> b"), "merging")
+    if edges.isEmpty():
+        return labels
+    merged = components(edges)
     moved = labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select(
         "node", F.coalesce("to", "label").alias("label"))
     return table(moved.unionByName(merged.join(labels, "node", "left_anti")), "labels")
