@@ -784,6 +784,19 @@ ORACLES: dict[str, str] = {
           sum(outstanding_amount)::double as balance
         from silver where snapshot_date <> {ON_DATE} or status = 'performing'
         group by silver.snapshot_date""",
+    "landed_partitions": f"""with {SILVER_MONTHS}
+        select snapshot_date::varchar as snapshot_date, count(*) as row_count,
+          sum(outstanding_amount)::double as balance
+        from silver group by silver.snapshot_date""",
+    "compacted_rows": f"""with {SILVER_MONTHS}
+        select snapshot_date::varchar as snapshot_date, count(*) as row_count,
+          sum(outstanding_amount)::double as balance
+        from silver group by silver.snapshot_date""",
+    "alerts_published": f"""with {RULES}
+        select rule, count(*) as alert_count from alerts group by rule""",
+    "replay_head": f"""with {TXN}
+        select step, kafka_offset as position, name_orig as key
+        from bronze order by step, kafka_offset limit 500""",
     "replay_messages": f"""with {TXN}
         select step, kafka_offset as position, name_orig as key, type, amount, old_balance_orig,
           name_dest, is_fraud from bronze""",

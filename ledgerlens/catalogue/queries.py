@@ -559,9 +559,57 @@ def partition_rerun(spark, sf):
     )
 
 
+def _balances(stored: DataFrame) -> DataFrame:
+    return stored.groupBy("snapshot_date").agg(
+        F.count("*").alias("row_count"), F.sum("outstanding_amount").alias("balance")
+    )
+
+
+@query
+def landed_partitions(spark, sf):
+    """What is stored after a landing resumes: October was missing, December had fewer rows."""
+    root, source = scratch_path(spark, "landing"), views.silver_months(spark, sf)
+    month = F.col("snapshot_date")
+    earlier = source.filter(month != F.lit("1998-10-31").cast("date")).filter(
+        (month != F.lit(REPORTING_DATE).cast("date")) | (F.col("status") == "performing")
+    )
+    landing.land(spark, earlier, root)
+    landing.land(spark, source, root)
+    return _balances(spark.read.parquet(root))
+
+
+@query
+def compacted_rows(spark, sf):
+    """The months after compaction of their partitions."""
+    root, out = scratch_path(spark, "loose"), scratch_path(spark, "compacted")
+    files.write_partitions(views.silver_months(spark, sf), root, "snapshot_date")
+    files.compact(spark, root, out, ["snapshot_date"])
+    return _balances(spark.read.parquet(out))
+
+
+@query
+def alerts_published(spark, sf):
+    """Stored alerts by rule, after a run of all rules and a rerun of two of them."""
+    root, txn = scratch_path(spark, "published"), views.silver_txn(spark, sf)
+    monitoring.run_alerts(txn, root, monitoring.ALL_RULES, **SCALED)
+    monitoring.run_alerts(txn, root, (detection.SWEEP, detection.DRAIN), **SCALED)
+    return spark.read.parquet(root).groupBy("rule").agg(F.count("*").alias("alert_count"))
+
+
 # ---- streams -------------------------------------------------------------------------
 
 
+REPLAY_HEAD = 500
+
+
+@query
+def replay_head(spark, sf):
+    """The first messages of the log in event order, equal steps in source order."""
+    return transactions.replay_messages(views.bronze_txn(spark, sf), limit=REPLAY_HEAD).select(
+        "step", "position", "key"
+    )
+
+
 @query
 def replay_messages(spark, sf):
     """The log as keyed messages, its numbers read back from the JSON."""
