@@ -4,9 +4,10 @@ Targets: sources take weights by rank and share `share` times all words; what ex
 `repeats` times a source's own words is reshared by weight until nothing does. That is a water
 level over the ratios cap / weight, so it is found in one pass over the sources.
 
-Apportionment: the mix is cut into equal blocks of words, `SHARD_BLOCKS` to a shard. The seats
-of each shard go to the sources by highest quotients target / (2k + 1), cumulatively, so that
-what one shard rounds off the next one makes up.
+Apportionment: the mix is cut into equal blocks of words, `SHARD_BLOCKS` to a shard, or more
+where the smallest target would have under `LEAST_BLOCKS` of them: no source rounds to nothing.
+The seats of each shard go to the sources by highest quotients target / (2k + 1), cumulatively,
+so that what one shard rounds off the next one makes up.
 
 Selection: a source's documents lie in a seeded order, and its stream is cut into blocks. The
 quota is served by consecutive blocks from a seeded one on, round the end, at most `repeats`
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import ROW, SPACED_WORD, numbered, table, whole
 
 WEIGHTS, SHARE, REPEATS = (5, 2, 1), 1.5, 2
-SHARD_BLOCKS, SHARD_WORDS = 1 << 16, 1 << 30
+SHARD_BLOCKS, SHARD_WORDS, LEAST_BLOCKS = 1 << 16, 1 << 30, 100
 SEED = "mix"
 
 
@@ -103,12 +104,14 @@ def shard_quotas(sources: DataFrame) -> DataFrame:
     """Blocks of each source in each shard, of what `targets` gives: _key, _shard, _block
     (words in a block), _blocks."""
     shards = F.greatest(F.lit(1), F.ceil(F.col("_total") / SHARD_WORDS)).cast("int")
+    smallest = F.min(F.when(F.col("_target") > 0, F.col("_target"))).over(Window.partitionBy(F.lit(0)))
+    fine = F.coalesce(F.floor(smallest / LEAST_BLOCKS), F.lit(1))
     cut = sources.withColumn("_shards", shards).withColumn(
-        "_block", F.greatest(F.lit(1), F.ceil(F.col("_total") / (F.col("_shards") * SHARD_BLOCKS))).cast("long")
+        "_block", F.greatest(F.lit(1), F.least(fine, F.ceil(F.col("_total") / (F.col("_shards") * SHARD_BLOCKS)))).cast("long")
     ).withColumn("_all", F.round(F.col("_total") / F.col("_block")).cast("long"))
     each = cut.withColumn("_shard", F.explode(F.sequence(F.lit(1), F.col("_shards")))).withColumn(
         "_seats", F.when(F.col("_shard") == F.col("_shards"), F.col("_all")).otherwise(
-            F.least(F.col("_all"), F.col("_shard") * F.lit(SHARD_BLOCKS))).cast("long"))
+            F.floor(F.col("_all") * (F.col("_shard") / F.col("_shards")))).cast("long"))
     so_far = apportion(each, "_shard", "_rank", "_target", "_seats")
     before = F.lag("quota", 1, 0).over(Window.partitionBy("_key").orderBy("_shard"))
     return so_far.withColumn("_blocks", F.col("quota") - before)
@@ -121,7 +124,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     size counts words between ASCII white space (null text: 0); a null source is one source,
     ranked last. taken is the number of words that the mix takes of the document, at most
     twice its size; a source's taken words are its quota of blocks, so they differ from its
-    target by about a block (total / 65536, at least a word). Rows repeated with one id are
+    target by about a block (total / 65536 or a hundredth of the smallest target, whichever is
+    less, but at least a word). Rows repeated with one id are
     told apart by `row_col`, if there is one, which then comes back too. Empty tables give none.
     """
     rows = table(sizes(docs, id_col, text_col, source_col, row_col), "sizes")
@@ -130,9 +134,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sources = table(targets(ranges.groupBy("_key").agg(F.sum("_in_range").alias("_words"))), "targets")
     plan = shard_quotas(sources).groupBy("_key", "_words", "_target", "_block").agg(F.sum("_blocks").alias("_quota"))
     length = F.least(F.col("_quota") * F.col("_block"), F.col("_words") * REPEATS)
-    first_block = F.pmod(
-        F.conv(F.substring(_drawn(F.lit("start"), F.col("_key")), 1, 8), 16, 10).cast("long"),
-        F.greatest(F.lit(1), F.ceil(F.col("_words") / F.col("_block"))))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("_words") / F.col("_block")))
+    # 32 bits of the draw, and 60 where a source has more blocks than that.
+    digits = F.when(blocks > 1 << 32, 15).otherwise(8)
+    first_block = F.pmod(F.conv(F.substr(_drawn(F.lit("start"), F.col("_key")), F.lit(1), digits), 16, 10).cast("long"), blocks)
     plan = table(plan.select(
         "_key", "_words", "_target", length.alias("_length"), (first_block * F.col("_block")).alias("_start")), "plan")
     starts = ranges.select(

@@ -124,6 +124,33 @@ def test_apportionment_follows_the_highest_quotients(spark):
         assert {r.i: r.quota for r in mixing.apportion(rows, "g", "i", "w", "s").collect()} == {i: want.get(i, 0) for i in range(9)}
 
 
+@pytest.mark.parametrize("hot", [10**6, 10**8, 5 * 10**9])
+def test_small_sources_beside_a_hot_one_get_their_target(spark, hot):
+    """At totals that give blocks of thousands of words by themselves."""
+    words = [hot, *range(1, 60), *([300] * 100), 3000, 0]
+    sources = spark.createDataFrame([(f"s{k:03}", w) for k, w in enumerate(words)], "_key string, _words long")
+    got = mixing.shard_quotas(mixing.targets(sources)).collect()
+    quota, target = Counter(), {}
+    for r in got:
+        assert r._blocks >= 0
+        quota[r._key] += r._blocks * r._block
+        target[r._key] = r._target
+    assert len(target) == len(words) and target["s000"] > hot
+    for key, want in target.items():
+        assert abs(quota[key] - want) <= max(1, 0.01 * want)
+
+
+def test_mixing_keeps_one_document_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 8)  # blocks of thousands of words on a small table
+    rows = [(k, prose(k, 400), "hot") for k in range(150)] + [(1000 + k, prose(k, 20 + k), f"one{k:02}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    for k in range(40):
+        assert abs(got[1000 + k].taken - got[1000 + k].target) <= 1 and got[1000 + k].taken > 0
+    kept = {r.doc_id for r in mixing.repeat(docs).select("doc_id").collect()}
+    assert kept >= {1000 + k for k in range(40)}
+
+
 def test_quality(docs, nothing):
     got = quality.quality(docs).collect()
     by = Counter()
