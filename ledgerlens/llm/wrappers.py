@@ -26,8 +26,10 @@ from ledgerlens.llm.common import slices, table, whole
 # HTML elements by role.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math canvas select".split())
-CHROME = frozenset("nav header footer aside form menu dialog button fieldset head".split())
+RAW = frozenset("script style noscript template textarea title iframe".split())
+# Other names for tags hold there, and a slash closes an element.
+FOREIGN = frozenset({"svg", "math"})
+CHROME = frozenset("nav header footer aside form menu dialog button fieldset head select".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 # Names in class, id and role that mark a part as not the article, and as the article.
@@ -85,7 +87,10 @@ def tokens(page: str) -> list[tuple[str, str]]:
         tag = (m[2] or "").lower()
         if not tag:
             continue
-        if tag in RAW and not m[1]:
+        slashed = m[3].rstrip().endswith("/")
+        if slashed and not m[1] and any(step.split(".", 1)[0] in FOREIGN for step in stack):
+            flush()
+        elif tag in RAW and not m[1]:
             flush()
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -107,7 +112,7 @@ def tokens(page: str) -> list[tuple[str, str]]:
                     close({"p"}, frozenset({"td", "th", "button", "object"}))
                 if tag in SELF_CLOSING:
                     close(SELF_CLOSING[tag], frozenset({"ul", "ol", "dl", "table", "select"}))
-                if tag not in VOID and not m[3].rstrip().endswith("/"):
+                if tag not in VOID and not slashed:
                     stack.append(_signature(tag, m[3]))
     flush()
     return blocks

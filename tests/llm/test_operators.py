@@ -266,6 +266,17 @@ def test_main_text(spark):
     assert wrappers.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("inner, want", [
+    ("<svg viewbox='0 0 1 1'/>", ""), ("<math/>", ""), ("<svg><title/><path d=M0/></svg>", ""), ("<svg><title>Icon</title></svg>", ""),
+    ("<div><object data=x></div>", ""), ("<div><svg></div>", ""), ("<canvas>drawn</canvas>", "drawn"),
+    ("<math><mi>a</mi><mo>=</mo><mn>2</mn></math>", "a = 2"), ("<object data=x><p>no player</p></object>", "no player"),
+    ("<select><option>one<option>two</select>", ""), ("<div><select><option>one</div>", ""), ("<script/>var x</script>", ""),
+    ("<textarea><p>draft</textarea>", ""), ("<iframe src=x/><p>frame</iframe>", ""), ("<noscript><p>on</noscript>", ""), ("<template><p>t</template>", "")])
+def test_elements_that_are_not_raw_lose_nothing_after_them(inner, want):
+    page = f"<article><p>before</p>{inner}<p>after</p></article><p>end"
+    assert wrappers.extract(page, frozenset()).split() == ["before", *want.split(), "after"]
+
+
 def test_near_dedup(docs, nothing):
     got = near_dedup.near_dedup(docs).collect()
     classes = {r.doc_id: r.class_id for r in got}
