@@ -1,10 +1,12 @@
-"""Main text of web pages by wrappers: union-free regular expressions inferred per host.
-
-A page becomes a stream of block tags and text slots, in which repeated neighbours are folded
-into a repeated group. Streams of one host are aligned step by step: what both have stays, what
-only one has becomes optional, groups that start alike are merged, and texts that differ become
-slots. The wrapper that results accepts every page of the host; it tells which slots are the
-same on all pages, and with the path of tags above a slot that decides what is main text.
+"""Main text of web pages by wrappers: union-free expressions inferred per host.
+
+A page is a tree of block tags with text slots, and so is a wrapper: a node is told by its path
+from the root, one that some pages lack is optional, one that a page has several times is
+repeated, and a slot whose text differs between pages varies. Merging two such trees is adding
+up by path, so a host's wrapper is an aggregate over (host, path) in which no task holds more
+than a part of the pages. The wrapper accepts every page of the host, up to rare paths; it tells
+which slots are the same on all pages, and with the path of tags above a slot that decides what
+is main text.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
 # Names in class, id and role that mark a part as not the article, and as the article.
 BOILERPLATE = frozenset("ad ads advert advertisement adverts sponsor sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay sidebar side menu nav navbar navigation breadcrumb breadcrumbs header footer masthead comment comments commentlist disqus reply replies respond share sharing social related recommended newsletter subscribe subscription signup login pagination pager widget toolbar search complementary contentinfo".split())
 ARTICLE = frozenset("article content post entry story articlebody maincontent postcontent entrycontent articlecontent".split())
+MEANT = BOILERPLATE | ARTICLE | {"main", "related", "!hidden"}
 MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -46,8 +49,9 @@ def host_of(url: Column) -> Column:
 
 
 def _signature(tag: str, attributes: str) -> str:
-    """A tag with the names in its class, id and role, sorted."""
-    words = {w for m in NAMED.finditer(attributes) for w in re.findall(r"[a-z0-9]+", (m[2] or m[3] or m[4] or "").lower())}
+    """A tag with the names in its class, id and role, sorted. Numbers at a name's end are left
+    out, and so are names with digits elsewhere: they number pages."""
+    words = {w for m in NAMED.finditer(attributes) for n in re.findall(r"[a-z0-9]+", (m[2] or m[3] or m[4] or "").lower()) if (w := n.rstrip("0123456789")).isalpha()}
     if HIDDEN.search(attributes):
         words.add("!hidden")
     return ".".join([tag, *sorted(words)])
@@ -118,51 +122,17 @@ def tokens(page: str) -> list[tuple[str, str]]:
     return blocks
 
 
-def fold(paths: list[str]) -> list[list]:
-    """Neighbours with one path are one unit: [path, repeated, unit of each block]."""
-    out: list[list] = []
-    for p in paths:
-        if out and out[-1][0] == p:
-            out[-1][1] = True
-        else:
-            out.append([p, False])
-    # Longer groups: a stretch that repeats at once is kept once, and its units are repeated.
-    for size in range(2, 5):
-        i = 0
-        while i + 2 * size <= len(out):
-            if [u[0] for u in out[i:i + size]] == [u[0] for u in out[i + size:i + 2 * size]]:
-                for k in range(size):
-                    out[i + k][1] = True
-                del out[i + size:i + 2 * size]
-            else:
-                i += 1
-    return out
-
-
-def align(wrapper: list[dict], other: list[dict]) -> list[dict]:
-    """The wrapper that accepts what either accepts: units are matched by path along a longest
-    common subsequence, unmatched ones become optional, matched texts that differ become slots."""
-    n, m = len(wrapper), len(other)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if wrapper[i]["path"] == other[j]["path"] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and wrapper[i]["path"] == other[j]["path"]:
-            a, b = wrapper[i], other[j]
-            out.append({"path": a["path"], "repeated": a["repeated"] or b["repeated"], "optional": a["optional"] or b["optional"],
-                        "text": a["text"] if a["text"] == b["text"] else None, "pages": a["pages"] + b["pages"]})
-            i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append(wrapper[i] | {"optional": True})
-            i += 1
-        else:
-            out.append(other[j] | {"optional": True})
-            j += 1
-    return out
+@lru_cache(1 << 14)
+def plain(path: str) -> str:
+    """The path with the names that have a meaning of their own: for one that few pages have."""
+    kept = []
+    for step in path.split("/"):
+        tag, *names = step.split(".")
+        kept.append(".".join([tag, *(w for w in names if w in MEANT)]))
+    return "/".join(kept)
 
 
+@lru_cache(1 << 14)
 def excluded(path: str) -> bool:
     """Is something above the slot no part of an article?"""
     for step in path.split("/"):
@@ -174,6 +144,7 @@ def excluded(path: str) -> bool:
     return False
 
 
+@lru_cache(1 << 14)
 def container(path: str) -> int:
     """How surely the path says article: 3 article, 2 main, 1 a name such as content, 0 not."""
     rank = 0
@@ -185,78 +156,85 @@ def container(path: str) -> int:
 
 def chosen(wrapper: list[dict]) -> list[str]:
     """Paths of main text: those with the surest container, else what differs between pages."""
-    left = [u for u in wrapper if u["path"] and not excluded(u["path"])]
+    left = [u for u in wrapper if not excluded(u["path"])]
     top = max((container(u["path"]) for u in left), default=0)
     if top:
         return sorted({u["path"] for u in left if container(u["path"]) == top})
-    varying = {u["path"] for u in left if u["text"] is None}
+    varying = {u["path"] for u in left if u["varies"]}
     return sorted(varying or {u["path"] for u in left})
 
 
-def extract(page: str, paths: frozenset[str]) -> str:
+def extract(page: str, known: dict[str, int]) -> str:
     """Main text under a wrapper's choice. A page is judged by its own container first: one
     that has no article, or whose paths the wrapper does not know, follows its own tags."""
     blocks = tokens(page)
     own = max((container(p) for p, _ in blocks if not excluded(p)), default=0)
     if own:
         return " ".join(t for p, t in blocks if container(p) == own and not excluded(p))
-    return " ".join(t for p, t in blocks if p in paths and not excluded(p)) or " ".join(t for p, t in blocks if not excluded(p))
+    return " ".join(t for p, t in blocks if known.get(p, known.get(plain(p))) and not excluded(p)) or " ".join(t for p, t in blocks if not excluded(p))
+
 
+# A wrapper has the paths of at least this many pages and this part of the host's pages, so its
+# size follows that of a page and not the number of pages.
+LEAST_PAGES, LEAST_SHARE = 2, 0.01
+EVERY = "*"  # counts the pages of a host; it is no path
 
-SALTS = 16
+
+def slots(page: str) -> dict[str, tuple[int, int, int]]:
+    """Checksum of the text, its length and the number of blocks of each path, and of each
+    path's plain form."""
+    found: dict[str, tuple[int, int, int]] = {}
+    for path, text in tokens(page):
+        for p in {path, plain(path)}:
+            crc, chars, n = found.get(p, (0, 0, 0))
+            found[p] = (zlib.crc32(text.encode(), crc), chars + len(text), n + 1)
+    return found
 
 
 def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, paths (JSON list of the main text's paths) and wrapper (JSON).
+    """host, paths (JSON object: the wrapper's paths, and 1 for those of main text) and wrapper
+    (JSON list of path, pages, chars, optional, repeated, varies), for hosts of several pages.
 
-    Pages are first counted by host and folded stream, with partial sums, so a host of many
-    pages arrives as its few different streams; these are aligned in two steps, spread over
-    `SALTS` groups a host and then the groups' wrappers.
+    Slots are summed by host and path before and after one shuffle; what few pages have is
+    left out before a host's paths meet.
     """
-    def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_html"):
-            shapes, sums_of = [], []
-            for page in b["_html"].to_pylist():
-                blocks = tokens(page)
-                sums: dict[str, int] = {}
-                for p, t in blocks:
-                    sums[p] = zlib.crc32(t.encode(), sums.get(p, 0))
-                units = fold([p for p, _ in blocks])
-                shapes.append(json.dumps(units))
-                sums_of.append(json.dumps([sums[p] for p, _ in units]))
-            yield pa.RecordBatch.from_pydict({
-                "host": b["_host"], "shape": pa.array(shapes, pa.string()), "texts": pa.array(sums_of, pa.string())})
+            rows: dict[tuple[str, str], list[int]] = {}
+            for host, page in zip(b["_host"].to_pylist(), b["_html"].to_pylist(), strict=True):
+                for path, (crc, chars, n) in [*slots(page).items(), (EVERY, (0, 0, 0))]:
+                    r = rows.setdefault((host, path), [0, 0, crc, crc, 0])
+                    r[:] = r[0] + 1, r[1] + chars, min(r[2], crc), max(r[3], crc), max(r[4], n)
+            columns = list(zip(*rows.values(), strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in rows], pa.string()), pa.array([p for _, p in rows], pa.string()),
+                 *(pa.array(c, pa.int64()) for c in columns)],
+                ["host", "path", "pages", "chars", "low", "high", "most"])
 
     found = pages.select(host_of(F.col(url_col)).alias("_host"), whole(html_col).alias("_html")).mapInArrow(
-        streams, "host string, shape string, texts string")
-    # A stream's texts are the same on all its pages exactly when least and largest agree.
-    shapes = found.groupBy("host", "shape").agg(F.min("texts").alias("low"), F.max("texts").alias("high"), F.count(F.lit(1)).alias("pages"))
-
-    def start(row) -> list[dict]:
-        low, high = json.loads(row.low), json.loads(row.high)
-        return [{"path": p, "repeated": r, "optional": False, "text": a if a == b else None, "pages": int(row.pages)}
-                for (p, r), a, b in zip(json.loads(row.shape), low, high, strict=True)]
-
-    def first(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        wrapper = None
-        for row in group.sort_values("shape").itertuples():
-            wrapper = start(row) if wrapper is None else align(wrapper, start(row))
-        return pd.DataFrame({"host": [key[0]], "wrapper": [json.dumps(wrapper)]})
-
-    def second(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        wrapper = None
-        for text in sorted(group["wrapper"]):
-            wrapper = json.loads(text) if wrapper is None else align(wrapper, json.loads(text))
-        return pd.DataFrame({"host": [key[0]], "paths": [json.dumps(chosen(wrapper))], "wrapper": [json.dumps(wrapper)]})
-
-    salted = shapes.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(SALTS)))
-    partly = salted.groupBy("host", "salt").applyInPandas(first, "host string, wrapper string")
-    return partly.groupBy("host").applyInPandas(second, "host string, paths string, wrapper string")
+        sums, "host string, path string, pages long, chars long, low long, high long, most long")
+    # A path's texts are the same on all its pages exactly when least and largest agree.
+    summed = table(found.groupBy("host", "path").agg(
+        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.max("most").alias("most")).filter(F.col("pages") >= LEAST_PAGES), "slots")
+    kept = summed.filter(F.col("path") != EVERY).join(
+        summed.filter(F.col("path") == EVERY).select("host", F.col("pages").alias("total")), "host"
+    ).filter(F.col("pages") >= F.col("total") * LEAST_SHARE)
+
+    def choose(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        wrapper = [
+            {"path": r.path, "pages": int(r.pages), "chars": int(r.chars), "optional": bool(r.pages < r.total), "repeated": bool(r.most > 1), "varies": bool(r.low != r.high)}
+            for r in group.sort_values("path").itertuples()]
+        of_main = set(chosen(wrapper))
+        paths = {u["path"]: int(u["path"] in of_main) for u in wrapper}
+        return pd.DataFrame({"host": [key[0]], "paths": [json.dumps(paths)], "wrapper": [json.dumps(wrapper)]})
+
+    return kept.groupBy("host").applyInPandas(choose, "host string, paths string, wrapper string")
 
 
 @lru_cache(4096)
-def known_paths(paths: str | None) -> frozenset[str]:
-    return frozenset(json.loads(paths or "[]"))
+def known_paths(paths: str | None) -> dict[str, int]:
+    return json.loads(paths or "{}")
 
 
 BROADCAST_BYTES = 32 << 20

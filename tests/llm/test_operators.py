@@ -1,6 +1,7 @@
 """Each operator on awkward rows, against brute force where it has an exact answer."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -274,7 +275,23 @@ def test_main_text(spark):
     ("<textarea><p>draft</textarea>", ""), ("<iframe src=x/><p>frame</iframe>", ""), ("<noscript><p>on</noscript>", ""), ("<template><p>t</template>", "")])
 def test_elements_that_are_not_raw_lose_nothing_after_them(inner, want):
     page = f"<article><p>before</p>{inner}<p>after</p></article><p>end"
-    assert wrappers.extract(page, frozenset()).split() == ["before", *want.split(), "after"]
+    assert wrappers.extract(page, {}).split() == ["before", *want.split(), "after"]
+
+
+def test_a_wrapper_does_not_grow_with_the_pages(spark):
+    """Ids of their own, and names of their own, on each page."""
+    def pages(host, n):
+        word = "".join(chr(97 + k % 26) for k in range(26))
+        return [(f"http://{host}/{k}", f"<body class='page{k} k{k}z'><div id=post-{k} class='lead {word[k % 26]}{word[k // 26]}x'><p>Story {k}<p>more {k}</div>"
+                 f"<div class=rail><p>Same everywhere</div><div id=sidebar><p>Links {k}</div>") for k in range(n)]
+    rows = spark.createDataFrame(pages("few", 40) + pages("many", 160) + [("http://one/", "<p>x")], "url string, html string")
+    got = {r.host: (json.loads(r.paths), json.loads(r.wrapper)) for r in wrappers.infer(rows).collect()}
+    assert set(got) == {"few", "many"} and len(got["few"][1]) == len(got["many"][1]) <= 5
+    paths, wrapper = got["many"]
+    assert not any(c.isdigit() for p in paths for c in p)
+    slot = {u["path"]: u for u in wrapper}
+    assert slot["body/div.post/p"] | {"chars": 0} == {"path": "body/div.post/p", "pages": 160, "chars": 0, "optional": False, "repeated": True, "varies": True}
+    assert not slot["body.page/div.rail/p"]["varies"] and not paths["body.page/div.rail/p"] and paths["body/div.post/p"] == 1
 
 
 def test_near_dedup(docs, nothing):
