@@ -38,6 +38,9 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
 BOILERPLATE = frozenset("ad ads advert advertisement adverts sponsor sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay sidebar side menu nav navbar navigation breadcrumb breadcrumbs header footer masthead comment comments commentlist disqus reply replies respond share sharing social related recommended newsletter subscribe subscription signup login pagination pager widget toolbar search complementary contentinfo".split())
 ARTICLE = frozenset("article content post entry story articlebody maincontent postcontent entrycontent articlecontent".split())
 MEANT = BOILERPLATE | ARTICLE | {"main", "related", "!hidden"}
+# How a choice weighs: the rank of text outside containers, the part of the heaviest holder's weight
+# that makes another one main text, and the pages on which a container's slot must be the same.
+BARE, NEAR, SURE = 0.25, 0.25, 3
 MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -154,24 +157,58 @@ def container(path: str) -> int:
     return rank
 
 
-def chosen(wrapper: list[dict]) -> list[str]:
-    """Paths of main text: those with the surest container, else what differs between pages."""
+@lru_cache(1 << 14)
+def holder(path: str) -> str:
+    """The part of the page that a slot is in: down to the first article, else down to the first
+    other container, else ""."""
+    steps = path.split("/")
+    of_rank = [k for k, step in enumerate(steps) if container(step)]
+    articles = [k for k in of_rank if container(steps[k]) == 3]
+    return "/".join(steps[:(articles or of_rank)[0] + 1]) if of_rank else ""
+
+
+def chosen(wrapper: list[dict]) -> set[str]:
+    """Paths of main text. Slots are weighed by what varies in them, by holder: its characters
+    a page, times the rank of its container. The heaviest holder has main text, with those
+    around it and those of at least `NEAR` of its weight; in a holder that has a container
+    a slot must be the same on `SURE` pages to be left out. Where nothing varies all is kept."""
     left = [u for u in wrapper if not excluded(u["path"])]
-    top = max((container(u["path"]) for u in left), default=0)
-    if top:
-        return sorted({u["path"] for u in left if container(u["path"]) == top})
-    varying = {u["path"] for u in left if u["varies"]}
-    return sorted(varying or {u["path"] for u in left})
+    varying = [u for u in left if u["varies"] or container(u["path"]) and u["pages"] < SURE] or left
+    chars: dict[str, int] = {}
+    pages: dict[str, int] = {}
+    for u in varying:
+        h = holder(u["path"])
+        chars[h], pages[h] = chars.get(h, 0) + u["chars"], max(pages.get(h, 0), u["pages"])
+    weight = {h: chars[h] / pages[h] * (container(h) or BARE) for h in chars}
+    top = max(sorted(weight), key=weight.__getitem__, default="")
+    main = {h for h in weight if h == top or h and (weight[h] >= NEAR * weight[top])}
+    main |= {h for h in weight if h and any(m.startswith(h + "/") for m in main)}
+    return {u["path"] for u in varying if holder(u["path"]) in main}
+
+
+def by_itself(blocks: list[tuple[str, str]]) -> set[str]:
+    """Paths of main text of a page that is judged alone: all that it has counts as varying."""
+    chars: dict[str, int] = {}
+    for p, t in blocks:
+        chars[p] = chars.get(p, 0) + len(t)
+    return chosen([{"path": p, "pages": 1, "chars": n, "varies": True} for p, n in chars.items()])
+
+
+def decided(page: str, known: dict[str, int]) -> tuple[str, str]:
+    """Main text and what decided: "wrapper", "both", or "page" where the host has no wrapper or
+    the wrapper chooses nothing of the page. A path that the wrapper lacks goes by the page."""
+    blocks = tokens(page)
+    says = [known.get(p, known.get(plain(p))) for p, _ in blocks]
+    own = by_itself(blocks) if None in says or 1 not in says else set()
+    if 1 not in says:
+        return " ".join(t for p, t in blocks if p in own), "page"
+    text = " ".join(t for (p, t), s in zip(blocks, says, strict=True) if s or s is None and p in own)
+    return text, "both" if None in says else "wrapper"
 
 
 def extract(page: str, known: dict[str, int]) -> str:
-    """Main text under a wrapper's choice. A page is judged by its own container first: one
-    that has no article, or whose paths the wrapper does not know, follows its own tags."""
-    blocks = tokens(page)
-    own = max((container(p) for p, _ in blocks if not excluded(p)), default=0)
-    if own:
-        return " ".join(t for p, t in blocks if container(p) == own and not excluded(p))
-    return " ".join(t for p, t in blocks if known.get(p, known.get(plain(p))) and not excluded(p)) or " ".join(t for p, t in blocks if not excluded(p))
+    """Main text under a wrapper's choice."""
+    return decided(page, known)[0]
 
 
 # A wrapper has the paths of at least this many pages and this part of the host's pages, so its
@@ -202,30 +239,32 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
         for b in slices(batches, "_html"):
             rows: dict[tuple[str, str], list[int]] = {}
             for host, page in zip(b["_host"].to_pylist(), b["_html"].to_pylist(), strict=True):
+                of_page = zlib.crc32(page.encode())
                 for path, (crc, chars, n) in [*slots(page).items(), (EVERY, (0, 0, 0))]:
-                    r = rows.setdefault((host, path), [0, 0, crc, crc, 0])
-                    r[:] = r[0] + 1, r[1] + chars, min(r[2], crc), max(r[3], crc), max(r[4], n)
-            columns = list(zip(*rows.values(), strict=True)) or [()] * 5
+                    r = rows.setdefault((host, path), [0, 0, crc, crc, of_page, of_page, 0])
+                    r[:] = r[0] + 1, r[1] + chars, min(r[2], crc), max(r[3], crc), min(r[4], of_page), max(r[5], of_page), max(r[6], n)
+            columns = list(zip(*rows.values(), strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array([h for h, _ in rows], pa.string()), pa.array([p for _, p in rows], pa.string()),
                  *(pa.array(c, pa.int64()) for c in columns)],
-                ["host", "path", "pages", "chars", "low", "high", "most"])
+                ["host", "path", "pages", "chars", "low", "high", "low_page", "high_page", "most"])
 
     found = pages.select(host_of(F.col(url_col)).alias("_host"), whole(html_col).alias("_html")).mapInArrow(
-        sums, "host string, path string, pages long, chars long, low long, high long, most long")
-    # A path's texts are the same on all its pages exactly when least and largest agree.
+        sums, "host string, path string, pages long, chars long, low long, high long, low_page long, high_page long, most long")
+    # A path's texts are the same on all its pages exactly when least and largest agree; copies
+    # of one page tell nothing about its slots, which then count as varying.
     summed = table(found.groupBy("host", "path").agg(
         F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"),
-        F.max("most").alias("most")).filter(F.col("pages") >= LEAST_PAGES), "slots")
+        F.min("low_page").alias("low_page"), F.max("high_page").alias("high_page"), F.max("most").alias("most")).filter(F.col("pages") >= LEAST_PAGES), "slots")
     kept = summed.filter(F.col("path") != EVERY).join(
         summed.filter(F.col("path") == EVERY).select("host", F.col("pages").alias("total")), "host"
     ).filter(F.col("pages") >= F.col("total") * LEAST_SHARE)
 
     def choose(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         wrapper = [
-            {"path": r.path, "pages": int(r.pages), "chars": int(r.chars), "optional": bool(r.pages < r.total), "repeated": bool(r.most > 1), "varies": bool(r.low != r.high)}
+            {"path": r.path, "pages": int(r.pages), "chars": int(r.chars), "optional": bool(r.pages < r.total), "repeated": bool(r.most > 1), "varies": bool(r.low != r.high or r.low_page == r.high_page)}
             for r in group.sort_values("path").itertuples()]
-        of_main = set(chosen(wrapper))
+        of_main = chosen(wrapper)
         paths = {u["path"]: int(u["path"] in of_main) for u in wrapper}
         return pd.DataFrame({"host": [key[0]], "paths": [json.dumps(paths)], "wrapper": [json.dumps(wrapper)]})
 

@@ -278,6 +278,25 @@ def test_elements_that_are_not_raw_lose_nothing_after_them(inner, want):
     assert wrappers.extract(page, {}).split() == ["before", *want.split(), "after"]
 
 
+def test_the_wrapper_decides_what_is_main_text(spark):
+    """Articles in other containers than their teasers, lines of the template, copies, templates."""
+    def page(k, body):
+        return f"<body><main><div class=content><h1>Title {k}</h1>{body}<p class=tip>Tell your friends</p></div><article class=card><p>Teaser {k}</article></main><footer>f</footer>"
+    story = [f"Story {k} " + prose(k, 60) for k in range(9)]
+    rows = [(k, f"http://tea.ser/{k}", page(k, f"<p>{story[k]}")) for k in range(5)]
+    rows += [(5, "http://alo.ne/", page(5, f"<p>{story[5]}"))]
+    rows += [(6, "http://tea.ser/6", f"<body><section><p>{story[6]}</section>")]  # paths the wrapper lacks
+    listed = page(7, f"<p>{story[7]}<ul><li>only here</ul>")
+    rows += [(10 + k, "http://tea.ser/copy", listed) for k in range(4)]
+    rows += [(20 + k, f"http://pla.in/{k}", f"<div class=x><p>{story[k]}</div><div class=y><p>Same</div>") for k in range(4)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(5):
+        assert got[k] == f"Title {k} {story[k]}"
+        assert k == 4 or got[20 + k] == story[k]
+    assert got[5] == f"Title 5 {story[5]} Tell your friends" and got[6] == story[6]
+    assert [got[10 + k] for k in range(4)] == [f"Title 7 {story[7]} only here"] * 4
+
+
 def test_a_wrapper_does_not_grow_with_the_pages(spark):
     """Ids of their own, and names of their own, on each page."""
     def pages(host, n):
