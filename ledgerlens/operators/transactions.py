@@ -24,11 +24,11 @@ LAYOUT = [
 ]
 
 
-def conform(df: DataFrame) -> DataFrame:
+def conform(df: DataFrame, *carry: str) -> DataFrame:
     """Landed transactions to silver types; a value that does not fit becomes null.
 
     An offset is unique only within its partition, so the partition goes along where the
-    source has one.
+    source has one. `carry` names columns that go along as they are.
     """
     columns = [
         (F.col(name).try_cast(kind) if kind else F.col(name)).alias(name)
@@ -36,7 +36,7 @@ def conform(df: DataFrame) -> DataFrame:
     ]
     if "kafka_partition" in df.columns:
         columns.append(F.col("kafka_partition").try_cast("int").alias("kafka_partition"))
-    return df.select(*columns)
+    return df.select(*columns, *carry)
 
 
 def stream_positions(df: DataFrame) -> DataFrame:

@@ -2,24 +2,28 @@
 
 Each batch goes to the partition (query id, batch id). The query id lives in the
 checkpoint, so a retried batch overwrites itself, and a stream restarted on a lost
-checkpoint writes elsewhere. Such a new lineage leaves out the stream positions an older one
-has already stored, so a full replay adds nothing twice.
+checkpoint writes elsewhere. Such a new lineage leaves out the messages an older one has
+already stored in either table, so a full replay adds nothing twice. A message is told by its
+position, timestamp and content: another one at a stored position stops the run, as offsets
+start again when a topic is recreated.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerlens.contracts import Contract
-from ledgerlens.operators.transactions import POSITION, conform, dedupe_stream
+from ledgerlens.contracts.contract import FAILED
+from ledgerlens.operators.transactions import POSITION, conform
 from ledgerlens.sources.files import children, write_partitions
 
 CONTRACT = "txn_monitoring_transaction"
 LINEAGE, BATCH = "query_id", "batch_id"
+STAMP = "kafka_timestamp"
 
 
 def bronze_stream(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -34,25 +38,47 @@ def bronze_stream(spark: SparkSession, path: str, schema: StructType | str | Non
     return spark.readStream.schema(schema).parquet(path)
 
 
-def _not_stored_elsewhere(df: DataFrame, path: str, lineage: str) -> DataFrame:
-    """Leave out positions that another lineage of the same stream has stored.
+def _stored_elsewhere(like: DataFrame, paths: Sequence[str], lineage: str) -> DataFrame | None:
+    """Position, `_stamp` and `_content` of what other lineages have stored in the tables.
 
-    One listing of the lineages tells whether there is another; there usually is none, and
-    the batch goes through as it is. Otherwise their positions are read two columns wide.
+    One listing of the lineages of each table tells whether there is another; there usually is
+    none. A timestamp that was not stored is null.
     """
-    spark = df.sparkSession
-    others = [
-        f"{path}/{name}" for name in children(spark, path)
-        if name.startswith(f"{LINEAGE}=") and name != f"{LINEAGE}={lineage}"
-    ]
-    if not others:
-        return df
-    # The schema is declared, as a lineage may hold no row of this table.
-    stored = (
-        spark.read.schema(df.select(*POSITION).schema).option("basePath", path).parquet(*others)
-        .select(*POSITION)
-    )
-    return df.join(stored, POSITION, "left_anti")
+    spark, found = like.sparkSession, None
+    for path in paths:
+        others = [
+            f"{path}/{name}" for name in children(spark, path)
+            if name.startswith(f"{LINEAGE}=") and name != f"{LINEAGE}={lineage}"
+        ]
+        if others:
+            # The schema is declared, as a lineage may hold no row of this table.
+            rows = _told(spark.read.schema(like.schema).option("basePath", path).parquet(*others).select(*like.columns))
+            rows = rows.select(*POSITION, "_stamp", "_content")
+            found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def _told(df: DataFrame) -> DataFrame:
+    """Next to each row what tells its message from another at the same position."""
+    content = [c for c in df.columns if c not in (*POSITION, STAMP, FAILED)]
+    stamp = F.col(STAMP) if STAMP in df.columns else F.lit(None).cast("timestamp")
+    return df.withColumns({"_stamp": stamp, "_content": F.struct(*content)})
+
+
+def _not_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
+    """Leave out stored messages; raise where a stored position holds another message."""
+    a, b = _told(df).alias("a"), stored.alias("b")
+    at = (F.col("a.kafka_partition") == F.col("b.kafka_partition")) & (
+        F.col("a.kafka_offset") == F.col("b.kafka_offset"))
+    same = F.col("a._content").eqNullSafe(F.col("b._content")) & F.coalesce(
+        F.col("a._stamp") == F.col("b._stamp"), F.lit(True))
+    fresh = a.join(b, at & same, "left_anti")
+    if clash := fresh.alias("a").join(b, at, "left_semi").select(*POSITION).head():
+        raise RuntimeError(
+            f"partition {clash[0]} offset {clash[1]} is stored with other content: if the topic "
+            "was recreated, write it into new tables"
+        )
+    return fresh.select(*df.columns)
 
 
 def batch_writer(
@@ -61,21 +87,26 @@ def batch_writer(
     """The handler of one micro-batch.
 
     A broker delivers a position once per batch, so rows are not compared with each other;
-    `dedupe` does, for a source that may hold copies, at the price of a shuffle.
+    `dedupe` does, for a source that may hold copies, at the price of a shuffle. Only rows
+    equal in every column are copies.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
         lineage = context.getLocalProperty("sql.streaming.queryId") or "unnamed"
-        landed = conform(batch)
+        stamped = [STAMP] if STAMP in batch.columns else []
+        landed = conform(batch, *stamped)
         if dedupe:
             # Rows without a position cannot be told apart by it and are all kept.
             placed = F.col("kafka_partition").isNotNull() & F.col("kafka_offset").isNotNull()
-            landed = dedupe_stream(landed.filter(placed)).unionByName(landed.filter(~placed))
-        passed, quarantined = contract.enforce(landed, carry=["kafka_partition"])
+            landed = landed.filter(placed).dropDuplicates().unionByName(landed.filter(~placed))
+        passed, quarantined = contract.enforce(landed, carry=["kafka_partition", *stamped])
+        stored = _stored_elsewhere(passed, (silver, quarantine), lineage)
+        if stored is not None:
+            # Both are checked before either is written.
+            passed, quarantined = _not_stored(passed, stored), _not_stored(quarantined, stored)
         for rows, path in ((passed, silver), (quarantined, quarantine)):
-            fresh = _not_stored_elsewhere(rows, path, lineage)
             write_partitions(
-                fresh.withColumn(LINEAGE, F.lit(lineage)).withColumn(BATCH, F.lit(batch_id)),
+                rows.withColumn(LINEAGE, F.lit(lineage)).withColumn(BATCH, F.lit(batch_id)),
                 path, LINEAGE, BATCH,
             )
 
