@@ -48,7 +48,8 @@ def only_digits(text: str) -> str:
 
 
 def is_ip(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    # int() refuses thousands of digits, zeros included.
+    return all(len(p) <= 3 and int(p or "0") <= 255 for p in (part.lstrip("0") for part in text.split(".")))
 
 
 def is_card(text: str) -> bool:

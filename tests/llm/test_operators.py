@@ -248,6 +248,13 @@ def test_patterns_equal_plain_regexes():
         assert [m.span() for m in pii.IP.finditer(t)] == [m.span() for m in ip.finditer(t)]
 
 
+def test_an_address_with_thousands_of_zeros():
+    zeros = "0" * 5000
+    for part, want in ((zeros, True), (zeros + "255", True), (zeros + "256", False), ("9" * 5000, False)):
+        text = f"at 1.1.1.{part} now"
+        assert [(s, e) for s, e, kind in pii.base_spans(text) if kind == 1] == ([(3, len(text) - 4)] if want else [])
+
+
 PAGE = """<html><head><title>T</title><style>p{{}}</style></head><body><nav><ul><li><a href=x>Home</a></li></ul></nav>
 <div class="ad">Buy</div>{0}<aside>side</aside><form>f</form><script>var x="<p>no</p>";</script><footer>&copy; me</footer>"""
 
