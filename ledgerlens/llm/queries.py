@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bpe, exact_dedup, license_scan, mixing, near_dedup, pii, quality, suffix_dedup, token_files, wrappers
+from ledgerlens.llm import (
+    bpe,
+    exact_dedup,
+    license_scan,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    suffix_dedup,
+    token_alignment,
+    token_files,
+    whitening,
+    wrappers,
+)
 from ledgerlens.llm.common import load
 
 
@@ -15,6 +29,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(load(spark, sf_dir, "documents")).drop("spans")
 
@@ -55,9 +73,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_digests(load(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_digests(load(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_license_scan, op2_token_files, op3_bpe, op4_main_text, op5_pii, op6_mixing, op7_suffix_dedup, op8_quality, op9_near_dedup, op10_exact_dedup)
+        op1_license_scan, op2_token_files, op3_bpe, op4_main_text, op5_pii, op6_mixing, op7_suffix_dedup, op8_quality, op9_near_dedup, op10_exact_dedup,
+        op11_packing, op12_alignment, op13_whitening)
 }
 
 ORACLES: dict[str, str] = {

@@ -18,7 +18,6 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +25,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.chunks import Known, pieces
 from ledgerlens.llm.common import slices, whole
+from ledgerlens.llm.fast_encoding import byte_level
 from ledgerlens.session import scratch_path
 
 MAGIC, VERSION, SAMPLE, END = 0x4F49465445, 1, 256, 2
+# Bytes of text that are encoded at once.
+SLICE = 4 << 20
 HEADER = np.dtype([("magic", "<i8"), ("version", "<i8"), ("docs", "<i8"), ("tokens", "<i8"), ("width", "<i8"), ("nulls", "<i8"), ("ids", "<i8", 5), ("bounds", "<i8", 5)])
 
 
@@ -93,69 +94,18 @@ def _opened(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
 
 
-class Encoder:
-    """ids of a text by the tokenizers library. Pieces that were met before come from a table."""
-
-    def __init__(self, path: str, most: int = 400_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known = Known(most)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # One character of a byte-level token stands for one byte.
-        self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
-
-    def _joined(self, some: list[str]) -> list[bytes]:
-        """The ids of pieces by one call on all of them. Pieces that start with a space and end
-        in something else stay apart for the pre-tokeniser; the lengths of the tokens in bytes
-        tell where each piece ends."""
-        text = "".join(some)
-        ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
-        lengths = map(len, some if text.isascii() else [p.encode() for p in some])
-        ends = np.cumsum(np.fromiter(lengths, np.int64, len(some)))
-        cuts = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * self.kind.itemsize).tolist()
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip([0, *cuts], cuts)]
-
-    def _learn(self, new: list[str], special: bool) -> None:
-        known = self.known.young
-        joined = [] if special else [p for p in new if p[:1] == " " and not p[-1].isspace()]
-        for i in range(0, len(joined), 1000):
-            known.update(zip(joined[i:i + 1000], self._joined(joined[i:i + 1000]), strict=True))
-        rest = [p for p in new if p not in known]
-        for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
-            known[p] = np.asarray(e.ids, self.kind).tobytes()
-
-    def __call__(self, texts: list[str], end: int | None) -> list[bytes]:
-        cut = [pieces(t) for t in texts]
-        special = any(s in t for s in self.added for t in texts)
-        self._learn(self.known.missing({p for c in cut for p in c}), special)
-        tail = b"" if end is None else self.kind.type(end).tobytes()
-        get = self.known.young.__getitem__
-        return [b"".join(map(get, c)) + tail for c in cut]
-
-
-@lru_cache(1)
-def encoder_of(path: str) -> Encoder:
-    """One encoder, with the pieces it knows, for all tasks of a worker process."""
-    return Encoder(path)
-
-
 def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
           end: int | None = END) -> DataFrame:
     """Encodes every text (null: empty), appends `end`, and writes shards into `folder`, a path
     or URI that driver and executors share. Returns the manifest: shard, path, docs, tokens.
 
     Documents are range-partitioned by id (nulls first, then ties by content), so shards are in
-    ascending order. A shard is written under a name of its attempt and renamed when complete:
-    a lost executor or a second attempt never leaves half a shard. The memory of a task is one
+    ascending order. Each attempt writes a shard under a name of its
+    own, and the manifest names the complete ones only: what a lost executor or a second attempt
+    leaves is never read. The memory of a task is one
     slice of texts plus 16 bytes a document.
     """
     spark = docs.sparkSession
-    os_env = {"TOKENIZERS_PARALLELISM": "false"}
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
@@ -163,25 +113,25 @@ def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id",
         "id", "text", F.spark_partition_id().alias("shard"))
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.update(os_env)
-        encoder = None
+        encoder = byte_level(tokenizer, True)
+        tail = b"" if end is None else encoder.kind.type(end).tobytes()
         ids: list[np.ndarray] = []
         lengths: list[np.ndarray] = []
         nulls, shard, out, name = 0, 0, None, ""
         fs, top = _opened(folder)
-        for b in slices(batches, "text"):
-            if encoder is None:
-                encoder = encoder_of(tokenizer)
+        for b in slices(batches, "text", SLICE):
+            if out is None:
                 shard = b["shard"][0].as_py()
                 name = f"{top}/{shard:08d}.{uuid.uuid4().hex}"
                 fs.create_dir(top)
                 out = fs.open_output_stream(f"{name}.ids")
-            coded = encoder(b["text"].to_pylist(), end)
+            flat, bounds = encoder(b["text"])
+            coded = [flat[i:j].tobytes() + tail for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
             nulls += b["id"].null_count
             ids.append(b["id"].drop_null().to_numpy(zero_copy_only=False))
             lengths.append(np.fromiter(map(len, coded), np.int64, len(coded)) // encoder.kind.itemsize)
             out.write(b"".join(coded))
-        if encoder is None:
+        if out is None:
             return
         out.close()
         bounds = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
