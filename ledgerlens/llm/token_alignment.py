@@ -25,7 +25,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ledgerlens.llm.common import slices, table, whole
 from ledgerlens.llm.fast_encoding import Pieces, byte_level, piece_model
 
-SLICE = 8 << 20
+# Bytes of text that are aligned at once; what that takes is some hundred bytes for each of them.
+SLICE = 3 << 20
 # Groups with more links are counted by distinct ids before they are multiplied.
 LARGE = 64
 # An id pair is one number: A's id times this plus B's, which is below it.
