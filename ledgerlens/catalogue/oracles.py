@@ -416,23 +416,31 @@ SWEEP_COLUMNS = """name_orig, name_dest, type, amount::double as amount, is_frau
 
 # Every name against every entry: the plain statement of what the screening must find.
 NAMES = """
-listed as (
-  select 'WL-' || substr(sha256(p_name), 1, 8) as entity_id, p_name as name,
-    case substr(sha256(p_name), 2, 1) when '0' then 'SDN' when '1' then 'EU' else 'UN' end
+suppliers as (
+  select s_suppkey, substr(letters, 1, 7) || ' ' || substr(letters, 8, 8) as s_name
+  from (select s_suppkey, translate(md5(s_suppkey::varchar), '0123456789abcdef', 'aeiounrstlmdkvbz') as letters
+        from supplier)
+), listed as (
+  select 'WL-' || substr(sha256(name), 1, 8) as entity_id, name,
+    case substr(sha256(name), 2, 1) when '0' then 'SDN' when '1' then 'EU' else 'UN' end
       as program
-  from (select distinct p_name from part)
+  from (select distinct p_name as name from part union all select s_name from suppliers)
 ), accounts as (
   select user_id, k, user_id * 40 + k as n
   from (select distinct user_id, event_id % 40 as k from events)
+), based as (
+  select user_id, k, n, case when n % 3 = 0 then s_name else p_name end as base
+  from accounts join part on p_partkey = n % (select max(p_partkey) + 1 from part)
+    join suppliers on s_suppkey = n % (select count(*) from supplier)
 ), named as (
   select 'M' || user_id || '-' || k as name_dest,
-    case n % 11 when 0 then substr(p_name, 1, length(p_name) - 1)
-      when 1 then replace(p_name, ' ', '  ') when 2 then replace(p_name, 'e', 'i')
-      when 3 then upper(p_name)
-      else chr(cast(97 + n % 26 as int)) || '. ' || split_part(p_name, ' ', 2) || ' '
-        || split_part(p_name, ' ', 1) end as dest_name,
+    case n % 11 when 0 then substr(base, 1, length(base) - 1)
+      when 1 then replace(base, ' ', '  ') when 2 then replace(base, 'e', 'i')
+      when 3 then upper(base)
+      else chr(cast(97 + n % 26 as int)) || '. ' || split_part(base, ' ', 2) || ' '
+        || split_part(base, ' ', 1) end as dest_name,
     n % 11 < 4 as seeded_hit
-  from accounts join part on p_partkey = n % (select max(p_partkey) + 1 from part)
+  from based
 ), scored as (
   select key, entity_id, program, jaro_winkler_similarity(key, lower(name)) as score
   from (select distinct lower(dest_name) as key from named), listed

@@ -237,17 +237,22 @@ def poisoned_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- names ---------------------------------------------------------------------------
 
 
-def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_name").distinct().withColumn(
-        "h", F.sha2("p_name", 256)
-    )
+# The letters that stand for the hexadecimal digits in a supplier's name.
+HEX_LETTERS = "aeiounrstlmdkvbz"
+
+
+def _supplier_name(key: str) -> Column:
+    """Two words of letters, another one for each key."""
+    letters = f"translate(md5(cast({key} as string)), '0123456789abcdef', '{HEX_LETTERS}')"
+    return F.expr(f"concat(substr({letters}, 1, 7), ' ', substr({letters}, 8, 8))")
 
 
 def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part name is listed."""
-    return part_names(spark, sf_dir).select(
-        F.concat(F.lit("WL-"), F.substring("h", 1, 8)).alias("entity_id"),
-        F.col("p_name").alias("name"),
+    """Every part name and every supplier is listed, so the list grows with the suppliers."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
+    suppliers = table(spark, sf_dir, "supplier").select(_supplier_name("s_suppkey").alias("name"))
+    return parts.unionByName(suppliers).withColumn("h", F.sha2("name", 256)).select(
+        F.concat(F.lit("WL-"), F.substring("h", 1, 8)).alias("entity_id"), "name",
         F.expr(
             "case substr(h, 2, 1) when '0' then 'SDN' when '1' then 'EU' else 'UN' end"
         ).alias("program"),
@@ -255,29 +260,32 @@ def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One beneficiary name per destination account.
+    """One beneficiary name per destination account, made from a part's or a supplier's.
 
-    A third are slips of a listed part name; the rest are that name's words turned
-    round with the account's initial put in front.
+    A third are slips of a listed name; the rest are that name's words turned round with the
+    account's initial put in front.
     """
     accounts = table(spark, sf_dir, "events").select("user_id", F.expr("event_id % 40").alias("k"))
     parts = table(spark, sf_dir, "part")
     size = parts.select(F.max("p_partkey") + 1).scalar()
+    suppliers = table(spark, sf_dir, "supplier").select(F.count("*")).scalar()
     named = (
         accounts.distinct()
         .withColumn("n", F.expr("user_id * 40 + k"))
         .withColumn("p_partkey", F.col("n") % size)
+        .withColumn("supplier", F.col("n") % suppliers)
         .join(parts.select("p_partkey", "p_name"), "p_partkey")
+        .withColumn("base", F.when(F.col("n") % 3 == 0, _supplier_name("supplier")).otherwise(F.col("p_name")))
     )
     return named.select(
         F.expr("concat('M', user_id, '-', k)").alias("name_dest"),
         F.expr(
-            "case n % 11 when 0 then substr(p_name, 1, length(p_name) - 1) "
-            "when 1 then replace(p_name, ' ', '  ') "
-            "when 2 then replace(p_name, 'e', 'i') "
-            "when 3 then upper(p_name) "
-            "else concat(chr(cast(97 + n % 26 as int)), '. ', split_part(p_name, ' ', 2), ' ', "
-            "split_part(p_name, ' ', 1)) end"
+            "case n % 11 when 0 then substr(base, 1, length(base) - 1) "
+            "when 1 then replace(base, ' ', '  ') "
+            "when 2 then replace(base, 'e', 'i') "
+            "when 3 then upper(base) "
+            "else concat(chr(cast(97 + n % 26 as int)), '. ', split_part(base, ' ', 2), ' ', "
+            "split_part(base, ' ', 1)) end"
         ).alias("dest_name"),
         F.expr("n % 11 < 4").alias("seeded_hit"),
     )

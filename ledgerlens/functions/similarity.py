@@ -96,23 +96,6 @@ def jaro_winkler_kernel():
     return score
 
 
-def jaro_winkler(left: Column, right: Column) -> Column:
-    """Similarity in [0, 1] as a double. Both sides must be non-null.
-
-    For a similarity to filter by, use `score_pairs`: a filter on this column would make
-    Spark compute it twice.
-    """
-    import pandas as pd
-
-    kernel = jaro_winkler_kernel()
-
-    def score(a, b):
-        return pd.Series(kernel(a, b))
-
-    score.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
-    return F.pandas_udf(score, "double")(left, right)
-
-
 def score_pairs(pairs: DataFrame, left: str, right: str, threshold: float) -> DataFrame:
     """The pairs whose similarity reaches the threshold, with their `score`.
 

@@ -3,10 +3,12 @@
 A name is never compared with the whole list. If two names score at least the threshold,
 arithmetic on the Jaro-Winkler formula forces them to share so many characters that they
 must also share one of their few rarest ones. Names and list entries are keyed by those
-characters and meet in an equi-join. Of the pairs that meet, those that can share enough
-characters at all, which a comparison of two 64-bit masks tells, are scored. No bound below
-is a heuristic: each follows from the formula, so every pair at or above the threshold is
-found.
+characters and meet in an equi-join. Which characters are rare is measured on the names and
+the list at hand. A key under which many names would meet many entries is replaced by keys of
+four characters: whoever must share four or more also shares the four rarest of them.
+Of the pairs that meet, those that can share enough characters at all, which a comparison of
+two 64-bit masks tells, are scored. No bound below is a heuristic: each follows from the
+formula, so every pair at or above the threshold is found, whatever was measured.
 
 With lengths l and w and m matched characters, Jaro is at most (m/l + m/w + 1)/3, and the
 Winkler boost adds at most 0.1 * p * (1 - jaro) for p common leading characters. Hence a
@@ -17,6 +19,8 @@ and those with the same one (p <= 4), for which the first character joins the ke
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.similarity import PREFIX_LENGTH, PREFIX_SCALE, score_pairs
@@ -24,14 +28,61 @@ from ledgerlens.functions.similarity import PREFIX_LENGTH, PREFIX_SCALE, score_p
 THRESHOLD = 0.90
 # The keyed list is broadcast up to this size and joined by shuffle beyond it.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Least number of tasks the distinct names are dealt out to, on a cluster still growing.
-BUSY_TASKS = 8
+# Names times entries that may meet under one key before it is split by further characters,
+# and of how many characters a key is at most.
+SPLIT_PAIRS, MOST_CHARACTERS = 2_000, 4
+# Split keys up to this number are handed to the plan as rows it knows the size of.
+LOCAL_SPLITS = 50_000
+# Characters whose commonness is measured; all others count as rarest.
+ALPHABET, REPEATS = 64, 3
+# Of those, the characters with two bits of their own in a mask.
+OWN_BITS = 26
 
-# Most common first, for any text: only the speed depends on how well it fits, since every
-# fixed order of the characters gives the same pairs.
-_COMMON_FIRST = " eaionrtlsudhcmgpybkwfvzjxq"
 _SAME_FIRST, _OTHER_FIRST = 1, 0
 _EPSILON = 1e-9
+_KEY = ["cls", "head", "len_name", "len_listed", "char"]
+
+
+@dataclass(frozen=True)
+class Commonness:
+    """Characters, most common first, and the rank of the first, second and third occurrence
+    of each in a name: the higher, the more names hold it. Only the speed depends on it, since
+    every fixed order of the characters gives the same pairs."""
+
+    alphabet: str
+    ranks: tuple[tuple[int, ...], ...]
+
+    @classmethod
+    def measure(cls, *names: DataFrame) -> Commonness:
+        """Counted over all the names, each of which counts a character once; what reaches
+        the driver is a row for each of the most common characters."""
+        counted = None
+        for df in names:
+            chars = df.select(F.col(df.columns[0]).alias("name")).select(
+                "name", F.explode(F.array_distinct(F.split("name", ""))).alias("char"))
+            times = F.length("name") - F.length(F.replace("name", F.col("char"), F.lit("")))
+            part = chars.groupBy("char").agg(
+                *[F.count_if(times >= k).alias(f"n{k}") for k in range(1, REPEATS + 1)])
+            counted = part if counted is None else counted.unionByName(part)
+        sums = [F.sum(f"n{k}").alias(f"n{k}") for k in range(1, REPEATS + 1)]
+        top = counted.where("char <> ''").groupBy("char").agg(*sums).orderBy(F.desc("n1"), "char").limit(ALPHABET).collect()
+        every = sorted((r[f"n{k}"], -i, -k) for i, r in enumerate(top) for k in range(1, REPEATS + 1) if r[f"n{k}"])
+        place = {(-i, -k): rank + 1 for rank, (_, i, k) in enumerate(every)}
+        return cls("".join(r["char"] for r in top), tuple(
+            tuple(place.get((i, k), 0) for i in range(len(top))) for k in range(1, REPEATS + 1)))
+
+    def rank(self, char: Column, repeat: Column) -> Column:
+        """0 for what is not measured."""
+        place = F.instr(F.lit(self.alphabet), char)
+        found = F.lit(0)
+        for k, ranks in enumerate(self.ranks, 1):
+            known = F.element_at(F.array(*map(F.lit, ranks)), place) if ranks else F.lit(0)
+            found = F.when((place > 0) & (repeat == k), known).otherwise(found)
+        return found
+
+
+LETTERS = Commonness(" eaionrtlsudhcmgpybkwfvzjxq", tuple(
+    tuple(max(3 * (27 - i) - 24 * k, 0) for i in range(27)) for k in range(REPEATS)))
 
 
 def _required_share(threshold: float) -> dict[int, float]:
@@ -67,24 +118,17 @@ def _least_partner(share: float, length: Column) -> Column:
     ).cast("int")
 
 
-def _characters(name: Column) -> Column:
+def _characters(name: Column, common: Commonness = LETTERS) -> Column:
     """The characters of a name as an array, rarest first, repeats numbered apart.
 
-    `anna` holds a1, n1, a2, n2: two names share as many elements as characters. Later
-    repeats of a character are rarer than its first occurrence and sort earlier.
+    `anna` holds a1, n1, a2, n2: two names share as many elements as characters.
     """
     def numbered(char: Column) -> Column:
         times = F.length(name) - F.length(F.replace(name, char, F.lit("")))
-        place = F.instr(F.lit(_COMMON_FIRST), char)
-        commonness = F.when(place == 0, 0).otherwise(len(_COMMON_FIRST) + 1 - place)
         return F.transform(
             F.sequence(F.lit(1), times),
             lambda k: F.concat(
-                F.lpad(
-                    F.greatest(commonness - (k - 1) * 8, F.lit(0)).cast("string"), 2, "0"
-                ),
-                char,
-                k.cast("string"),
+                F.lpad(common.rank(char, k).cast("string"), 3, "0"), char, k.cast("string")
             ),
         )
 
@@ -96,17 +140,17 @@ def _characters(name: Column) -> Column:
     )
 
 
-def _mask(chars: Column) -> Column:
+def _mask(chars: Column, common: Commonness) -> Column:
     """The characters as 64 bits: one each for the first two of every common character, the
-    remaining ten shared by the rest.
+    remaining ones shared by the rest.
 
     Two names share at most as many characters as their masks share bits, plus those that
     found their bit taken in the name that has fewer of them.
     """
     def bit(char: Column) -> Column:
-        place = F.instr(F.lit(_COMMON_FIRST), F.substring(char, 3, 1))
-        repeat = F.substring(char, 4, 10).cast("int")
-        own = 2 * len(_COMMON_FIRST)
+        place = F.instr(F.lit(common.alphabet[:OWN_BITS]), F.substring(char, 4, 1))
+        repeat = F.substring(char, 5, 10).cast("int")
+        own = 2 * OWN_BITS
         return F.when((place > 0) & (repeat <= 2), (place - 1) * 2 + repeat - 1).otherwise(
             F.pmod(F.hash(char), F.lit(64 - own)) + own
         )
@@ -123,110 +167,162 @@ def _mask(chars: Column) -> Column:
     )
 
 
-def _keys(chars: Column, first: Column, count: Column, cls: int, length: Column) -> Column:
+def _keys(chars: Column, first: Column, count: Column, cls: int, len_name: Column, len_listed: Column) -> Column:
     """The first `count` characters as join keys of a class.
 
-    Each comes with its place in the order and the characters before it, which is all the
-    join needs to know of the rest.
+    Each comes with its place in the order and with `count`: the next characters of a longer
+    key lie within one place more each.
     """
     return F.transform(
         F.slice(chars, 1, F.greatest(count, F.lit(0))),
         lambda char, i: F.struct(
             F.lit(cls).alias("cls"),
             (first if cls == _SAME_FIRST else F.lit("")).alias("head"),
-            length.alias("len_key"),
+            len_name.alias("len_name"),
+            len_listed.alias("len_listed"),
             char.alias("char"),
             (i + 1).alias("at"),
-            F.slice(chars, F.lit(1), i).alias("before"),
+            count.alias("count"),
         ),
     )
 
 
-def _name_keys(share: dict[int, float]) -> Column:
-    """The keys a screened name is looked up by: its rarest characters in each class."""
-    length, chars = F.col("name_len"), F.col("name_chars")
-    first = F.coalesce(F.substring("name_key", 1, 1), F.lit(""))
-
-    def of_class(cls: int) -> Column:
-        s = share[cls]
-        count = length - _overlap(s, length, _least_partner(s, length)) + F.lit(1)
-        return _keys(chars, first, count, cls, length if _bounds_length(s) else F.lit(0))
-
-    return F.concat(of_class(_SAME_FIRST), of_class(_OTHER_FIRST))
-
-
-def _entry_keys(share: dict[int, float]) -> Column:
-    """The keys a list entry is found under: per class, per length a match may have."""
-    length, chars = F.col("listed_len"), F.col("listed_chars")
-    first = F.coalesce(F.substring("listed_key", 1, 1), F.lit(""))
+def _side_keys(side: str, share: dict[int, float], partners: list[int]) -> Column:
+    """The keys of a name or list entry: per class, per length a match may have and some name
+    on the other side does have, its rarest characters. For a class that does not bound the
+    lengths the least demanding partner decides how many."""
+    length, chars = F.col(f"{side}_len"), F.col(f"{side}_chars")
+    first = F.coalesce(F.substring(f"{side}_key", 1, 1), F.lit(""))
 
     def of_class(cls: int) -> Column:
         s = share[cls]
-        shortest = _least_partner(s, length)
-        if _bounds_length(s):
-            longest = F.floor(length / F.lit(s - 1) + F.lit(_EPSILON)).cast("int")
-            partner_lengths = F.sequence(shortest, F.greatest(longest, shortest))
-        else:
-            # Any length may match; the least demanding partner decides the key count.
-            partner_lengths = F.array(F.lit(1))
-        return F.flatten(F.transform(
-            partner_lengths,
-            lambda n: _keys(
-                chars, first, length - _overlap(s, length, n) + F.lit(1), cls,
-                n if _bounds_length(s) else F.lit(0),
-            ),
-        ))
+        if not _bounds_length(s):
+            count = length - _overlap(s, length, F.lit(1)) + F.lit(1)
+            return _keys(chars, first, count, cls, F.lit(0), F.lit(0))
+        longest = F.floor(length / F.lit(s - 1) + F.lit(_EPSILON)).cast("int")
+        lengths = F.filter(F.array(*map(F.lit, partners)).cast("array<int>"),
+                           lambda n: (n >= _least_partner(s, length)) & (n <= longest))
+        # A key names the name's length, then the entry's.
+        order = (lambda n: (length, n)) if side == "name" else (lambda n: (n, length))
+        return F.flatten(F.transform(lengths, lambda n: _keys(
+            chars, first, length - _overlap(s, length, n) + F.lit(1), cls, *order(n))))
 
     return F.concat(of_class(_SAME_FIRST), of_class(_OTHER_FIRST))
 
 
-def _keyed(df: DataFrame, side: str, keys: Column) -> DataFrame:
+def _keyed(df: DataFrame, side: str, keys: Column, common: Commonness) -> DataFrame:
     return (
         df.withColumn(f"{side}_len", F.coalesce(F.length(f"{side}_key"), F.lit(0)))
-        .withColumn(f"{side}_chars", _characters(F.col(f"{side}_key")))
-        .withColumn(f"{side}_mask", _mask(F.col(f"{side}_chars")))
+        .withColumn(f"{side}_chars", _characters(F.col(f"{side}_key"), common))
+        .withColumn(f"{side}_mask", _mask(F.col(f"{side}_chars"), common))
         .withColumn(
             f"{side}_taken",
             F.size(f"{side}_chars") - F.bit_count(f"{side}_mask"),
         )
         .select(
-            f"{side}_key", f"{side}_len", f"{side}_mask", f"{side}_taken", F.inline(keys)
+            f"{side}_key", f"{side}_len", f"{side}_mask", f"{side}_taken", f"{side}_chars",
+            F.inline(keys),
         )
-        .withColumnsRenamed({"at": f"{side}_at", "before": f"{side}_before"})
     )
 
 
-def _index_bytes(listed: DataFrame, share: dict[int, float]) -> int:
+def _split_keys(probe: DataFrame, index: DataFrame, share: dict[int, float], limit: int) -> DataFrame | None:
+    """The keys under which more than `limit` pairs would meet, with the number of characters
+    they are split by: as many as all who meet under the key must share, which the lengths in
+    it tell, and MOST_CHARACTERS at most. None where there are none."""
+    fewest = F.lit(0)
+    for cls, s in share.items():
+        if _bounds_length(s):
+            fewest = F.when(F.col("cls") == cls, _overlap(s, F.col("len_name"), F.col("len_listed"))).otherwise(fewest)
+    counted = [side.where(fewest >= 2).groupBy(*_KEY).agg(F.count("*").alias(n)) for side, n in ((probe, "_n"), (index, "_m"))]
+    found = counted[0].join(counted[1], _KEY).where(F.col("_n") * F.col("_m") > limit).select(
+        *_KEY, F.least(fewest, F.lit(MOST_CHARACTERS)).alias("_depth"))
+    local = found.limit(LOCAL_SPLITS + 1).collect()
+    if not local:
+        return None
+    return probe.sparkSession.createDataFrame(local, found.schema) if len(local) <= LOCAL_SPLITS else found
+
+
+def _refined(keyed: DataFrame, side: str, split: DataFrame | None) -> DataFrame:
+    """Keys with `more`: empty, or one row for each way to go on from the first character of a
+    split key. `before` holds what comes before the last character of the key, the key's own
+    characters excepted."""
+    chars, at = F.col(f"{side}_chars"), F.col("at")
+    if split is None:
+        keyed = keyed.withColumn("_depth", F.lit(None).cast("int"))
+    else:
+        keyed = keyed.join(split, _KEY, "left")
+    rows = keyed.withColumn("_places", F.sequence(F.lit(1), F.greatest(F.size(chars), F.lit(1))))
+
+    def after(place: Column, extra: int) -> Column:
+        last = F.least(F.col("count") + extra, F.size(chars))
+        return F.slice(F.col("_places"), place + 1, F.greatest(last - place, F.lit(0)))
+
+    ways = F.array(F.array().cast("array<int>"))
+    grown = F.transform(after(at, 1), lambda p: F.array(p))
+    for depth in range(2, MOST_CHARACTERS + 1):
+        ways = F.when(F.col("_depth") == depth, grown).otherwise(ways)
+        grown = F.flatten(F.transform(grown, lambda way: F.transform(
+            after(F.element_at(way, -1), depth), lambda p: F.concat(way, F.array(p)))))
+    out = rows.withColumn("_way", F.explode(ways))
+    last = F.coalesce(F.try_element_at("_way", F.lit(-1)), at)
+    others = F.filter(F.slice(F.col("_places"), F.lit(1), last - 1), lambda p: (p != at) & ~F.array_contains("_way", p))
+    pick = lambda p: F.get(chars, p - 1)
+    return out.select(
+        *_KEY, F.concat_ws("\0", F.transform("_way", pick)).alias("more"),
+        f"{side}_key", f"{side}_len", f"{side}_mask", f"{side}_taken",
+        at.alias(f"{side}_at"), F.transform(others, pick).alias(f"{side}_before"))
+
+
+def _index_bytes(listed: DataFrame, share: dict[int, float], partners: int, split: bool) -> int:
     """An upper bound on the size of the keyed list, from the lengths of its entries."""
     length = F.length("listed_key")
     rows = F.lit(0)
     for s in share.values():
         lengths = F.lit(1)
         if _bounds_length(s):
-            lengths = F.ceil(length / F.lit(s - 1)) - _least_partner(s, length) + F.lit(2)
+            lengths = F.least(F.ceil(length / F.lit(s - 1)) - _least_partner(s, length) + F.lit(2), F.lit(partners))
         rows = rows + lengths * (length - _overlap(s, length, _least_partner(s, length)) + 1)
-    # A key row holds the entry, its key, and on average half the characters before it.
-    size = F.sum(rows.cast("double") * (F.lit(96.0) + F.lit(8.0) * length))
+    # A key row holds the entry, its key, and on average half the characters before it; a split
+    # key becomes as many rows as the name has triples of characters at most.
+    ways = F.greatest(F.pow(length, F.lit(3)) / F.lit(6), F.lit(1.0)) if split else F.lit(1.0)
+    size = F.sum(rows.cast("double") * (F.lit(96.0) + F.lit(8.0) * length) * ways)
     return int(listed.agg(F.coalesce(size, F.lit(0.0))).first()[0])
 
 
+def meetings(
+    names: DataFrame, listed: DataFrame, threshold: float = THRESHOLD,
+    broadcast_bytes: int = BROADCAST_BYTES, split_pairs: int = SPLIT_PAIRS,
+) -> DataFrame:
+    """Names and entries that share a key: a row each time they meet. What is measured here
+    (commonness of characters, products of keys) is counted over all names and entries."""
+    if threshold <= 0:
+        raise ValueError("the threshold must be positive: a score of 0 matches everything")
+    share = _required_share(threshold)
+    common = Commonness.measure(names.select("name_key"), listed.select("listed_key"))
+    # One number for each length that occurs.
+    lengths = {side: [r[0] for r in df.select(F.length(key)).distinct().collect()]
+               for side, df, key in (("name", names, "name_key"), ("listed", listed, "listed_key"))}
+    probe = _keyed(names, "name", _side_keys("name", share, lengths["listed"]), common)
+    index = _keyed(listed, "listed", _side_keys("listed", share, lengths["name"]), common)
+    split = _split_keys(probe, index, share, split_pairs)
+    probe, index = _refined(probe, "name", split), _refined(index, "listed", split)
+    if _index_bytes(listed, share, len(lengths["name"]), split is not None) <= broadcast_bytes:
+        # The keys of the names are dealt out evenly, however few files the names came in.
+        probe, index = probe.hint("rebalance"), F.broadcast(index)
+    return probe.join(index, [*_KEY, "more"])
+
+
 def candidate_pairs(
     names: DataFrame, listed: DataFrame, threshold: float = THRESHOLD,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES, split_pairs: int = SPLIT_PAIRS,
 ) -> DataFrame:
     """Every (name_key, listed_key) pair that can reach the threshold, each exactly once.
 
     `names` has distinct `name_key`, `listed` distinct `listed_key`.
     """
-    if threshold <= 0:
-        raise ValueError("the threshold must be positive: a score of 0 matches everything")
+    met = meetings(names, listed, threshold, broadcast_bytes, split_pairs)
     share = _required_share(threshold)
-
-    probe = _keyed(names, "name", _name_keys(share))
-    index = _keyed(listed, "listed", _entry_keys(share))
-    if _index_bytes(listed, share) <= broadcast_bytes:
-        index = F.broadcast(index)
-
     name_len, listed_len = F.col("name_len"), F.col("listed_len")
     same_first = F.col("cls") == _SAME_FIRST
     need = F.when(same_first, _overlap(share[_SAME_FIRST], name_len, listed_len)).otherwise(
@@ -237,15 +333,14 @@ def candidate_pairs(
         F.col("name_mask").bitwiseAND(F.col("listed_mask"))
     ) + F.least("name_taken", "listed_taken")
     return (
-        probe.join(index, ["cls", "head", "len_key", "char"])
-        # Keys were laid out for the least demanding partner; these two know both lengths.
-        .filter(F.col("name_at") <= name_len - need + 1)
+        # Keys of a class that does not bound lengths were laid out for any; this knows both.
+        met.filter(F.col("name_at") <= name_len - need + 1)
         .filter(F.col("listed_at") <= listed_len - need + 1)
         .filter(shared_at_most >= need)
         # A pair with equal first characters meets in both classes and is kept in its own.
         .filter(same_first | heads_differ)
-        # A pair may meet on several characters; it is kept on the first they share. Both
-        # arrays are in one order, so an earlier meeting lies before this one in both.
+        # A pair may meet on several keys; it is kept on the first characters they share. Both
+        # arrays are in one order, so what is shared earlier comes before in both.
         .filter(~F.arrays_overlap("name_before", "listed_before"))
         .select("name_key", "listed_key")
     )
@@ -297,13 +392,7 @@ def match_names(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """`best_matches` for the names of a destination table, each distinct name once."""
-    # Names are few bytes but much work each. Spread by size alone they would end up in a
-    # handful of tasks, so the distinct ones are dealt out to every core.
-    context = dest_names.sparkSession.sparkContext
-    names = (
-        _keyed_names(dest_names).select("name_key").distinct()
-        .repartition(max(context.defaultParallelism, BUSY_TASKS))
-    )
+    names = _keyed_names(dest_names).select("name_key").distinct()
     return best_matches(names, watchlist, threshold, broadcast_bytes)
 
 

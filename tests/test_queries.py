@@ -10,7 +10,7 @@ import __spark_entry__ as entry_points
 from ledgerlens.operators import data_tests
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["orders", "lineitem", "events", "part"]
+TABLES = ["orders", "lineitem", "events", "part", "supplier"]
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are absent")
 
 QUERIES, ORACLES = entry_points.REGISTRY, entry_points.ORACLES

@@ -7,8 +7,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.similarity import jaro_winkler, jaro_winkler_kernel
-from ledgerlens.operators.screening import _characters, candidate_pairs, screen, top_hits
+from ledgerlens.functions.similarity import jaro_winkler_kernel
+from ledgerlens.operators.screening import Commonness, _characters, candidate_pairs, meetings, screen, top_hits
 
 KERNEL = jaro_winkler_kernel()
 
@@ -60,14 +60,9 @@ def test_a_very_long_name_does_not_disturb_its_batch():
     assert list(got[:2]) == [1.0, 1.0] and got[2] == pytest.approx(plain("abc", "abd"))
 
 
-def test_column_form(spark):
-    df = spark.createDataFrame([("martha", "marhta")], "a string, b string")
-    assert df.select(jaro_winkler(F.col("a"), F.col("b"))).first()[0] == pytest.approx(0.9611111)
-
-
 def test_characters_number_repeats_and_split_code_points(spark):
     df = spark.createDataFrame([("anna",), ("é😀é",)], "n string")
-    rows = [sorted(c[2:] for c in r[0]) for r in df.select(_characters(F.col("n"))).collect()]
+    rows = [sorted(c[3:] for c in r[0]) for r in df.select(_characters(F.col("n"))).collect()]
     assert rows == [["a1", "a2", "n1", "n2"], sorted(["é1", "é2", "😀1"])]
 
 
@@ -95,14 +90,14 @@ def names(seed, n):
 
 
 @pytest.mark.parametrize("threshold", [0.97, 0.90, 0.84, 0.80, 0.7, 0.45])
-@pytest.mark.parametrize("broadcast", [64_000_000, 0])
-def test_no_pair_at_or_above_the_threshold_is_lost(spark, threshold, broadcast):
+@pytest.mark.parametrize("broadcast, split", [(64_000_000, 2_000), (64_000_000, 0), (0, 50)])
+def test_no_pair_at_or_above_the_threshold_is_lost(spark, threshold, broadcast, split):
     left = names(1, 250) + ["a", "aa", "ab", "q", "w" * 90]
     right = names(2, 120) + ["a", "ba", "w" * 60]
     pairs = candidate_pairs(
         spark.createDataFrame([(n,) for n in left], "name_key string"),
         spark.createDataFrame([(n,) for n in right], "listed_key string"),
-        threshold, broadcast,
+        threshold, broadcast, split,
     ).collect()
     found = {(r["name_key"], r["listed_key"]) for r in pairs}
     assert len(found) == len(pairs), "a pair came twice"
@@ -142,3 +137,31 @@ def test_a_score_equal_to_the_threshold_is_a_hit(spark):
     assert screen(dest, listed, threshold=1.0).count() == 1
     with pytest.raises(ValueError):
         screen(dest, listed, threshold=0)
+
+
+def test_commonness_is_measured_on_both_sides(spark):
+    frames = [spark.createDataFrame([(n,) for n in rows], "name_key string") for rows in (["aab", "ac", "a"], ["bb", "zz z", ""])]
+    common = Commonness.measure(*frames)
+    assert common.alphabet[0] == "a" and set(common.alphabet) == set("abcz ")
+    ranks = [dict(zip(common.alphabet, of)) for of in common.ranks]
+    # Held by more names, ranked higher; what no name holds is not ranked.
+    assert ranks[0]["a"] > ranks[0]["b"] > ranks[1]["a"] and ranks[2]["a"] == 0 < ranks[2]["z"]
+    assert Commonness.measure(frames[0].limit(0)).alphabet == ""
+
+
+def test_few_of_a_hundred_thousand_by_ten_thousand_names_meet(spark):
+    """Names of two words drawn from skewed letters, as real ones are."""
+    from pyspark.sql import functions as F
+
+    def made(n, salt):
+        # Letters about as often as in English words.
+        pool = "e" * 12 + "a" * 8 + "t" * 8 + "i" * 7 + "n" * 7 + "o" * 7 + "s" * 6 + "r" * 6 + "h" * 5 + "l" * 5 + "dduucccmmffppggwwybvkkjxqz"
+        digest = F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 256)
+        word = lambda at, size: F.concat_ws("", F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(
+            F.lit(pool), (F.conv(F.substring(digest, (at + 2 * i).cast("int"), F.lit(2)), 16, 10) % len(pool)).cast("int") + 1, F.lit(1))))
+        size = (F.col("id") % 5).cast("int")
+        return spark.range(n).select(F.concat(word(F.lit(1), size + 4), F.lit(" "), word(F.lit(31), 9 - size)).alias("key")).distinct()
+
+    names, listed = made(100_000, "n").toDF("name_key"), made(10_000, "l").toDF("listed_key")
+    share = meetings(names, listed).count() / (names.count() * listed.count())
+    assert share <= 0.02, share
