@@ -811,6 +811,13 @@ ORACLES: dict[str, str] = {
     "stream_silver": f"""with {STREAMED}
         select step, type, amount::double as amount, name_orig, name_dest, is_fraud, kafka_offset
         from txn""",
+    "stream_rerun": f"""with {STREAMED}
+        select count(*) as row_count, count(distinct kafka_offset) as position_count from txn""",
+    "stream_after_lost_checkpoint": f"""with {STREAMED}
+        select step, type, amount::double as amount, name_orig, name_dest, is_fraud, kafka_offset
+        from txn""",
+    "stream_dedupe": f"""with {TXN}
+        select kafka_offset, type, amount, name_orig from bronze""",
     "stream_sweep": f"with {STREAMED_RULES} select {SWEEP_COLUMNS} from swept",
     # Append mode emits a window once the watermark has passed its end.
     "stream_velocity": f"""with {STREAMED_RULES} select {VELOCITY_COLUMNS} from velocity

@@ -20,7 +20,7 @@ from ledgerlens.operators import (
 from ledgerlens.plans import monitoring
 from ledgerlens.session import scratch_path, prepare
 from ledgerlens.sources import files, landing
-from ledgerlens.streaming import alerts as stream_alerts, bronze, silver
+from ledgerlens.streaming import alerts as stream_alerts, bronze, dedupe, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -637,6 +637,49 @@ def stream_silver(spark, sf):
     )
 
 
+@query
+def stream_rerun(spark, sf):
+    """Rows and positions stored after the same run twice, half of the log having come between."""
+    root, txn = scratch_path(spark, "twice"), views.bronze_txn(spark, sf)
+    messages, late = bronze.file_messages(spark, f"{root}/messages"), F.col("kafka_offset") % 2 == 1
+    bronze.write_replay(txn.filter(~late), f"{root}/messages")
+    monitoring.run_stream(spark, messages, root)
+    bronze.write_replay(txn.filter(late), f"{root}/messages")
+    for _ in range(2):
+        monitoring.run_stream(spark, messages, root)
+    return transactions.stream_positions(silver.read_silver(spark, f"{root}/silver"))
+
+
+@query
+def stream_after_lost_checkpoint(spark, sf):
+    """Silver after its checkpoint was lost and bronze, grown by half of the log, replayed."""
+    root, txn = scratch_path(spark, "lost"), views.bronze_txn(spark, sf)
+    messages, late = bronze.file_messages(spark, f"{root}/messages"), F.col("kafka_offset") % 2 == 1
+    bronze.write_replay(txn.filter(~late), f"{root}/messages")
+    monitoring.run_stream(spark, messages, root)
+    bronze.write_replay(txn.filter(late), f"{root}/messages")
+    bronze.run_bronze(messages, f"{root}/bronze", f"{root}/checkpoints/bronze")
+    silver.run_silver(
+        silver.bronze_stream(spark, f"{root}/bronze", bronze.BRONZE), f"{root}/silver",
+        f"{root}/quarantine", f"{root}/checkpoints/silver-new",
+    )
+    return silver.read_silver(spark, f"{root}/silver").select(
+        "step", "type", "amount", "name_orig", "name_dest", "is_fraud", "kafka_offset"
+    )
+
+
+@query
+def stream_dedupe(spark, sf):
+    """Bronze of a log whose transfers were delivered twice, without the second ones."""
+    root, txn = scratch_path(spark, "deduped"), views.bronze_txn(spark, sf)
+    for rows in (txn, txn.filter(F.col("type") == "TRANSFER")):
+        bronze.write_replay(rows, f"{root}/messages")
+    dedupe.start_deduped(
+        bronze.file_messages(spark, f"{root}/messages"), f"{root}/bronze", f"{root}/checkpoint"
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/bronze").select("kafka_offset", "type", "amount", "name_orig")
+
+
 @query
 def stream_sweep(spark, sf):
     root = _streamed(spark, sf)

@@ -6,23 +6,28 @@ checkpoint writes elsewhere. Such a new lineage leaves out the messages an older
 already stored in either table, so a full replay adds nothing twice. A message is told by its
 position, timestamp and content: another one at a stored position stops the run, as offsets
 start again when a topic is recreated.
+
+A batch is evaluated once, into a staging table split by outcome. A ledger of offset intervals
+tells which stored batches can hold its positions; where none can, no stored row is read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerlens.contracts import Contract
 from ledgerlens.contracts.contract import FAILED
 from ledgerlens.operators.transactions import POSITION, conform
-from ledgerlens.sources.files import children, write_partitions
+from ledgerlens.session import scratch_path
+from ledgerlens.sources.files import exists, remove, write_partitions
+from ledgerlens.streaming import ledger
+from ledgerlens.streaming.ledger import BATCH, LINEAGE
 
 CONTRACT = "txn_monitoring_transaction"
-LINEAGE, BATCH = "query_id", "batch_id"
 STAMP = "kafka_timestamp"
 
 
@@ -38,21 +43,16 @@ def bronze_stream(spark: SparkSession, path: str, schema: StructType | str | Non
     return spark.readStream.schema(schema).parquet(path)
 
 
-def _stored_elsewhere(like: DataFrame, paths: Sequence[str], lineage: str) -> DataFrame | None:
-    """Position, `_stamp` and `_content` of what other lineages have stored in the tables.
-
-    One listing of the lineages of each table tells whether there is another; there usually is
-    none. A timestamp that was not stored is null.
-    """
+def _stored_rows(like: DataFrame, paths: tuple[str, str], batches: list[tuple[str, int | None]]) -> DataFrame | None:
+    """Position, `_stamp` and `_content` of what these batches have stored in the tables. A
+    timestamp that was not stored is null."""
     spark, found = like.sparkSession, None
     for path in paths:
-        others = [
-            f"{path}/{name}" for name in children(spark, path)
-            if name.startswith(f"{LINEAGE}=") and name != f"{LINEAGE}={lineage}"
-        ]
-        if others:
+        folders = [f"{path}/{LINEAGE}={name}" + ("" if batch is None else f"/{BATCH}={batch}") for name, batch in batches]
+        folders = [f for f in folders if exists(spark, f)]
+        if folders:
             # The schema is declared, as a lineage may hold no row of this table.
-            rows = _told(spark.read.schema(like.schema).option("basePath", path).parquet(*others).select(*like.columns))
+            rows = _told(spark.read.schema(like.schema).option("basePath", path).parquet(*folders).select(*like.columns))
             rows = rows.select(*POSITION, "_stamp", "_content")
             found = rows if found is None else found.unionByName(rows)
     return found
@@ -65,20 +65,58 @@ def _told(df: DataFrame) -> DataFrame:
     return df.withColumns({"_stamp": stamp, "_content": F.struct(*content)})
 
 
-def _not_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
-    """Leave out stored messages; raise where a stored position holds another message."""
-    a, b = _told(df).alias("a"), stored.alias("b")
+class _Staged:
+    """Tagged rows of a batch, stored once by outcome."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path, self.schema = spark, scratch_path(spark, "batch"), None
+
+    def write(self, tagged: DataFrame) -> None:
+        rows = tagged.withColumn("_broken", F.size(FAILED) > 0)
+        rows.write.partitionBy("_broken").parquet(self.path)
+        self.schema = rows.schema
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def outcome(self, broken: bool) -> DataFrame:
+        found = self.rows.where(F.col("_broken") == F.lit(broken)).drop("_broken")
+        return found if broken else found.drop(FAILED)
+
+    def drop(self) -> None:
+        remove(self.spark, self.path)
+
+
+def _fresh(staged: _Staged, stored: DataFrame) -> _Staged:
+    """Staged again without stored messages; raises where a stored position holds another one.
+
+    One join on the position tells both, and the rows that clash are observed as the others
+    are written. Rows without a position meet nothing and stay.
+    """
+    rows = _told(staged.rows.drop("_broken")).alias("a")
+    b = stored.withColumn("_seen", F.lit(True)).alias("b")
     at = (F.col("a.kafka_partition") == F.col("b.kafka_partition")) & (
         F.col("a.kafka_offset") == F.col("b.kafka_offset"))
     same = F.col("a._content").eqNullSafe(F.col("b._content")) & F.coalesce(
         F.col("a._stamp") == F.col("b._stamp"), F.lit(True))
-    fresh = a.join(b, at & same, "left_anti")
-    if clash := fresh.alias("a").join(b, at, "left_semi").select(*POSITION).head():
-        raise RuntimeError(
-            f"partition {clash[0]} offset {clash[1]} is stored with other content: if the topic "
-            "was recreated, write it into new tables"
-        )
-    return fresh.select(*df.columns)
+    clash = F.col("b._seen").isNotNull() & ~same
+    clashes = Observation("clashes")
+    joined = rows.join(b, at, "left").observe(
+        clashes, F.count_if(clash).alias("n"), F.min(F.when(clash, F.struct("a.kafka_partition", "a.kafka_offset"))).alias("first"))
+    kept = _Staged(staged.spark)
+    try:
+        kept.write(joined.where(F.col("b._seen").isNull()).select("a.*").drop("_stamp", "_content"))
+        if clashes.get["n"]:
+            part, offset = clashes.get["first"]
+            raise RuntimeError(
+                f"partition {part} offset {offset} is stored with other content: if the topic "
+                "was recreated, write it into new tables"
+            )
+    except BaseException:
+        kept.drop()
+        raise
+    return kept
 
 
 def batch_writer(
@@ -90,25 +128,37 @@ def batch_writer(
     `dedupe` does, for a source that may hold copies, at the price of a shuffle. Only rows
     equal in every column are copies.
     """
+    older: dict[str, list[ledger.Interval]] = {}
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        context = batch.sparkSession.sparkContext
-        lineage = context.getLocalProperty("sql.streaming.queryId") or "unnamed"
+        spark = batch.sparkSession
+        lineage = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "unnamed"
         stamped = [STAMP] if STAMP in batch.columns else []
         landed = conform(batch, *stamped)
         if dedupe:
             # Rows without a position cannot be told apart by it and are all kept.
             placed = F.col("kafka_partition").isNotNull() & F.col("kafka_offset").isNotNull()
             landed = landed.filter(placed).dropDuplicates().unionByName(landed.filter(~placed))
-        passed, quarantined = contract.enforce(landed, carry=["kafka_partition", *stamped])
-        stored = _stored_elsewhere(passed, (silver, quarantine), lineage)
-        if stored is not None:
-            # Both are checked before either is written.
-            passed, quarantined = _not_stored(passed, stored), _not_stored(quarantined, stored)
-        for rows, path in ((passed, silver), (quarantined, quarantine)):
-            write_partitions(
-                rows.withColumn(LINEAGE, F.lit(lineage)).withColumn(BATCH, F.lit(batch_id)),
-                path, LINEAGE, BATCH,
-            )
+        if lineage not in older:
+            # What other lineages have stored does not change while this one runs.
+            older[lineage] = ledger.others(spark, silver, lineage, (silver, quarantine))
+        staged = _Staged(spark)
+        try:
+            staged.write(contract.tag(landed, carry=["kafka_partition", *stamped]))
+            mine = ledger.record(staged.rows, silver, lineage, batch_id)
+            if met := ledger.overlapping(mine, older[lineage]):
+                like = staged.outcome(True)
+                stored = _stored_rows(like, (silver, quarantine), ledger.batches(spark, silver, mine, met))
+                if stored is not None:
+                    first, staged = staged, _fresh(staged, stored)
+                    first.drop()
+            for broken, path in ((False, silver), (True, quarantine)):
+                write_partitions(
+                    staged.outcome(broken).withColumn(LINEAGE, F.lit(lineage)).withColumn(BATCH, F.lit(batch_id)),
+                    path, LINEAGE, BATCH,
+                )
+        finally:
+            staged.drop()
 
     return handle
 

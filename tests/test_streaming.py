@@ -12,7 +12,7 @@ from ledgerlens.operators import detection as d
 from ledgerlens.operators.transactions import conform, replay_messages, stream_positions
 from ledgerlens.plans.monitoring import run_stream, start_stream
 from ledgerlens.sources import files
-from ledgerlens.streaming import alerts, bronze, silver
+from ledgerlens.streaming import alerts, bronze, dedupe, ledger, silver
 
 GOOD = (
     '{"step": 1, "type": "TRANSFER", "amount": 5000.0, "name_orig": "C1", '
@@ -278,3 +278,62 @@ def test_late_data_beyond_the_watermark_is_left_out(spark, root):
     stream = silver_files(spark, f"{root}/s", first, between, late, sentinel)
     alerts.start_velocity(stream, f"{root}/out", f"{root}/ck").awaitTermination()
     assert {r["name_orig"] for r in spark.read.parquet(f"{root}/out").collect()} == {"A"}
+
+
+def test_intervals_merge_and_tell_what_overlaps(spark, root):
+    path = f"{root}/silver"
+    rows = spark.createDataFrame([(0, 0), (0, 4), (1, 7)], "kafka_partition int, kafka_offset bigint")
+    ledger.record(rows, path, "one", 0)
+    ledger.record(rows.withColumn("kafka_offset", F.col("kafka_offset") + 5), path, "one", 1)
+    ledger.record(rows.withColumn("kafka_offset", F.col("kafka_offset") + 50), path, "one", 2)
+    # A second attempt of a batch replaces the first one's intervals.
+    ledger.record(rows.withColumn("kafka_offset", F.col("kafka_offset") + 20), path, "one", 2)
+    found = ledger.others(spark, path, "two", (path,))
+    assert sorted(found) == [("one", 0, 0, 9), ("one", 0, 20, 24), ("one", 1, 7, 7), ("one", 1, 12, 12), ("one", 1, 27, 27)]
+    assert ledger.others(spark, path, "one", (path,)) == []
+    assert ledger.overlapping([("two", 0, 10, 19)], found) == set()
+    assert ledger.overlapping([("two", 0, 9, 19)], found) == {"one"}
+    assert ledger.overlapping([("two", None, None, None)], found) == set()
+    assert ledger.batches(spark, path, [("two", 0, 9, 9)], {"one"}) == [("one", 1)]
+
+
+def test_stored_rows_are_read_only_where_intervals_overlap(spark, root, monkeypatch):
+    handle = silver.batch_writer(Contract.named(silver.CONTRACT), f"{root}/s", f"{root}/q")
+    read, batch = [], bronze.parse(bronze.as_messages(log(spark, 40)))
+    stored = silver._stored_rows
+    monkeypatch.setattr(silver, "_stored_rows", lambda like, paths, found: read.append(found) or stored(like, paths, found))
+    context = spark.sparkContext
+    try:
+        context.setLocalProperty("sql.streaming.queryId", "one")
+        handle(batch.filter("kafka_offset < 10"), 0)
+        handle(batch.filter("kafka_offset between 10 and 19"), 1)
+        assert read == []
+        context.setLocalProperty("sql.streaming.queryId", "two")
+        handle(batch.filter("kafka_offset >= 30"), 0)
+        assert read == []
+        handle(batch.filter("kafka_offset between 15 and 29"), 1)
+        assert read == [[("one", 1)]]
+        # A lineage from before there was a ledger is compared as a whole.
+        files.remove(spark, ledger.ledger_path(f"{root}/s") + "/query_id=one")
+        context.setLocalProperty("sql.streaming.queryId", "three")
+        handle(batch, 0)
+        assert ("one", None) in read[-1]
+        row = stream_positions(silver.read_silver(spark, f"{root}/s")).first()
+        assert (row["row_count"], row["position_count"]) == (40, 40)
+    finally:
+        context.setLocalProperty("sql.streaming.queryId", None)
+
+
+def test_replays_are_dropped_on_the_stream_and_leave_the_state(spark, root):
+    parsed = bronze.parse(bronze.as_messages(log(spark, 40)))
+    days = lambda n: F.col("kafka_timestamp") + F.make_interval(days=F.lit(n))
+    first, later = parsed.filter("kafka_offset < 20"), parsed.filter("kafka_offset >= 20")
+    again = first.withColumn("kafka_timestamp", days(1) - F.expr("interval 1 hour"))
+    stream = silver_files(spark, f"{root}/m", first, again, later.withColumn("kafka_timestamp", days(9)),
+                          later.withColumn("kafka_timestamp", days(9)), later.limit(1).withColumn("kafka_timestamp", days(30)).withColumn("kafka_offset", F.lit(999).cast("bigint")))
+    query = bronze.start_append(dedupe.without_replays(stream), f"{root}/out", f"{root}/ck")
+    query.awaitTermination()
+    row = stream_positions(spark.read.parquet(f"{root}/out")).first()
+    assert (row["row_count"], row["position_count"]) == (41, 41)
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(states) <= 41 and states[-1] < 25
