@@ -7,8 +7,11 @@ map-side, so an account with a third of all transactions still shuffles one row
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -114,16 +117,23 @@ def velocity_alerts(
     )
 
 
-def _structuring_windows(
-    txns: DataFrame, threshold: int, band: Decimal, min_count: int, min_total: int | None,
-    reference: str, window: Sequence[str],
-) -> DataFrame:
+def _just_under(threshold: int, band: Decimal) -> Column:
+    """A monitored amount within the band below the threshold."""
     amount = F.col("amount")
-    just_under = txns.filter(
+    return (
         monitored()
         & (amount >= money(Decimal(threshold) * Decimal(str(band))))
         & (amount < money(threshold))
-    ).select("step", "name_orig", "amount", "is_fraud")
+    )
+
+
+def _structuring_windows(
+    txns: DataFrame, threshold: int, band: Decimal, min_count: int, min_total: int | None,
+    reference: str, window: Sequence[str],
+) -> DataFrame:
+    just_under = txns.filter(_just_under(threshold, band)).select(
+        "step", "name_orig", "amount", "is_fraud"
+    )
     floor = threshold if min_total is None else min_total
     return _windows(just_under, reference, STRUCTURING_WATERMARK, *window).filter(
         (F.col("txn_count") >= F.lit(min_count)) & (F.col("total_amount") >= F.lit(floor))
@@ -187,6 +197,93 @@ def window_rule_alerts(windows: DataFrame, rule: str, reference: str) -> DataFra
     )
 
 
+def _hours(duration: str) -> int | None:
+    """Whole hours of a window duration, or None."""
+    found = re.fullmatch(r"\s*(\d+)\s+(hour|day)s?\s*", duration)
+    return int(found[1]) * (24 if found[2] == "day" else 1) if found else None
+
+
+@dataclass(frozen=True)
+class PaneRule:
+    """A windowed rule over hourly panes: the rows it counts, its window and slide in hours, and
+    which (count, total) raise an alert."""
+
+    name: str
+    counts: Column
+    window: int
+    slide: int
+    raises: Callable[[Column, Column], Column]
+
+    def starts(self, hour: Column) -> Column:
+        """The first hours of the windows that hold an hour, aligned to the epoch."""
+        last = hour - F.pmod(hour, F.lit(self.slide))
+        return F.filter(
+            F.transform(F.sequence(F.lit(0), F.lit((self.window - 1) // self.slide)), lambda i: last - i * self.slide),
+            lambda start: start > hour - self.window)
+
+
+def pane_alerts(silver: DataFrame, rules: Sequence[PaneRule], reference: str = REFERENCE_DATE) -> DataFrame:
+    """Alerts of several windowed rules from one scan.
+
+    Transactions are summed into hourly panes per account, with a count, a total and a label for
+    each rule; a pane then goes into the windows of every rule that hold it. Both steps combine
+    map-side, and a busy account moves a row per hour and not one per transaction.
+    """
+    hour = F.floor(F.unix_seconds(event_time(reference=reference)) / F.lit(3600))
+    some = reduce(lambda a, b: a | b, [r.counts for r in rules])
+    measures = []
+    for i, rule in enumerate(rules):
+        mine = F.coalesce(rule.counts, F.lit(False))
+        measures += [
+            F.count_if(mine).alias(f"n{i}"),
+            F.sum(F.when(mine, F.col("amount"))).alias(f"total{i}"),
+            F.max(F.when(mine, F.col("is_fraud"))).alias(f"label{i}"),
+        ]
+    panes = silver.where(some).groupBy("name_orig", hour.alias("hour")).agg(*measures)
+
+    def of_rule(i: int, rule: PaneRule) -> Column:
+        starts = F.when(F.col(f"n{i}") > 0, rule.starts(F.col("hour"))).otherwise(
+            F.array().cast("array<bigint>"))
+        return F.transform(starts, lambda start: F.struct(
+            F.lit(i).alias("at"), start.alias("start"), F.col(f"n{i}").alias("n"),
+            F.col(f"total{i}").alias("total"), F.col(f"label{i}").alias("label")))
+
+    windows = F.flatten(F.array(*[of_rule(i, rule) for i, rule in enumerate(rules)]))
+    summed = panes.select("name_orig", F.inline(windows)).groupBy("name_orig", "at", "start").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("label").alias("label"))
+    raised = reduce(lambda found, rule: F.when(
+        F.col("at") == rule[0], rule[1].raises(F.col("n"), F.col("total"))).otherwise(found), enumerate(rules), F.lit(False))
+    names = F.array(*[F.lit(r.name) for r in rules])
+    return summed.where(raised).select(
+        step_of(F.timestamp_seconds(F.col("start") * 3600), reference).alias("step"),
+        "name_orig",
+        F.lit(None).cast("string").alias("name_dest"),
+        F.lit(None).cast("string").alias("type"),
+        F.col("total").cast(MONEY).alias("amount"),
+        names[F.col("at")].alias("rule"),
+        "label",
+    )
+
+
+def _pane_rules(velocity: Mapping[str, int] | None, structuring: Mapping[str, object] | None) -> list[PaneRule]:
+    """The windowed rules that hourly panes can answer: their windows are whole hours."""
+    rules = []
+    if velocity is not None:
+        count = velocity.get("min_count", VELOCITY_COUNT)
+        amount = velocity.get("min_amount", VELOCITY_AMOUNT)
+        rules.append(PaneRule(
+            VELOCITY, monitored(), _hours(VELOCITY_WINDOW), _hours(VELOCITY_SLIDE),
+            lambda n, total: (n >= F.lit(count)) | (total >= F.lit(amount))))
+    if structuring is not None:
+        shape = [_hours(w) for w in structuring["window"]]
+        floor = structuring["threshold"] if structuring["min_total"] is None else structuring["min_total"]
+        if all(shape) and shape[0] % shape[-1] == 0:
+            rules.append(PaneRule(
+                STRUCTURING, _just_under(structuring["threshold"], structuring["band"]), shape[0], shape[-1],
+                lambda n, total: (n >= F.lit(structuring["min_count"])) & (total >= F.lit(floor))))
+    return rules
+
+
 def build_alerts(
     silver: DataFrame,
     rules: Sequence[str] = (SWEEP,),
@@ -198,7 +295,8 @@ def build_alerts(
     reference: str = REFERENCE_DATE,
     extra: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
 ) -> DataFrame:
-    """One alert table from the chosen rules, by default the sweep rule alone.
+    """One alert table from the chosen rules, by default the sweep rule alone. The rules on
+    single transactions share a scan, and the windowed ones another.
 
     `extra` adds rules of the caller's own; each must return the common alert columns.
     """
@@ -212,15 +310,17 @@ def build_alerts(
     chosen = {name: cond for name, cond in predicates.items() if name in rules}
     if chosen:
         parts.append(transaction_rule_alerts(silver, chosen))
-    if VELOCITY in rules:
-        found = velocity_alerts(silver, reference=reference, **(velocity or {}))
-        parts.append(window_rule_alerts(found, VELOCITY, reference))
-    if STRUCTURING in rules:
-        limits = {
-            "threshold": STRUCTURING_THRESHOLD, "band": STRUCTURING_BAND,
-            "min_count": STRUCTURING_COUNT, "min_total": None,
-            "window": (STRUCTURING_WINDOW,), **(structuring or {}),
-        }
+    limits = {
+        "threshold": STRUCTURING_THRESHOLD, "band": STRUCTURING_BAND,
+        "min_count": STRUCTURING_COUNT, "min_total": None,
+        "window": (STRUCTURING_WINDOW,), **(structuring or {}),
+    }
+    paned = _pane_rules(
+        (velocity or {}) if VELOCITY in rules else None, limits if STRUCTURING in rules else None)
+    if paned:
+        parts.append(pane_alerts(silver, paned, reference))
+    if STRUCTURING in rules and STRUCTURING not in {r.name for r in paned}:
+        # Windows that are no whole hours are made from the transactions themselves.
         found = _structuring_windows(silver, reference=reference, **limits).withColumn(
             "window_start", F.col("w.start")
         )

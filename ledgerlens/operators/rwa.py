@@ -61,7 +61,12 @@ def reconcile(
     engine_input: DataFrame, engine_output: DataFrame, reporting_date: str | date
 ) -> None:
     """Raise unless count and total EAD returned are those that were sent."""
-    totals = reconciliation_totals(engine_input, engine_output).first()
+    compare_totals(reconciliation_totals(engine_input, engine_output).first().asDict(), reporting_date)
+
+
+def compare_totals(totals: Mapping[str, object], reporting_date: str | date) -> None:
+    """Raise unless the counts and EAD of both sides agree, as `reconciliation_totals` names
+    them."""
     # The message texts.
     if totals["sent_count"] != totals["returned_count"]:
         raise ContractViolation(

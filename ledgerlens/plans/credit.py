@@ -2,25 +2,28 @@
 
 A job that checks a contract evaluates its rows once, into a staging table split by outcome,
 and works from there: quarantine first, so the evidence exists when an assertion halts the
-job, then the assertions, then the publication. Counting, checking and publishing read a
-stored result, so what is published is what was checked, and a lost executor costs the
-staged files nothing.
+job, then the assertions, then the publication. Counts and totals are observed while the rows
+are staged; of the stored rows only the key columns are read to check the grain, and all of
+them to publish. What is published is what was checked, and a lost executor costs the staged
+files nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ledgerlens.contracts import Contract
 from ledgerlens.contracts.contract import FAILED, broken_rules
 from ledgerlens.functions.dates import DAILY, MONTH_END, date_spine
+from ledgerlens.functions.finance import exposure_at_default
 from ledgerlens.operators import engine_input, exposure, rwa
-from ledgerlens.operators.loans import loan_master
+from ledgerlens.operators.loans import loan_master, reject_counts
 from ledgerlens.operators.portfolio import positions
 from ledgerlens.session import scratch_path
 from ledgerlens.sources.files import (
@@ -44,14 +47,18 @@ class Outcome:
 
 
 class Staged:
-    """Tagged rows stored once, split by outcome."""
+    """Tagged rows stored once, split by outcome; counts and `totals` (aggregates over the rows
+    that passed) are observed by the job that stores them."""
 
-    def __init__(self, tagged: DataFrame, purpose: str):
+    def __init__(self, tagged: DataFrame, purpose: str, totals: Mapping[str, Column] | None = None):
         self.spark = tagged.sparkSession
         self.path = scratch_path(self.spark, purpose)
-        tagged.withColumn("_broken", F.size(FAILED) > 0).write.partitionBy("_broken").parquet(
-            self.path
-        )
+        broken, seen = F.col("_broken"), Observation(purpose)
+        measures = [F.count_if(~broken).alias("_kept"), F.count_if(broken).alias("_dropped")]
+        measures += [F.sum(F.when(~broken, column)).alias(name) for name, column in (totals or {}).items()]
+        tagged.withColumn("_broken", F.size(FAILED) > 0).observe(seen, *measures).write.partitionBy(
+            "_broken").parquet(self.path)
+        self.seen = seen.get
         # Declared, because an empty dataset leaves no file to read a schema from.
         self.schema = StructType([*tagged.schema.fields, StructField("_broken", BooleanType())])
 
@@ -68,15 +75,21 @@ class Staged:
         return self._rows(True)
 
     def counts(self) -> tuple[int, int]:
-        """Row counts from file footers: no column is read."""
-        return self.passed.count(), self.quarantined.count()
+        """Rows that passed and rows that did not; a dataset without partitions observes none."""
+        return self.seen.get("_kept") or 0, self.seen.get("_dropped") or 0
+
+    def total(self, name: str) -> Decimal:
+        return self.seen.get(name) or Decimal(0)
 
     def drop(self) -> None:
         remove(self.spark, self.path)
 
 
-def build_master(raw: DataFrame, path: str) -> None:
-    loan_master(raw).write.mode("overwrite").parquet(path)
+def build_master(raw: DataFrame, path: str) -> dict[str, int]:
+    """Write the master; returns what was read, kept and rejected, observed on the way."""
+    seen = Observation("master")
+    loan_master(raw.observe(seen, *reject_counts())).write.mode("overwrite").parquet(path)
+    return seen.get
 
 
 def build_snapshots(
@@ -125,9 +138,9 @@ def _publish(
         staged.quarantined, quarantine, "reporting_date", reporting_date,
         known_empty=dropped == 0,
     )
-    contract.assert_dataset(staged.passed, staged.quarantined)
+    contract.assert_counted(kept, dropped, staged.passed)
     if check:
-        check(staged.passed)
+        check()
     replace_partition(
         staged.passed, target, "reporting_date", reporting_date, known_empty=kept == 0
     )
@@ -155,14 +168,21 @@ def run_rwa(
     """Calculate, check and reconcile RWA for a reporting date, then publish it."""
     contract = Contract.named(OUTPUT_CONTRACT)
     sent = read_partition(spark, input_root, reporting_date, "reporting_date")
-    calculated = rwa.run_engine(sent, **({"weights": weights} if weights else {}))
-    staged = Staged(contract.tag(calculated), "rwa-output")
+    # What was sent is counted on its way into the engine.
+    seen = Observation("sent")
+    counted = sent.observe(
+        seen, F.count("*").alias("sent_count"), F.sum(exposure_at_default()).alias("sent_ead"))
+    calculated = rwa.run_engine(counted, **({"weights": weights} if weights else {}))
+    staged = Staged(contract.tag(calculated), "rwa-output", {"ead": F.col("ead"), "rwa": F.col("rwa")})
     try:
+        totals = {
+            "sent_count": seen.get.get("sent_count") or 0, "sent_ead": seen.get.get("sent_ead") or Decimal(0),
+            "returned_count": staged.counts()[0], "returned_ead": staged.total("ead"),
+        }
         kept, dropped = _publish(
             contract, staged, target_root, quarantine_root, reporting_date,
-            check=lambda returned: rwa.reconcile(sent, returned, reporting_date),
+            check=lambda: rwa.compare_totals(totals, reporting_date),
         )
-        total = rwa.total_rwa(staged.passed).first()["total_rwa"]
-        return Outcome(kept, dropped, total)
+        return Outcome(kept, dropped, staged.total("rwa"))
     finally:
         staged.drop()

@@ -121,3 +121,38 @@ def test_median_windows_are_bounded_by_digits(spark):
     # Every window runs over a histogram of one digit, never over the values.
     assert "percentile" not in text
     assert all(re.search(r"d[012]#", w) for w in re.findall(r"Window \[.*", text))
+
+
+def test_four_rules_take_two_scans_and_two_shuffles(silver):
+    df = detection.build_alerts(silver, (detection.SWEEP, detection.DRAIN, detection.VELOCITY, detection.STRUCTURING))
+    assert plan(df).count("FileScan") == 2 and exchanges(df) == 2
+
+
+def test_capital_of_the_latest_date_takes_one_scan(spark, tmp_path):
+    path = str(tmp_path / "rwa")
+    spark.range(4).select(
+        F.date_add(F.lit("2018-12-01").cast("date"), F.col("id").cast("int")).alias("reporting_date"),
+        F.lit("A").alias("rating_grade"), *[F.lit(1).alias(c) for c in ("ead", "rwa", "capital_required")],
+    ).write.parquet(path)
+    text = plan(reports.capital_by_grade(spark.read.parquet(path)))
+    assert text.count("FileScan") == 1 and "Subquery" not in text
+
+
+def test_rwa_reads_only_keys_of_what_it_staged_before_publishing(spark, tmp_path, monkeypatch):
+    from ledgerlens.contracts import Contract
+    from ledgerlens.plans import credit
+
+    sent = engine_input.build(exposure.conform(portfolio.portfolio_as_of(master(spark), "2018-12-31"), "snapshot_date"), "2018-12-31")
+    sent.write.partitionBy("reporting_date").parquet(str(tmp_path / "in"))
+    reads, checks = [], []
+    rows, counted = credit.Staged._rows, Contract.assert_counted
+    monkeypatch.setattr(credit.Staged, "_rows", lambda self, broken: reads.append(broken) or rows(self, broken))
+    monkeypatch.setattr(Contract, "assert_counted", lambda self, kept, dropped, passed: checks.append(
+        plan(passed.select(*self.grain).distinct())) or counted(self, kept, dropped, passed))
+    outcome = credit.run_rwa(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "q"), "2018-12-31")
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert outcome.published == stored.count() > 0
+    assert outcome.total_rwa == stored.agg(F.sum("rwa")).first()[0]
+    # Once each for the quarantine, the grain and the publication.
+    assert sorted(reads) == [False, False, True]
+    assert re.search(r"ReadSchema: struct<reporting_date:date,exposure_id:string>", checks[0])
