@@ -199,6 +199,14 @@ def sent(date: str, source: str = "silver") -> str:
 )"""
 
 
+SENT_COLUMNS = [
+    "reporting_date", "exposure_id", "customer_id", "exposure_class", "original_amount",
+    "outstanding_amount", "undrawn_amount", "currency", "rating_grade", "rating_subgrade",
+    "origination_date", "maturity_date", "term_months", "interest_rate", "status",
+    "days_past_due", "default_flag", "default_date", "provision_amount", "collateral_flag",
+    "collateral_value", "purpose", "region",
+]
+
 INPUT_RULES = {
     "reporting_date_present": "reporting_date is not null",
     "exposure_id_present": "exposure_id is not null",
@@ -492,6 +500,9 @@ ORACLES: dict[str, str] = {
     "loan_master": f"""with {MASTER}
         select * replace (issue_d::varchar as issue_d, last_pymnt_d::varchar as last_pymnt_d)
         from master""",
+    "csv_loans": f"""with {MASTER}
+        select * replace (issue_d::varchar as issue_d, last_pymnt_d::varchar as last_pymnt_d)
+        from master""",
     "loan_rejects": f"""with {RAW_LOANS}, judged as (
           select regexp_full_match(id, '[0-9]+') as keyed,
             try_strptime('01-' || issue_d, '%d-%b-%Y') is not null as dated from raw)
@@ -572,6 +583,17 @@ ORACLES: dict[str, str] = {
         select reporting_date::varchar as reporting_date, exposure_id, customer_id, rating_grade,
           status, ead::double as ead, risk_weight::double as risk_weight, rwa::double as rwa,
           capital_required::double as capital_required from rwa""",
+    "rwa_published": f"""with {RWA_ON_DATE}
+        select reporting_date::varchar as reporting_date, exposure_id, rating_grade,
+          ead::double as ead, rwa::double as rwa, capital_required::double as capital_required
+        from rwa""",
+    "duplicate_halts": f"""with {SILVER} {sent(ON_DATE)}
+        select status, count(*) as row_count, sum(outstanding_amount)::double as balance,
+          (select count(*) from sent where status = 'defaulted') || ' rows duplicate the grain' as halt
+        from sent group by status""",
+    "schema_breaks": f"""with {SILVER} {sent(ON_DATE)}
+        select column_name, 'refused' as outcome, (select count(*) from sent) as row_count
+        from (select unnest([{", ".join(f"'{c}'" for c in SENT_COLUMNS)}]) as column_name)""",
     "total_rwa": f"""with {RWA_ON_DATE}
         select coalesce(sum(rwa), 0)::double as total_rwa from rwa""",
     "reconcile_totals": f"""with {FAULTY_RETURN}
@@ -822,7 +844,6 @@ ORACLES: dict[str, str] = {
     # Append mode emits a window once the watermark has passed its end.
     "stream_velocity": f"""with {STREAMED_RULES} select {VELOCITY_COLUMNS} from velocity
         where window_end <= (select max(event_time) - to_hours(3) from moved)""",
-    "stream_structuring": f"""with {STREAMED_RULES} select {STRUCTURING_COLUMNS} from structuring
-        where window_start + to_hours(24) <= (
-          select max(event_time) - to_hours(24) from moved where amount >= 40 and amount < 200)""",
+    # The end of the log closes the windows that the watermark alone would leave open.
+    "stream_structuring": f"with {STREAMED_RULES} select {STRUCTURING_COLUMNS} from structuring",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -10,14 +11,14 @@ from pyspark.sql.types import ArrayType, DateType, DecimalType, TimestampNTZType
 
 from ledgerlens.catalogue import views
 from ledgerlens.catalogue.views import REPORTING_DATE
-from ledgerlens.contracts import Contract
+from ledgerlens.contracts import Contract, ContractViolation
 from ledgerlens.contracts.contract import FAILED
 from ledgerlens.functions.dates import MONTH_END
 from ledgerlens.operators import (
     data_tests, detection, drift, engine_input, exposure, history, loans, portfolio, profiling,
     reports, rwa, screening, transactions,
 )
-from ledgerlens.plans import monitoring
+from ledgerlens.plans import credit, monitoring
 from ledgerlens.session import scratch_path, prepare
 from ledgerlens.sources import files, landing
 from ledgerlens.streaming import alerts as stream_alerts, bronze, dedupe, silver
@@ -75,6 +76,16 @@ def loan_rejects(spark, sf):
     return loans.loan_rejects(views.raw_loans(spark, sf))
 
 
+@query
+def csv_loans(spark, sf):
+    """The master from CSV extracts, half of them with their columns in another order."""
+    root, raw = scratch_path(spark, "extracts"), views.raw_loans(spark, sf)
+    names, odd = raw.columns, F.pmod(F.xxhash64("id"), F.lit(2)) == 1
+    raw.where(odd).select(*names).write.option("header", True).csv(f"{root}/year=1")
+    raw.where(~odd).select(*sorted(names)).write.option("header", True).csv(f"{root}/year=2")
+    return loans.loan_master(files.read_csv(spark, f"{root}/*", loans.raw_schema()))
+
+
 @query
 def portfolio_as_of(spark, sf):
     return rounded(
@@ -189,6 +200,55 @@ def rwa_output(spark, sf):
     return views.rwa_output(spark, sf)
 
 
+def _published_input(spark, sf, root: str):
+    """Silver of the reporting date, stored, and the engine input published from it."""
+    files.write_partitions(views.silver(spark, sf), f"{root}/silver", "snapshot_date")
+    credit.run_engine_input(spark, f"{root}/silver", f"{root}/input", f"{root}/quarantine/input", REPORTING_DATE)
+
+
+@query
+def rwa_published(spark, sf):
+    """The RWA slice that the chain of jobs publishes after contracts and reconciliation."""
+    root = scratch_path(spark, "chain")
+    _published_input(spark, sf, root)
+    credit.run_rwa(spark, f"{root}/input", f"{root}/rwa", f"{root}/quarantine/rwa", REPORTING_DATE)
+    return files.read_partition(spark, f"{root}/rwa", REPORTING_DATE, "reporting_date").select(
+        "reporting_date", "exposure_id", "rating_grade", "ead", "rwa", "capital_required")
+
+
+@query
+def duplicate_halts(spark, sf):
+    """What is published after a rerun whose silver holds every defaulted exposure twice: the
+    job halts on its grain and the slice stays as it was."""
+    root = scratch_path(spark, "halted")
+    _published_input(spark, sf, root)
+    once = views.silver(spark, sf)
+    files.write_partitions(
+        once.unionByName(once.where(F.col("status") == "defaulted")), f"{root}/silver", "snapshot_date")
+    try:
+        credit.run_engine_input(spark, f"{root}/silver", f"{root}/input", f"{root}/quarantine/input", REPORTING_DATE)
+        halted = "published"
+    except ContractViolation as broken:
+        halted = re.search(r"\d+ rows duplicate the grain", str(broken))[0]
+    return spark.read.parquet(f"{root}/input").groupBy("status").agg(
+        F.count("*").alias("row_count"), F.sum("outstanding_amount").alias("balance"), F.lit(halted).alias("halt"))
+
+
+@query
+def schema_breaks(spark, sf):
+    """For each column of the engine input: is a delivery without it refused before any job?"""
+    contract, sent = Contract.named("credit_risk_exposure_input"), engine_input.build(views.silver(spark, sf), REPORTING_DATE)
+    refused = []
+    for name in sent.columns:
+        try:
+            contract.enforce(sent.drop(name))
+            refused.append((name, "accepted"))
+        except ContractViolation as broken:
+            refused.append((name, "refused" if f"['{name}']" in str(broken) else str(broken)))
+    named = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(o).alias("outcome")) for n, o in refused]))
+    return sent.agg(F.count("*").alias("row_count")).select(named.alias("r"), "row_count").select("r.*", "row_count")
+
+
 @query
 def total_rwa(spark, sf):
     return rwa.total_rwa(views.rwa_output(spark, sf))
@@ -641,8 +701,9 @@ def stream_silver(spark, sf):
 def stream_rerun(spark, sf):
     """Rows and positions stored after the same run twice, half of the log having come between."""
     root, txn = scratch_path(spark, "twice"), views.bronze_txn(spark, sf)
-    messages, late = bronze.file_messages(spark, f"{root}/messages"), F.col("kafka_offset") % 2 == 1
+    late = F.col("kafka_offset") % 2 == 1
     bronze.write_replay(txn.filter(~late), f"{root}/messages")
+    messages = bronze.file_messages(spark, f"{root}/messages")
     monitoring.run_stream(spark, messages, root)
     bronze.write_replay(txn.filter(late), f"{root}/messages")
     for _ in range(2):
@@ -654,8 +715,9 @@ def stream_rerun(spark, sf):
 def stream_after_lost_checkpoint(spark, sf):
     """Silver after its checkpoint was lost and bronze, grown by half of the log, replayed."""
     root, txn = scratch_path(spark, "lost"), views.bronze_txn(spark, sf)
-    messages, late = bronze.file_messages(spark, f"{root}/messages"), F.col("kafka_offset") % 2 == 1
+    late = F.col("kafka_offset") % 2 == 1
     bronze.write_replay(txn.filter(~late), f"{root}/messages")
+    messages = bronze.file_messages(spark, f"{root}/messages")
     monitoring.run_stream(spark, messages, root)
     bronze.write_replay(txn.filter(late), f"{root}/messages")
     bronze.run_bronze(messages, f"{root}/bronze", f"{root}/checkpoints/bronze")
@@ -702,9 +764,13 @@ def stream_velocity(spark, sf):
 
 @query
 def stream_structuring(spark, sf):
+    """All windows: the log is marked as ended after its last step."""
     root = _streamed(spark, sf)
+    stored = silver.bronze_stream(spark, f"{root}/silver")
+    last = silver.read_silver(spark, f"{root}/silver").agg(F.max("step")).first()[0]
+    stream_alerts.mark_end(spark, f"{root}/ends", last, STRUCTURING["threshold"])
     stream_alerts.start_structuring(
-        silver.bronze_stream(spark, f"{root}/silver"), f"{root}/structuring",
-        f"{root}/checkpoints/structuring", **STRUCTURING,
+        stored, f"{root}/structuring", f"{root}/checkpoints/structuring", ends=f"{root}/ends",
+        **STRUCTURING,
     ).awaitTermination()
     return spark.read.parquet(f"{root}/structuring")

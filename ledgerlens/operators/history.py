@@ -10,29 +10,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RETENTION_DAYS = 30
 RETAIN_LAST = 5
-BROADCAST_PARTITIONS = 100_000
+
+
+def validity(df: DataFrame, partition: Sequence[str], column: str = "version") -> DataFrame:
+    """Per partition and version the first later version, at which it stops being current.
+
+    The pairs collapse map-side; the window runs over the versions of a partition, not over
+    its rows. Kept beside a table, this metadata spares an as-of read the look at its rows.
+    """
+    versions = Window.partitionBy(*partition).orderBy(column)
+    return df.select(*partition, column).distinct().withColumn("valid_to", F.lead(column).over(versions))
 
 
 def read_as_of(
     df: DataFrame, partition: Sequence[str], version: int | Column, column: str = "version",
-    broadcast_partitions: int = BROADCAST_PARTITIONS,
+    intervals: DataFrame | None = None,
 ) -> DataFrame:
     """The rows as they stood at a version: per partition its latest one not above it.
 
-    The latest versions are found by an aggregate that combines map-side and joined back on
-    (partition, version). A window over the partition would move all its rows into one task.
-    Up to `broadcast_partitions` of them are broadcast, so the rows themselves stay where
-    they are; beyond that the join shuffles, and a partition with most rows is split.
+    `intervals` is the stored `validity`, and made from df where there is none. The partitions
+    and versions current at the version meet the rows in a semi-join, whose strategy follows
+    their size; where the table is partitioned by these columns, only their files are read.
     """
-    not_later = df.filter(F.col(column) <= version)
-    current = not_later.groupBy(*partition).agg(F.max(column).alias(column))
-    if current.limit(broadcast_partitions + 1).count() <= broadcast_partitions:
-        current = F.broadcast(current)
-    return not_later.join(current, [*partition, column], "left_semi")
+    intervals = validity(df, partition, column) if intervals is None else intervals
+    current = intervals.filter(
+        (F.col(column) <= version) & (F.col("valid_to").isNull() | (F.col("valid_to") > version))
+    ).select(*partition, column)
+    return df.filter(F.col(column) <= version).join(current, [*partition, column], "left_semi")
 
 
 def storage_audit(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import math
 from collections.abc import Sequence
 from datetime import date
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlens.functions.dates import as_date
 
@@ -31,6 +32,12 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """A folder, which may exist already."""
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries right under a path; one listing, nothing below it."""
     fs, target = _file_system(spark, path)
@@ -39,25 +46,48 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(target)]
 
 
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a CSV path by their header. Each file is opened for its first line."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for name in spark.read.text(path).inputFiles():
+        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = target.getFileSystem(conf).open(target)
+        try:
+            codec = codecs.getCodec(target)
+            source = codec.createInputStream(stream) if codec else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        if line is not None:
+            header = tuple(next(csv.reader([line.removeprefix("\ufeff")]), []))
+            found.setdefault(header, []).append(name)
+    return found
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with declared types, so an id never becomes a number in some files only.
 
-    The schema is matched to the header by name, and only its columns are parsed. A declared
-    column that the header lacks is refused, and so is a file whose header differs from the
-    first one's: its values would land in other columns.
+    Extracts come with their columns in one order this year and in another the next. Files are
+    grouped by header, each group is matched to the schema by name, only the declared columns
+    are parsed, and the groups are united. A declared column that a header lacks is refused.
     """
-    header = spark.read.option("header", True).csv(path)
     names = {f.name for f in schema.fields}
-    if absent := sorted(names - set(header.columns)):
-        raise ValueError(f"{path} lacks the declared columns {', '.join(absent)}")
-    full = StructType()
-    for name in header.columns:
-        full = full.add(schema[name] if name in names else header.schema[name])
-    return (
-        spark.read.schema(full).option("header", True).option("enforceSchema", False)
-        .option("mode", "PERMISSIVE").csv(path)
-        .select(*[f.name for f in schema.fields])
-    )
+    united = None
+    for header, found in _headers(spark, path).items():
+        if absent := sorted(names - set(header)):
+            raise ValueError(f"{found[0]} lacks the declared columns {', '.join(absent)}")
+        full = StructType()
+        for name in header:
+            full = full.add(schema[name] if name in names else StructField(name, StringType()))
+        part = (
+            spark.read.schema(full).option("header", True).option("enforceSchema", False)
+            .option("mode", "PERMISSIVE").csv(found)
+            .select(*[f.name for f in schema.fields])
+        )
+        united = part if united is None else united.unionByName(part)
+    return spark.createDataFrame([], schema) if united is None else united
 
 
 def read_partition(

@@ -66,10 +66,20 @@ def test_both_transaction_rules_share_one_scan(silver):
     assert plan(df).count("FileScan") == 1 and exchanges(df) == 0
 
 
-def test_as_of_never_sorts_a_partition_into_one_task(spark, tmp_path):
-    spark.createDataFrame([("p", 1)], "part string, version int").write.parquet(str(tmp_path / "v"))
-    df = history.read_as_of(spark.read.parquet(str(tmp_path / "v")), ["part"], 1)
-    assert "Window" not in plan(df)
+def test_as_of_reads_the_files_of_current_versions_only(spark, tmp_path):
+    path, beside = str(tmp_path / "v"), str(tmp_path / "v_versions")
+    rows = spark.range(40).select(
+        (F.col("id") % 4).alias("part"), (F.col("id") % 5).alias("version"), F.col("id").alias("row"))
+    rows.write.partitionBy("part", "version").parquet(path)
+    stored = spark.read.parquet(path)
+    history.validity(stored, ["part"]).write.parquet(beside)
+    df = history.read_as_of(stored, ["part"], 2, intervals=spark.read.parquet(beside))
+    text = plan(df)
+    assert "Window" not in text and "dynamicpruning" in text
+    assert {r["version"] for r in df.select("version").distinct().collect()} == {2}
+    # Without stored metadata the window runs over versions, which have been collapsed before.
+    text = plan(history.read_as_of(stored, ["part"], 2))
+    assert re.search(r"Window [^\n]*\n(.*\n){1,8}?.*HashAggregate", text)
 
 
 def test_latest_slice_prunes_partitions(spark, tmp_path):

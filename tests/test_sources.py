@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerlens.functions.keys import fingerprint
 from ledgerlens.operators.loans import raw_schema
@@ -181,15 +181,43 @@ def test_catalog_slice_replacement(spark):
     spark.sql("DROP TABLE risk.s")
 
 
-def test_csv_files_with_other_headers_are_refused(spark, root):
-    schema = StructType([StructField("grade", StringType()), StructField("purpose", StringType())])
-    for name, text in (("a", "grade,purpose\nA,car\n"), ("b", "purpose,grade\nhouse,B\n")):
+def test_csv_files_are_grouped_by_header(spark, root):
+    import gzip
+
+    schema = StructType([StructField("grade", StringType()), StructField("purpose", StringType()), StructField("amount", DoubleType())])
+    for name, text in (("a", "grade,purpose,amount\nA,car,1\n"), ("b", '"purpose",extra,amount,grade\nhouse,x,2.5,B\n'),
+                       ("c", "grade,purpose,amount\nC,,\n"), ("none", "")):
         Path(f"{root}/{name}.csv").write_text(text)
-    assert files.read_csv(spark, f"{root}/b.csv", schema).first().asDict() == {"grade": "B", "purpose": "house"}
-    with pytest.raises(Exception, match="header"):
-        files.read_csv(spark, root, schema).collect()
-    with pytest.raises(ValueError, match="region"):
-        files.read_csv(spark, f"{root}/a.csv", schema.add("region", StringType()))
+    Path(f"{root}/d.csv.gz").write_bytes(gzip.compress(b"amount,grade,purpose\n4,D,boat\n"))
+    got = sorted(tuple(r) for r in files.read_csv(spark, root, schema).collect())
+    assert got == [("A", "car", 1.0), ("B", "house", 2.5), ("C", None, None), ("D", "boat", 4.0)]
+    with pytest.raises(ValueError, match="b.csv lacks the declared columns region"):
+        files.read_csv(spark, f"{root}/b.csv", schema.add("region", StringType()))
+    assert files.read_csv(spark, f"{root}/none.csv", schema).collect() == []
+
+
+def test_a_landing_without_change_reads_no_landed_row(spark, root):
+    path = f"{root}/landed"
+    source = book(spark, ("2018-10-31", "a", 1), ("2018-11-30", "a", 2))
+    landing.land(spark, source, path)
+    # Landed before there was a manifest: it is read once and noted.
+    files.remove(spark, f"{landing.manifest_path(path)}/snapshot_date=2018-10-31")
+    assert {r["state"] for r in landing.land(spark, source, path).collect()} == {"present"}
+    assert {r["state"] for r in landing.land(spark, source, path).collect()} == {"present"}
+    for f in Path(path).glob("snapshot_date=*/*.parquet"):
+        f.write_bytes(b"unreadable")
+    assert {r["state"] for r in landing.land(spark, source, path).collect()} == {"present"}
+    # A partition that is gone is loaded again, whatever the manifest says.
+    files.remove(spark, f"{path}/snapshot_date=2018-11-30")
+    states = {str(r["snapshot_date"]): r["state"] for r in landing.land(spark, source, path).collect()}
+    assert states == {"2018-10-31": "present", "2018-11-30": "new"}
+
+
+def test_fingerprints_of_parts_add_up(spark):
+    rows = book(spark, *[("2018-10-31", "a", i) for i in range(9)], ("2018-11-30", "b", 1))
+    parts = [landing.fingerprints(rows.where(F.col("amount") % 3 == k), "snapshot_date") for k in range(3)]
+    added = landing.merged(parts[0].unionByName(parts[1]).unionByName(parts[2]), "snapshot_date")
+    assert sorted(map(tuple, added.collect())) == sorted(map(tuple, landing.fingerprints(rows, "snapshot_date").collect()))
 
 
 def test_fingerprints_see_where_a_null_stands(spark):
