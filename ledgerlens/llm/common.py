@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.session import scratch_path
+from ledgerlens.sources.files import remove
 
 # Words between ASCII white space, and words of digits, a-z and anything outside ASCII.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
@@ -23,10 +25,32 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: list[list[str]] = []
+
+
+@contextmanager
+def written() -> Iterator[list[str]]:
+    """Collects the paths of the tables that are written meanwhile."""
+    _written.append([])
+    try:
+        yield _written[-1]
+    finally:
+        _written.pop()
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that `table` wrote."""
+    for path in paths:
+        remove(spark, path)
+    paths.clear()
+
+
 def table(df: DataFrame, purpose: str) -> DataFrame:
     """Write and reread: cuts the lineage, survives lost executors, and lets two readers
     share one evaluation. The files lie in the shared folder that the session names."""
     path = scratch_path(df.sparkSession, purpose)
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -20,12 +20,12 @@ one text throughout.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,8 +57,7 @@ def shingles(text: str, known: dict[str, int]) -> np.ndarray:
         known.clear()
     for w in words:
         if w not in known:
-            data = w.encode()
-            known[w] = zlib.crc32(data) << 32 | zlib.crc32(data, 77)
+            known[w] = xxhash.xxh3_64_intdigest(w.encode())
     values = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     n = max(1, len(words) - SHINGLE + 1)
     out = np.zeros(n, np.uint64)

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import beside, slices, whole
 
 KINDS = ("email", "ip", "card", "phone")
-LONGEST, SAMPLE_DOCS, EPOCHS, RATE, DECAY, MARGIN = 14, 400, 6, 0.3, 0.002, 1.0
+LONGEST, EPOCHS, RATE, DECAY, MARGIN = 14, 6, 0.3, 0.002, 1.0
+# Bounds of the sample that the field is fitted on.
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_TOKENS = 400, 2000, 200
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A match that fails at the start of a run of digits fails everywhere in it.
@@ -82,7 +85,27 @@ def base_spans(text: str) -> list[Span]:
 
 
 # Stretches that may hold an entity: words with a digit or an @, and what joins them.
-REGION = re.compile(r"[^\s]*[0-9@][^\s]*(?:[ ][^\s]*[0-9@][^\s]*)*")
+WORD = re.compile(r"\S+")
+HOLDS = re.compile(r"[0-9@]")
+
+
+def regions(text: str) -> Iterator[tuple[int, int]]:
+    """The stretches of neighbouring words with a digit or an @ in each, one space between
+    them. Every character is looked at a bounded number of times."""
+    start = end = -1
+    for m in WORD.finditer(text):
+        if not HOLDS.search(text, m.start(), m.end()):
+            continue
+        if end >= 0 and m.start() == end + 1 and text[end] == " ":
+            end = m.end()
+            continue
+        if end >= 0:
+            yield start, end
+        start, end = m.start(), m.end()
+    if end >= 0:
+        yield start, end
+
+
 TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|.", re.S)
 FEATURES = (
     "bias", "at", "at_dot", "digits_7_8", "digits_9_11", "digits_12_15", "digits_16_19", "digits_more", "luhn", "dotted4",
@@ -129,6 +152,22 @@ def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[i
     return borders, out
 
 
+def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What spans cover, as stretches in order that do not touch."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = out[-1][0], max(e, out[-1][1])
+        else:
+            out.append((s, e))
+    return out
+
+
+def overlaps(stretches: list[tuple[int, int]], ends: list[int], s: int, e: int) -> bool:
+    at = bisect_right(ends, s)
+    return at < len(stretches) and stretches[at][0] < e
+
+
 def best(weights: np.ndarray, n: int, segments: list) -> list[tuple[int, int, int, float]]:
     """Viterbi over n tokens: segments (first, last border, kind, score) of the best cut; a
     token outside of entities scores nothing."""
@@ -193,9 +232,17 @@ def rewritten(span: str, kind: int) -> list[str]:
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Weights (kinds x features) from at most SAMPLE_DOCS texts that hold a digit or an @."""
-    holds = docs.select(whole(text_col).alias("_text")).filter(F.regexp_like("_text", F.lit("[0-9@]")))
-    rows = holds.orderBy(F.xxhash64("_text"), F.length("_text")).limit(SAMPLE_DOCS)
+    """Weights (kinds x features) from a bounded sample: of the SAMPLE_DOCS texts with the
+    smallest hashes among those that hold a digit or an @, the SAMPLE_CHARS characters around
+    the first one; regions of more than SAMPLE_TOKENS tokens are left out. Only hashes are
+    ranked, equal ones once, so what reaches the driver does not follow the corpus."""
+    first = F.regexp_instr("_text", F.lit("[0-9@]"))
+    holds = docs.select(whole(text_col).alias("_text")).withColumn("_at", first).filter("_at > 0")
+    around = F.substring("_text", F.greatest(F.col("_at") - SAMPLE_CHARS // 4, F.lit(1)), F.lit(SAMPLE_CHARS))
+    hashed = holds.select(F.xxhash64("_text").alias("_hash"), around.alias("_around"))
+    ranked = hashed.select("_hash").groupBy("_hash").count().orderBy("_hash").select("_hash").limit(SAMPLE_DOCS).collect()
+    last = ranked[-1][0] if ranked else 0
+    rows = hashed.filter(F.col("_hash") <= F.lit(last)).groupBy("_hash").agg(F.min("_around").alias("_around")).orderBy("_hash").select("_around")
     cases = []
     for (text,) in rows.collect():
         base = base_spans(text)
@@ -205,11 +252,11 @@ def fit(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 before = text[max(0, s - 10):s]
                 texts.append((before + other + text[e:e + 10], {(len(before), len(before) + len(other)): k}))
         for t, gold in texts:
-            for m in REGION.finditer(t):
-                borders, segments = candidates(t, m.start(), m.end())
+            for start, end in regions(t):
+                borders, segments = candidates(t, start, end)
                 at = {b: i for i, b in enumerate(borders)}
                 own = {(at[s], at[e]): k for (s, e), k in gold.items() if s in at and e in at}
-                if segments and len(borders) <= 200:
+                if segments and len(borders) <= SAMPLE_TOKENS:
                     cases.append((len(borders) - 1, segments, own))
     weights = np.zeros((len(KINDS), len(FEATURES)))
     weights[:, 0] = -2.0
@@ -233,12 +280,14 @@ def added_spans(weights: np.ndarray, text: str, base: list[Span]) -> list[Span]:
     out = []
     if "@" not in text and not DIGIT.search(text):
         return out
-    for m in REGION.finditer(text):
-        borders, segments = candidates(text, m.start(), m.end())
+    covered = merged((s, e) for s, e, _ in base)
+    ends = [e for _, e in covered]
+    for start, end in regions(text):
+        borders, segments = candidates(text, start, end)
         for i, j, kind, score in best(weights, len(borders) - 1, segments):
             s, e = borders[i], borders[j]
             shape = re.fullmatch(r"[0-9.]+", text[s:e]) if kind == 1 else True
-            if score >= MARGIN and shape and valid(text[s:e], kind) and not any(s < b[1] and b[0] < e for b in base):
+            if score >= MARGIN and shape and valid(text[s:e], kind) and not overlaps(covered, ends, s, e):
                 out.append((s, e, kind))
     return out
 

@@ -34,32 +34,54 @@ from ledgerlens.llm.common import beside, slices, table, whole
 
 LENGTH, GRAM, BLOCK, SEGMENT = 400, 32, 16, 1 << 20
 WINDOW = LENGTH - GRAM + 1
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-BYTES = np.random.default_rng(7).integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ROW = "kid long, kth int, pos int, lo int, hi int"
+# What the values of grams, by which anchors are chosen, are mixed with.
+STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+# Two primes below 2^31 and, for each of two fingerprints, a base in each of their fields.
+PRIMES = (2147483647, 2147483629)
+BASES = ((1203970821, 1750331647), (1987654361, 1455172939))
+BYTES = np.random.default_rng(7).integers(1, 1 << 30, (2, 256), dtype=np.uint64)
+ROW = "kid long, kth long, pos int, lo int, hi int"
 WORDS = ["w0", "w1", "w2", "w3"]
 
 
+def _powers(base: int, prime: int, size: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < size:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
+    return out[:size]
+
+
 class Prints:
-    """Fingerprints of any stretch of a buffer, twice 64 bits, from prefix sums of powers."""
+    """Fingerprints of any stretch of a buffer, twice 62 bits, from prefix sums of powers.
+
+    Each is made of two polynomials over fields of prime order. A sum of powers modulo 2^64
+    would lose most of its bits on texts that alternate as the Thue-Morse sequence does.
+    """
 
-    powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
-        self.sums = []
-        for k, base in enumerate(BASES):
-            if k not in self.powers or len(self.powers[k][0]) <= n:
-                size = max(n + 1, SEGMENT + 4 * LENGTH)
-                steps = [np.full(size, v, np.uint64) for v in (base, pow(base, -1, 1 << 64))]
-                for s in steps:
-                    s[0] = 1
-                self.powers[k] = tuple(np.multiply.accumulate(s) for s in steps)
-            self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[k][data] * self.powers[k][0][:n])]))
+        self.data = data
+        self.sums: dict[tuple[int, int], np.ndarray] = {}
+
+    def _ready(self, k: int, f: int) -> tuple[np.ndarray, np.ndarray]:
+        """Prefix sums, below 2^31 for each byte, and inverse powers."""
+        n, prime = len(self.data), PRIMES[f]
+        if (k, f) not in self.powers or len(self.powers[k, f][0]) <= n:
+            size = max(n + 1, SEGMENT + 4 * LENGTH)
+            self.powers[k, f] = tuple(_powers(b, prime, size) for b in (BASES[k][f], pow(BASES[k][f], -1, prime)))
+        if (k, f) not in self.sums:
+            terms = BYTES[k][self.data] * self.powers[k, f][0][:n] % np.uint64(prime)
+            self.sums[k, f] = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+        return self.sums[k, f], self.powers[k, f][1]
 
     def of(self, start: np.ndarray, end: np.ndarray, k: int = 0) -> np.ndarray:
-        value = (self.sums[k][end] - self.sums[k][start]) * self.powers[k][1][start]
-        return (value ^ (value >> np.uint64(32))).view(np.int64)
+        out = np.zeros(len(start), np.uint64)
+        for f, prime in enumerate(PRIMES):
+            sums, inverse = self._ready(k, f)
+            p = np.uint64(prime)
+            out = out << np.uint64(31) | (sums[end] - sums[start]) % p * inverse[start] % p
+        return out.view(np.int64)
 
 
 def words_at(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -72,9 +94,9 @@ def gram_values(data: np.ndarray) -> np.ndarray:
     """A value for each gram, by doubling."""
     out, size = BYTES[0][data], 1
     while size < GRAM:
-        out = out[:-size] * np.uint64(BASES[size % 2] + 2 * size) + out[size:]
+        out = out[:-size] * np.uint64(STEPS[size % 2] + 2 * size) + out[size:]
         size *= 2
-    return (out ^ (out >> np.uint64(29))) * np.uint64(BASES[1])
+    return (out ^ (out >> np.uint64(29))) * np.uint64(STEPS[1])
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -124,7 +146,7 @@ def runs_of(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return run, np.bincount(run)[run]
 
 
-BUCKET = "w0 long, w1 long, w2 long, w3 long, kid long, kth int, pos int, lo int, hi int, repeated boolean, full boolean, open boolean, edge boolean"
+BUCKET = "w0 long, w1 long, w2 long, w3 long, kid long, kth long, pos int, lo int, hi int, repeated boolean, full boolean, open boolean, edge boolean"
 
 
 def repeats(units: DataFrame) -> DataFrame:
@@ -166,9 +188,10 @@ def repeats(units: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, bytes, and a key of the row: hashes of its id and of its text."""
+    """id, bytes, and a key of the row: 64-bit hashes of its id and of its text. Rows of null or
+    repeated ids are told by their texts alone, and equal ones have equal spans."""
     text = whole(text_col)
-    return docs.select(F.col(id_col), F.xxhash64(F.col(id_col)).alias("kid"), F.hash(text).alias("kth"), text.cast("binary").alias("_bytes"))
+    return docs.select(F.col(id_col), F.xxhash64(F.col(id_col)).alias("kid"), F.xxhash64(text, F.lit(7)).alias("kth"), text.cast("binary").alias("_bytes"))
 
 
 UNIT = f"w0 long, w1 long, w2 long, w3 long, hull long, rel int, {ROW}"
@@ -176,10 +199,10 @@ UNIT = f"w0 long, w1 long, w2 long, w3 long, hull long, rel int, {ROW}"
 
 def _units(words: list, hull: np.ndarray, rel: np.ndarray, kid, kth, pos, lo, hi) -> pa.RecordBatch:
     named = dict(zip(WORDS, words, strict=True)) | {"hull": hull}
-    ints = {"rel": rel, "kth": kth, "pos": pos, "lo": lo, "hi": hi}
+    ints = {"rel": rel, "pos": pos, "lo": lo, "hi": hi}
     return pa.RecordBatch.from_pydict(
-        {n: pa.array(v, pa.int64()) for n, v in named.items()} | {"rel": pa.array(ints["rel"], pa.int32()), "kid": pa.array(kid, pa.int64())}
-        | {n: pa.array(ints[n], pa.int32()) for n in ("kth", "pos", "lo", "hi")})
+        {n: pa.array(v, pa.int64()) for n, v in named.items()} | {"rel": pa.array(ints["rel"], pa.int32()), "kid": pa.array(kid, pa.int64()), "kth": pa.array(kth, pa.int64())}
+        | {n: pa.array(ints[n], pa.int32()) for n in ("pos", "lo", "hi")})
 
 
 def anchor_units(rows: DataFrame) -> DataFrame:

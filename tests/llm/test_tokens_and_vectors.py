@@ -207,3 +207,84 @@ def test_whitening_of_few_or_equal_vectors(spark):
     assert all(r["whitened"] is None for r in line[9:]) and all(r["whitened"] is not None for r in line[:9])
     far = whitening.whitening(vectors(spark, [(1, [3e38, 1.0]), (2, [-3e38, 1.0])])).where(F.col("component") == 1).collect()
     assert {r["deviation"] for r in far} == {None}
+
+
+def thue_morse(n, a, b):
+    out = [0]
+    while len(out) < n:
+        out += [1 - x for x in out]
+    return "".join((a, b)[x] for x in out[:n])
+
+
+def removed_by_hand(texts):
+    from collections import defaultdict
+
+    places = defaultdict(list)
+    raw = [t.encode() for t in texts]
+    for i, t in enumerate(raw):
+        for p in range(len(t) - 399):
+            places[t[p:p + 400]].append((i, p))
+    gone = [set() for _ in raw]
+    for found in places.values():
+        if len(found) > 1:
+            for i, p in found:
+                gone[i].update(range(p, p + 400))
+    return [len(g) for g in gone]
+
+
+@pytest.mark.parametrize("partitions", ["1", "5"])
+def test_suffix_dedup_on_alternating_texts_null_and_repeated_ids(spark, partitions):
+    from ledgerlens.llm import suffix_dedup
+
+    draw = random.Random(1)
+    own = ["".join(draw.choice("abcdefgh ") for _ in range(700)) for _ in range(6)]
+    texts = [thue_morse(768, "a", "b"), thue_morse(768, "b", "a")[::-1].replace("a", "c"), thue_morse(768, "c", "d"), own[0] + own[1][:450], own[1] + own[2], own[2][100:], own[3],
+             own[4], own[4], "x" * 900]
+    ids = [None, None, None, None, 7, 7, None, 9, 9, 10]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        docs = spark.createDataFrame([(i, t) for i, t in zip(ids, texts)], "doc_id long, text string")
+        got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.suffix_digests(docs).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == Counter((i, len(t), g) for i, t, g in zip(ids, texts, removed_by_hand(texts)))
+
+
+def test_personal_data_in_long_texts_takes_time_in_proportion():
+    import re
+    import time
+
+    from ledgerlens.llm import pii
+
+    old = re.compile(r"[^\s]*[0-9@][^\s]*(?:[ ][^\s]*[0-9@][^\s]*)*")
+    draw = random.Random(2)
+    for _ in range(3000):
+        text = "".join(draw.choice("ab1@ \n\t　") for _ in range(draw.randrange(30)))
+        assert list(pii.regions(text)) == [m.span() for m in old.finditer(text)]
+    began = time.time()
+    assert list(pii.regions("漢" * 1_000_000 + " a1")) == [(1_000_001, 1_000_003)]
+    weights = np.zeros((len(pii.KINDS), len(pii.FEATURES)))
+    assert len(pii.base_spans("a@b.cc " * 20_000)) == 20_000
+    assert pii.added_spans(weights, "a@b.cc " * 20_000, pii.base_spans("a@b.cc " * 20_000)) == []
+    assert time.time() - began < 20
+
+
+def test_words_that_one_checksum_takes_for_equal_are_apart():
+    from ledgerlens.llm import near_dedup
+
+    assert near_dedup.shingles("ytyauqyid", {})[0] != near_dedup.shingles("pfnxpvlja", {})[0]
+
+
+def test_a_stage_of_the_pipeline_removes_the_tables_of_the_one_before(spark, docs):
+    import corpus_pipeline
+    from ledgerlens.llm import common
+    from ledgerlens.sources.files import exists
+
+    rows = docs.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    stages = dict(corpus_pipeline.STAGES)
+    first = common.table(stages["exact_dedup"](spark, rows, ""), "first")
+    held = list(corpus_pipeline._left_over)
+    assert held and all(exists(spark, p) for p in held)
+    assert stages["mixing"](spark, first, "").columns == rows.columns
+    assert not any(exists(spark, p) for p in held)
