@@ -14,13 +14,13 @@ ENGINE_INPUT = (
 )
 ENGINE_INPUT_ROW = dict(
     reporting_date=date(2018, 12, 31), exposure_id="LC-1", customer_id="c1",
-    exposure_class="retail_other", original_amount=D("10000.00"),
-    outstanding_amount=D("4000.00"), undrawn_amount=D("0.00"), currency="USD",
-    rating_grade="B", rating_subgrade="B3", origination_date=date(2016, 1, 1),
-    maturity_date=date(2019, 1, 1), term_months=36, interest_rate=D("12.5000"),
+    exposure_class="retail_other", original_amount=D("8400.00"),
+    outstanding_amount=D("3150.00"), undrawn_amount=D("0.00"), currency="USD",
+    rating_grade="B", rating_subgrade="B1", origination_date=date(2016, 5, 1),
+    maturity_date=date(2019, 5, 1), term_months=36, interest_rate=D("9.7500"),
     status="performing", days_past_due=0, default_flag=False, default_date=None,
     provision_amount=D("0.00"), collateral_flag=False, collateral_value=D("0.00"),
-    purpose="car", region="CA",
+    purpose="boat", region="OR",
 )
 
 SOURCE = (
@@ -32,12 +32,12 @@ SOURCE = (
     "verification_status string, application_type string"
 )
 SOURCE_ROW = dict(
-    exposure_id="LC-1", customer_id="c1", issue_d=date(2016, 1, 1), term_months=36,
-    loan_amnt=10000.0, outstanding_amount=4000.0, provision_amount=0.0, int_rate=12.5,
-    grade="B", sub_grade="B3", status="performing", days_past_due=0, default_flag=False,
-    purpose="car", addr_state="CA", annual_inc=60000.0, dti=18.5, fico_range_low=700.0,
-    fico_range_high=704.0, home_ownership="RENT", emp_length="5 years",
-    verification_status="Verified", application_type="Individual",
+    exposure_id="LC-1", customer_id="c1", issue_d=date(2016, 5, 1), term_months=36,
+    loan_amnt=8400.0, outstanding_amount=3150.0, provision_amount=0.0, int_rate=9.75,
+    grade="B", sub_grade="B1", status="performing", days_past_due=0, default_flag=False,
+    purpose="boat", addr_state="OR", annual_inc=48300.0, dti=22.1, fico_range_low=655.0,
+    fico_range_high=659.0, home_ownership="OWN", emp_length="3 years",
+    verification_status="Not Verified", application_type="Individual",
 )
 
 MASTER = (
@@ -50,9 +50,9 @@ MASTER = (
 MASTER_ROW = dict(
     exposure_id="LC-1", customer_id="c1", issue_d=date(2016, 1, 1), last_pymnt_d=None,
     loan_status="Current", loan_amnt=10000.0, int_rate=12.0, term_months=36, recoveries=None,
-    grade="B", sub_grade="B3", purpose="car", addr_state="CA", annual_inc=60000.0, dti=18.5,
-    fico_range_low=700.0, fico_range_high=704.0, home_ownership="RENT", emp_length="5 years",
-    verification_status="Verified", application_type="Individual",
+    grade="B", sub_grade="B1", purpose="boat", addr_state="OR", annual_inc=48300.0, dti=22.1,
+    fico_range_low=655.0, fico_range_high=659.0, home_ownership="OWN", emp_length="3 years",
+    verification_status="Not Verified", application_type="Individual",
 )
 
 TXN = (
