@@ -413,5 +413,5 @@ def test_pipeline_keeps_one_of_each_and_encodes(spark, tmp_path, docs):
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     ids = {r.doc_id for r in rows}
     assert len(ids & {0, 1, 2, 3}) == 1 and 9 in ids and not ids & {4, 5, 6, 7, 12}
-    assert set(QUERIES) >= {f for f in QUERIES if f.startswith("op")} and len(QUERIES) == 10 and set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) >= {f for f in QUERIES if f.startswith("op")} and len(QUERIES) == 13 and set(ORACLES) <= set(QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "mixing", "bpe"]
