@@ -3,23 +3,28 @@
 A document is the sequence of its five-word shingles. Each hash function picks the `PICKS`
 occurrence-labelled shingles with the smallest values and keeps them in text order: documents
 collide when they share those shingles and their order, which follows edit similarity. Every
-pick is a bucket; in a bucket documents are compared with centres, not with each other, in
-rounds of 1, 4, 16 and more centres a bucket. Four orders of choosing centres make different
-stars over the same buckets.
-
-One minus the similarity is a metric, so a text at distance d from a centre can only be similar
-to texts within d + 0.2 of that centre. A text that is similar to a centre leaves the bucket
-when all texts so near are similar to that centre too, and are of its class therefore; a bucket
-is left when it holds one class. So no link between two classes is lost in a bucket.
-
-A pair is similar when a banded alignment of its shingle sequences matches at least 0.8 of
-their union. Classes are the connected components of similar pairs; identical texts count as
-one text throughout.
+pick is a bucket. A pair is similar when a banded alignment of its shingle sequences matches at
+least 0.8 of their union. Classes are the connected components of similar pairs; identical
+texts count as one text throughout.
+
+In a bucket documents are compared with centres, not with each other. The first centre is the
+text that meets most others in all of its buckets, which of a group of copies is the one with
+the fewest edits. A bucket that holds one class then is done.
+
+What is left of the others is split by further ordered picks under an exact bound. The
+shingles of a text are ranked from rare to common. Two similar texts meet at the rarest shingle
+they share; if that is the i-th of one text of n shingles, at most n - i + 1 can match, and
+0.8 of the union have to. So a text is listed under the rarest fifth of its shingles only, a
+pair is compared only under a shingle where both may still match enough, and a passage that
+many texts share brings none of them together. These lists are worked off with 1, 4, 16 and
+more centres, each the best known of a class, until no list holds two classes that could be
+linked. No link between two classes of a bucket is lost.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,12 +36,14 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import LOWER_BYTES, PLAIN_WORD, ROW, beside, numbered, slices, table, whole
 
-SHINGLE, PICKS, FUNCTIONS, ORDERS, SIMILAR = 5, 3, 16, 4, 0.8
-# A text similar to a text that is similar to a centre is at least so similar to the centre.
-TWICE = 1 - 2 * (1 - SIMILAR)
-# Centres of a bucket in a round: so many times as many as in the round before, up to a most
-# that bounds the rows a round makes of one; rounds go on until no bucket is left.
+SHINGLE, PICKS, FUNCTIONS, SIMILAR = 5, 3, 16, 0.8
+# Similar texts of n and m shingles have at least so many times n + m in common.
+COMMON, EPSILON = SIMILAR / (1 + SIMILAR), 1e-9
+# Centres of a list in a round: so many times as many as in the round before, up to a most
+# that bounds the rows a round makes of one; rounds go on until no list is left.
 GROWTH, CENTRES = 4, 64
+# Members of a bucket that meet its centres under one key.
+SPREAD = 1000
 WORDS = re.compile(PLAIN_WORD)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = np.random.default_rng(9).integers(1, 1 << 63, FUNCTIONS, dtype=np.uint64) | np.uint64(1)
@@ -66,39 +73,44 @@ def shingles(text: str, known: dict[str, int]) -> np.ndarray:
     return out
 
 
+def labelled(values: np.ndarray) -> np.ndarray:
+    """The shingles, each with the number of its earlier occurrences mixed in."""
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    labels = np.empty(len(values), np.uint64)
+    nth = np.arange(len(values)) - np.repeat(starts, np.diff(np.append(starts, len(values))))
+    labels[order] = nth.astype(np.uint64)
+    return _stir(values + labels * MIX)
+
+
 def signatures(values: np.ndarray) -> list[int]:
     """One signed 64-bit number a hash function; none for a text without words."""
     n = len(values)
     if not n:
         return []
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    starts = np.flatnonzero(new)
-    labels = np.empty(n, np.uint64)
-    labels[order] = (np.arange(n) - starts[np.cumsum(new) - 1]).astype(np.uint64)
-    labelled = _stir(values + labels * MIX)
-    hashed = _stir(labelled[None, :] * SEEDS[:, None])
+    chosen = labelled(values)
+    hashed = _stir(chosen[None, :] * SEEDS[:, None])
     picks = min(PICKS, n)
     at = np.argpartition(hashed, picks - 1, axis=1)[:, :picks] if picks < n else np.tile(np.arange(n), (FUNCTIONS, 1))
     at.sort(axis=1)
     out = np.zeros(FUNCTIONS, np.uint64)
     for k in range(picks):
-        out = _stir(out * np.uint64(5) + labelled[at[:, k]])
+        out = _stir(out * np.uint64(5) + chosen[at[:, k]])
     return out.view(np.int64).tolist()
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Matches of the best alignment over the union, or 0 where it is below TWICE for sure.
+    """Matches of the best alignment over the union, or 0 where it is below SIMILAR for sure.
 
-    At that similarity an alignment skips at most (n + m) / 4 shingles, so it stays within a
+    At that similarity an alignment skips at most (n + m) / 9 shingles, so it stays within a
     band of that width; the common ends are matched first, and the rest bit-parallel: one
-    integer holds a row of the alignment.
+    integer holds the part of a row of the alignment that lies in the band.
     """
     n, m = len(a), len(b)
     if not n or not m:
         return 0.0
-    band = int((n + m) * (1 - TWICE) / (1 + TWICE) + 1e-9)
+    band = int((n + m) * (1 - SIMILAR) / (1 + SIMILAR) + EPSILON)
     if abs(n - m) > band:
         return 0.0
     k = min(n, m)
@@ -110,20 +122,30 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     matched = head + tail
     if x and y:
         most = sum((Counter(x) & Counter(y)).values())
-        if matched + most < TWICE * (n + m - matched - most) - 1e-9:
+        if matched + most < COMMON * (n + m) - EPSILON:
             return 0.0
-        masks: dict[int, int] = {}
+        places: dict[int, list[int]] = {}
         for i, v in enumerate(x):
-            masks[v] = masks.get(v, 0) | 1 << i
-        full = (1 << len(x)) - 1
-        window = (1 << (2 * band + 1)) - 1
-        row = full
+            places.setdefault(v, []).append(i)
+        # Bits are the places from `low` on; a zero is a match. Places below have left the band.
+        low, width = 0, min(band + 1, len(x))
+        row = (1 << width) - 1
         for j, v in enumerate(y):
-            mask = masks.get(v, 0) & (window << (j - band) if j > band else window >> (band - j))
-            if mask:
-                hit = row & mask
-                row = ((row + hit) | (row - hit)) & full
-        matched += len(x) - row.bit_count()
+            if j > band and low < len(x):
+                matched += 1 - (row & 1)
+                row >>= 1
+                low, width = low + 1, width - 1
+            if 0 < j < len(x) - band:
+                row |= 1 << width
+                width += 1
+            here = places.get(v)
+            if here:
+                hit = 0
+                for i in here[bisect_left(here, low):bisect_left(here, low + width)]:
+                    hit |= 1 << (i - low)
+                hit &= row
+                row = ((row + hit) | (row - hit)) & ((1 << width) - 1)
+        matched += width - row.bit_count()
     return matched / (n + m - matched)
 
 
@@ -142,84 +164,138 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) with their `distance`, 1 where it is above that of TWICE."""
-    with_a = pairs.join(texts.select(F.col("_node").alias("a"), F.col("_text").alias("text_a")), "a")
-    both = with_a.join(texts.select(F.col("_node").alias("b"), F.col("_text").alias("text_b")), "b")
+    """Pairs (a, b) and whether they are similar."""
+    with_a = pairs.join(texts.select(F.col("_node").alias("a"), F.col("_values").alias("values_a")), "a")
+    both = with_a.join(texts.select(F.col("_node").alias("b"), F.col("_values").alias("values_b")), "b")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "values_a"):
+            similar = [similarity(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= SIMILAR for x, y in zip(
+                b["values_a"].to_pylist(), b["values_b"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(similar, pa.bool_())], ["a", "b", "similar"])
+
+    return both.select("a", "b", "values_a", "values_b").mapInArrow(run, "a binary, b binary, similar boolean")
+
+
+def _sequences(texts: DataFrame) -> DataFrame:
+    """_node and _values, the bytes of its shingles in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
-        for b in slices(batches, "text_a"):
-            scores = [similarity(shingles(s, known), shingles(t, known)) for s, t in zip(
-                b["text_a"].to_pylist(), b["text_b"].to_pylist(), strict=True)]
-            # A score of just SIMILAR is similar, whatever its difference from 1 is as a double.
-            far = [1 - s if s < SIMILAR else min(1 - s, NEAR) for s in scores]
-            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(far, pa.float64())], ["a", "b", "distance"])
+        for b in slices(batches, "_text"):
+            values = [shingles(t, known).tobytes() for t in b["_text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["_node"], pa.array(values, pa.binary())], ["_node", "_values"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, distance double")
+    return texts.select("_node", "_text").mapInArrow(run, "_node binary, _values binary")
 
 
 BUCKET = ["_band", "_sig"]
-NEAR, REACH = 1 - SIMILAR, 1 - TWICE + 1e-9
+MEMBER = [*BUCKET, "_n", "_node", "_size", "_most", "_weight", "_label"]
 
 
 def links(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Verified pairs (a, b) of nodes, and node, label of those that have one."""
     nodes = rows.groupBy("_node").agg(F.min(id_col).alias("_first"), F.any_value("_size").alias("_size"), F.any_value("_sigs").alias("_sigs"))
     members = nodes.select("_node", "_first", "_size", F.posexplode("_sigs").alias(*BUCKET))
-    buckets = members.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(BUCKET)
+    buckets = members.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     members = table(members.join(buckets, BUCKET), "buckets")
+    met = members.groupBy("_node").agg(F.any_value("_first").alias("_first"), F.sum("_n").alias("_weight"))
     # One row of each text that has a partner: found by node and id, so that copies of one
     # text do not meet in one task. The node tells texts apart, the hash of the id only rows.
-    involved = members.select("_node", F.xxhash64("_first").alias("_id")).distinct()
+    involved = met.select("_node", F.xxhash64("_first").alias("_id"))
     all_rows = docs.select(F.xxhash64(id_col).alias("_id"), whole(text_col).alias("_text")).withColumn("_node", F.unhex(F.md5("_text")))
-    texts = table(all_rows.join(involved, ["_node", "_id"], "left_semi").dropDuplicates(["_node", "_id"]).select("_node", "_text"), "texts")
-    left, tried, labels, centres = members.select("_node", "_size", *BUCKET), None, None, 1
-    while True:
-        star = table(_stars(left, centres), "stars")
-        pairs = star.filter(F.least("_size", "_centre_size") >= (TWICE - 1e-9) * F.greatest("_size", "_centre_size")).select("a", "b").distinct()
-        new = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        judged = table(_verify(new, texts), "judged")
-        tried = judged if tried is None else tried.unionByName(judged)
-        labels = _relabelled(labels, judged.filter(F.col("distance") <= NEAR).select("a", "b"))
-        left = table(_mixed(_staying(star, tried), labels), "left")
-        if left.isEmpty():
-            return tried.filter(F.col("distance") <= NEAR).select("a", "b"), labels
+    texts = table(_sequences(all_rows.join(involved, ["_node", "_id"], "left_semi").dropDuplicates(["_node", "_id"])), "texts")
+    left = table(members.join(met.drop("_first"), "_node").select(
+        *BUCKET, "_n", "_node", "_size", F.col("_size").alias("_most"), "_weight", F.col("_node").alias("_label")), "left")
+    centre = left.groupBy(BUCKET).agg(F.max(F.struct("_weight", *[c for c in MEMBER if c != "_weight"])).alias("_c")).select("_c.*")
+    tried = table(_verify(_pairs(left, centre.select(MEMBER)), texts), "judged")
+    labels = components(tried.filter("similar").select("a", "b"))
+    left = table(_open(left, centre, labels), "left")
+    left = table(_open(_by_rare_shingles(left, texts), None, labels), "left")
+    centres = 1
+    while not left.isEmpty():
+        best = table(_centres(left, centres), "centres")
+        judged = table(_verify(_pairs(left, best).join(tried, ["a", "b"], "left_anti"), texts), "judged")
+        tried = tried.unionByName(judged)
+        labels = _relabelled(labels, judged.filter("similar").select("a", "b"))
+        left = table(_open(left, best, labels), "left")
         centres = min(GROWTH * centres, CENTRES)
-
-
-def _stars(left: DataFrame, centres: int) -> DataFrame:
-    """Members of each bucket beside each of its first so many centres, itself not."""
-    order = Window.partitionBy(BUCKET).orderBy(F.xxhash64("_node", F.pmod("_band", F.lit(ORDERS))), "_node")
-    first = left.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= centres).select(
-        *BUCKET, F.col("_node").alias("_centre"), F.col("_size").alias("_centre_size"))
-    pairs = left.join(first, BUCKET).filter("_node <> _centre")
-    return pairs.withColumns({"a": F.least("_node", "_centre"), "b": F.greatest("_node", "_centre")})
-
-
-def _staying(star: DataFrame, tried: DataFrame) -> DataFrame:
-    """Members that may have links which the stars do not show. Centres have none left."""
-    scored = star.join(tried, ["a", "b"], "left").select(
-        "_node", "_size", *BUCKET, "_centre", F.coalesce("distance", F.lit(1.0)).alias("_far"))
-    between = scored.filter((F.col("_far") > NEAR) & (F.col("_far") <= REACH)).groupBy(*BUCKET, "_centre").agg(F.min("_far").alias("_between"))
-    near = F.col("_far") <= NEAR
-    judged = scored.join(between, [*BUCKET, "_centre"], "left").groupBy("_node", "_size", *BUCKET).agg(
-        F.max(near).alias("_near"),
-        F.max(F.coalesce(near & (F.col("_between") <= F.col("_far") + NEAR + 1e-9), F.lit(False))).alias("_reached"))
-    done = star.select(*BUCKET, F.col("_centre").alias("_node")).distinct()
-    return judged.filter("_reached or not _near").join(done, [*BUCKET, "_node"], "left_anti").select("_node", "_size", *BUCKET)
-
-
-def _mixed(left: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the buckets that still hold two classes: a link within one class adds nothing."""
-    labelled = left.join(labels.withColumnRenamed("node", "_node"), "_node", "left").withColumn("_label", F.coalesce("label", "_node"))
-    mixed = labelled.groupBy(BUCKET).agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).filter("_low <> _high")
-    return labelled.join(mixed, BUCKET).select("_node", "_size", *BUCKET)
-
-
-def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    return tried.filter("similar").select("a", "b"), labels
+
+
+def _spread(members: DataFrame, others: DataFrame) -> DataFrame:
+    """Members of buckets beside the rows of the same buckets in `others`, which has few of a
+    bucket: they are repeated, and the members of a large bucket dealt over the copies."""
+    parts = F.ceil(F.col("_n") / SPREAD).cast("int")
+    dealt = members.withColumn("_part", F.pmod(F.xxhash64("_node"), parts).cast("int"))
+    copies = others.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_n")
+    return dealt.join(copies, [*BUCKET, "_part"]).drop("_part")
+
+
+def _centres(left: DataFrame, centres: int) -> DataFrame:
+    """The first so many members of each bucket: the best known of each class before the next best."""
+    known = [F.desc("_weight"), F.col("_node")]
+    of_class = left.withColumn("_nth", F.row_number().over(Window.partitionBy(*BUCKET, "_label").orderBy(*known))).filter(F.col("_nth") <= centres)
+    return of_class.withColumn("_at", F.row_number().over(Window.partitionBy(BUCKET).orderBy("_nth", *known))).filter(
+        F.col("_at") <= centres).select(MEMBER)
+
+
+def _pairs(left: DataFrame, centres: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of a member and a centre of another class that may be similar."""
+    other = centres.select(*BUCKET, "_n", *[F.col(c).alias(f"_c{c}") for c in ("_node", "_label", "_size", "_most")])
+    met = _spread(left, other).filter(
+        (F.col("_label") != F.col("_c_label"))
+        & (F.least("_most", "_c_most") >= COMMON * (F.col("_size") + F.col("_c_size")) - EPSILON))
+    return met.select(F.least("_node", "_c_node").alias("a"), F.greatest("_node", "_c_node").alias("b")).distinct()
+
+
+def _open(left: DataFrame, done: DataFrame | None, labels: DataFrame) -> DataFrame:
+    """The members, with their classes as they are now, that may still have a link to another
+    class of their bucket. The ones in `done` were compared with all that they could be similar to."""
+    if done is not None:
+        left = left.join(done.select(*BUCKET, "_node"), [*BUCKET, "_node"], "left_anti")
+    # The largest partner of a text that matches `_most` of its shingles.
+    reach = F.col("_most") / COMMON - F.col("_size") + EPSILON
+    rows = left.drop("_label").join(labels.select(F.col("node").alias("_node"), F.col("label").alias("_label")), "_node", "left").select(
+        *MEMBER[:-1], F.coalesce("_label", "_node").alias("_label"), reach.alias("_reach")).filter(F.col("_reach") >= SIMILAR * F.col("_size"))
+    ends = rows.groupBy(*BUCKET, "_label").agg(F.any_value("_n").alias("_n"), F.min("_size").alias("_least"), F.max("_reach").alias("_far"))
+    best = ends.groupBy(BUCKET).agg(
+        F.any_value("_n").alias("_n"), F.min(F.struct("_least", "_label")).alias("_low"), F.max(F.struct("_far", "_label")).alias("_high"),
+        F.count(F.lit(1)).alias("_classes")).filter("_classes > 1").drop("_classes")
+    # Beside the best of all classes the best of all others, for members of that class.
+    second = _spread(ends.withColumnRenamed("_label", "_node"), best).groupBy(BUCKET).agg(
+        F.any_value("_n").alias("_n"), F.any_value("_low").alias("_low"), F.any_value("_high").alias("_high"),
+        F.min(F.when(F.col("_node") != F.col("_low._label"), F.col("_least"))).alias("_low2"),
+        F.max(F.when(F.col("_node") != F.col("_high._label"), F.col("_far"))).alias("_high2"))
+    low = F.when(F.col("_label") != F.col("_low._label"), F.col("_low._least")).otherwise(F.col("_low2"))
+    high = F.when(F.col("_label") != F.col("_high._label"), F.col("_high._far")).otherwise(F.col("_high2"))
+    return _spread(rows, second).filter((low <= F.col("_reach")) & (high >= F.col("_size"))).select(MEMBER)
+
+
+def _by_rare_shingles(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """Members of new buckets, one for each of the rarest shingles of the texts left."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "_values"):
+            for node, weight, data in zip(b["_node"].to_pylist(), b["_weight"].to_pylist(), b["_values"].to_pylist(), strict=True):
+                values = labelled(np.frombuffer(data, np.uint64)).view(np.int64)
+                n = len(values)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([node] * n, pa.binary()), pa.array([n] * n, pa.int32()), pa.array([weight] * n, pa.int64()), pa.array(values)],
+                    ["_node", "_size", "_weight", "_sig"])
+
+    waiting = left.groupBy("_node").agg(F.any_value("_weight").alias("_weight"))
+    said = table(texts.join(waiting, "_node").select("_node", "_weight", "_values").mapInArrow(
+        run, "_node binary, _size int, _weight bigint, _sig bigint"), "shingles")
+    shared = said.groupBy("_sig").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    order = Window.partitionBy("_node").orderBy(F.coalesce("_n", F.lit(1)), "_sig")
+    ranked = said.join(shared, "_sig", "left").withColumn("_nth", F.row_number().over(order))
+    # Where a shingle is the first that two texts share, the rarer ones of either do not match.
+    most = F.col("_size") - F.col("_nth") + 1
+    return ranked.filter((most >= SIMILAR * F.col("_size") - EPSILON) & (F.col("_n") > 1)).select(
+        F.lit(-1).alias("_band"), "_sig", "_n", "_node", "_size", most.alias("_most"), "_weight", F.col("_node").alias("_label"))
+
+
+def _relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """node, label with more links: only the links between classes are looked at."""
-    if labels is None:
-        return components(edges)
     for end in ("a", "b"):
         edges = edges.join(labels.select(F.col("node").alias(end), "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
     edges = table(edges.filter("a <> b"), "merging")
