@@ -11,12 +11,14 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ledgerlens.llm import (
     bpe,
     chunks,
+    common,
     exact_dedup,
     fast_encoding,
     license_scan,
@@ -84,6 +86,38 @@ def test_exact_dedup(docs, nothing):
     assert exact_dedup.drop_copies(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("partitions", ["1", "4", "100"])
+def test_exact_dedup_by_any_number_of_runs(spark, partitions):
+    """Copies in every run, a third of all rows among them, and null ids with one text."""
+    data = [(i if i % 7 else None, ("hot", "HOT", f"text {i % 50}", "", None, "ünder")[i % 6]) for i in range(600)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        runs = exact_dedup.run_count(spark)
+        assert runs == {"1": 1, "4": 1, "100": 32}[partitions]
+        rows = spark.createDataFrame(data, "doc_id bigint, text string").repartition(5)
+        got = exact_dedup.exact_dedup(rows).collect()
+        levels = exact_dedup.merge_up(common.table(exact_dedup.digests(rows, runs), "digests"), runs)
+        assert [n.agg({"_run": "max"}).first()[0] for n in levels] == [runs // (1 << k) - 1 for k in range(len(levels))]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    of_text = {}
+    for i, t in data:
+        of_text.setdefault((t or "").lower(), []).append(i)
+    want = sorted((i or -1, max((j for j in ids if j is not None), default=None) or -1, len(ids)) for ids in of_text.values() for i in ids)
+    assert sorted((r.doc_id or -1, r.keep_id or -1, r.group_size) for r in got) == want
+    assert sum(r.kept for r in got) == len(of_text)
+    assert all(r.doc_id == r.keep_id for r in got if r.kept)
+
+
+def test_exact_dedup_merges_sorted_runs(spark, docs):
+    """Rows are combined in sorted order on both sides of an exchange."""
+    rows = docs.selectExpr("doc_id as _id", "0 as _run", "doc_id as _row_number", "text as _digest", "1 as _bytes", "1 as _check")
+    level = rows.groupBy("_run", *exact_dedup.DIGEST).agg(F.max(F.struct("_id", "_row_number")))
+    plan = level._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortAggregate") == 2 and "HashAggregate" not in plan
+
+
 def test_mixing(docs, nothing):
     got = mixing.mix(docs).collect()
     assert sorted((r.doc_id or -1, r.taken) for r in got) == sorted((r.doc_id or -1, r.taken) for r in mixing.mix(docs).collect())
