@@ -330,23 +330,29 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     smallest id stays, exactly one of rows repeated with it; null ids are larger than any
     other. Other columns are not read; an empty table gives none.
     """
-    rows = table(sketch(docs, id_col, text_col), "sketch")
+    rows = table(numbered(sketch(docs, id_col, text_col)), "sketch")
     edges, labels = links(rows, docs, id_col, text_col)
     ends = edges.select(F.explode(F.array("a", "b")).alias("_node")).groupBy("_node").agg(F.count(F.lit(1)).alias("n_links"))
     labels = labels.withColumnRenamed("node", "_node").join(ends, "_node", "left")
-    # Rows are first counted by text, so a text with many copies is one row here.
-    texts = rows.groupBy("_node").agg(F.min(id_col).alias("_least"), F.count(F.lit(1)).alias("_rows"))
+    # Rows are first counted by text, and those of a text in as many parts as there are tasks,
+    # so that one with many copies is a row of each part here and below.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(id_col, ROW, "_node", F.pmod(F.xxhash64(ROW), F.lit(parts)).cast("int").alias("_part"))
+    first = F.struct(F.col(id_col).isNull().alias("_none"), F.col(id_col).alias("_id"), F.col(ROW))
+    copies = table(dealt.groupBy("_node", "_part").agg(F.min(first).alias("_least"), F.count(F.lit(1)).alias("_rows")), "copies")
+    texts = copies.groupBy("_node").agg(F.min("_least").alias("_least"), F.sum("_rows").alias("_rows"))
     labelled = texts.join(labels, "_node", "left").withColumn("_label", F.coalesce("label", "_node"))
-    classes = labelled.groupBy("_label").agg(F.min("_least").alias("class_id"), F.sum("_rows").alias("class_size"))
-    placed = table(labelled.join(classes, "_label").select("_node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "classes")
-    nth = F.row_number().over(Window.partitionBy("_node", id_col).orderBy("_node"))
-    return rows.select(id_col, "_node").join(placed, "_node").withColumn("_nth", nth).select(
-        id_col, "class_id", "class_size", "n_links",
-        (F.col(id_col).eqNullSafe(F.col("class_id")) & (F.col("_nth") == 1)).alias("kept"))
+    classes = labelled.groupBy("_label").agg(F.min("_least").alias("_stays"), F.sum("_rows").alias("class_size"))
+    placed = labelled.join(classes, "_label").select("_node", "_stays", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    placed = table(copies.select("_node", "_part").join(placed, "_node"), "classes")
+    return dealt.join(placed, ["_node", "_part"]).select(
+        id_col, F.col("_stays._id").alias("class_id"), "class_size", "n_links",
+        (F.col(ROW) == F.col(f"_stays.{ROW}")).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, one per class, with the columns of docs."""
+    """The rows of docs that stay, one per class, with the columns of docs, whatever they are
+    called. Nulls, ties, repeated rows and empty tables are treated as `near_dedup` says."""
     stored = table(numbered(docs), "near")
     at = stored.select(F.struct(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.col(ROW).alias("row")).alias("_at"), F.col(text_col).alias("_text"))
     kept = near_dedup(at, "_at", "_text").filter("kept").select(F.col("_at.row").alias(ROW))

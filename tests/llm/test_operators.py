@@ -369,6 +369,18 @@ def test_near_dedup(docs, nothing):
     assert near_dedup.near_dedup(nothing).count() == 0
 
 
+def test_near_dedup_of_null_and_repeated_ids(spark):
+    """Null ids are larger than any other, and of every class exactly one row stays."""
+    base, other = prose(21, 200), prose(22, 60)
+    words = base.split()
+    close = " ".join(w if i != 90 else "changed" for i, w in enumerate(words))
+    rows = [(None, base)] * 40 + [(7, close)] * 3 + [(9, base)] + [(None, other)] * 5
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)).collect()
+    assert Counter((r.doc_id, r.class_id, r.class_size, r.n_links) for r in got) == {
+        (None, 7, 44, 1): 40, (7, 7, 44, 1): 3, (9, 7, 44, 1): 1, (None, None, 5, 0): 5}
+    assert sorted((r.doc_id or -1, r.class_size) for r in got if r.kept) == [(-1, 5), (7, 44)]
+
+
 def test_near_dedup_keeps_every_link_between_classes(spark):
     """Chains of edits, whose ends are not similar, and a shared passage, against all pairs."""
     draw = random.Random(11)
