@@ -248,7 +248,12 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
 
 
 def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256 (decimal ids joined by commas) and decoded_sha256."""
+    """One row per row of docs: id, n_tokens, ids_sha256 (decimal ids joined by commas) and
+    decoded_sha256.
+
+    A null text counts as empty: no tokens, and the digests of nothing. Null ids and repeated
+    rows are rows like any other; other columns are not read; an empty table gives none.
+    """
     return round_trip(docs, tokenizer, id_col, text_col).select(
         id_col, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

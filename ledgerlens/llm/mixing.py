@@ -159,7 +159,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of docs, each as many times as the mix passes over it; a pass that takes part
-    of a document counts as one, which concerns two documents a source at most."""
+    of a document counts as one, which concerns two documents a source at most. The columns
+    are those of docs. Null texts and texts without words take no words and go; a null source is
+    one source; equal rows count each; an empty table gives an empty one."""
     stored = table(numbered(docs), "mix")
     taken = mix(stored, id_col, text_col, source_col, ROW).filter("taken > 0").select(
         ROW, F.ceil(F.col("taken") / F.col("size")).cast("int").alias("_copies"))

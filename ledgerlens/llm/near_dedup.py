@@ -342,8 +342,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     copies = table(dealt.groupBy("_node", "_part").agg(F.min(first).alias("_least"), F.count(F.lit(1)).alias("_rows")), "copies")
     texts = copies.groupBy("_node").agg(F.min("_least").alias("_least"), F.sum("_rows").alias("_rows"))
     labelled = texts.join(labels, "_node", "left").withColumn("_label", F.coalesce("label", "_node"))
-    classes = labelled.groupBy("_label").agg(F.min("_least").alias("_stays"), F.sum("_rows").alias("class_size"))
-    placed = labelled.join(classes, "_label").select("_node", "_stays", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    # Likewise the texts of a class.
+    labelled = table(labelled.withColumn("_share", F.pmod(F.xxhash64("_node"), F.lit(parts)).cast("int")), "labelled")
+    shares = labelled.groupBy("_label", "_share").agg(F.min("_least").alias("_least"), F.sum("_rows").alias("_rows"))
+    classes = shares.groupBy("_label").agg(F.min("_least").alias("_stays"), F.sum("_rows").alias("class_size"))
+    classes = shares.select("_label", "_share").join(classes, "_label")
+    placed = labelled.join(classes, ["_label", "_share"]).select(
+        "_node", "_stays", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     placed = table(copies.select("_node", "_part").join(placed, "_node"), "classes")
     return dealt.join(placed, ["_node", "_part"]).select(
         id_col, F.col("_stays._id").alias("class_id"), "class_size", "n_links",

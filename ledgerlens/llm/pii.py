@@ -325,5 +325,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def pii_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: id, the counts of the four kinds, base_sha256 and spans.
+
+    A null or empty text, or one without personal data, has zeros, the digest of nothing and no
+    spans. Repeated rows and null ids are rows like any other; other columns are not read; an
+    empty table gives none.
+    """
     found = personal_data(docs, id_col, text_col)
     return found.select(id_col, "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")

@@ -170,6 +170,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of docs that the verdict keeps, with the columns of docs."""
+    """The rows of docs that the verdict keeps, with the columns of docs, whatever they are
+    called. A null text has no words and goes; equal rows share a verdict; an empty table gives
+    an empty one."""
     held = docs.select(F.struct(*docs.columns).alias("_row"), measures(whole(text_col)).alias("_m"))
     return _judged(held).filter("_kept").select("_row.*")

@@ -1,4 +1,9 @@
-"""The operators on the driver tables, with production parameters."""
+"""The operators on the driver tables, with production parameters.
+
+Each query reads its whole table and returns its operator's whole result. Nulls, empty and very
+long texts, ties, repeated rows, empty tables and extra columns are treated as the docstring of
+the operator it calls says; nothing is added or left out here.
+"""
 
 from __future__ import annotations
 

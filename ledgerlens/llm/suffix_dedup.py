@@ -338,7 +338,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def suffix_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    A null text counts as empty: zeros and the digest of nothing. Rows repeated with an id, and
+    null ids, are documents of their own, so their long texts remove each other; other columns
+    are not read; an empty table gives none.
+    """
     return suffix_dedup(docs, id_col, text_col).select(
         id_col, "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))

@@ -190,7 +190,11 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def digests(stored: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of what `read` gives."""
+    """doc_id, start, n_tokens and ids_crc32 of what `read` gives, a row each.
+
+    A null or empty text is its end id alone; null ids and repeated rows are documents like any
+    other; files of an empty table give no rows.
+    """
 
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -461,3 +461,35 @@ def test_pipeline_keeps_one_of_each_and_encodes(spark, tmp_path, docs):
     assert len(ids & {0, 1, 2, 3}) == 1 and 9 in ids and not ids & {4, 5, 6, 7, 12}
     assert set(QUERIES) >= {f for f in QUERIES if f.startswith("op")} and len(QUERIES) == 13 and set(ORACLES) <= set(QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "mixing", "bpe"]
+
+
+def test_pipeline_of_an_empty_table_and_of_null_ids(spark, tmp_path, nothing, docs):
+    nothing.write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    # Good texts without ids, one of them often: one of each stays.
+    good = [prose(i, 150) + "." for i in range(30, 36)]
+    rows = [(None, t, "en", "a", 0, True, "x", 1, 2) for t in good + good[:1] * 20]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/null/documents.parquet")
+    kept = quality.keep_good(spark.read.parquet(f"{tmp_path}/null/documents.parquet")).select("text").distinct().count()
+    got = corpus_pipeline.run(spark, f"{tmp_path}/null").collect()
+    assert kept and len({r.ids_sha256 for r in got}) == kept and {r.doc_id for r in got} == {None}
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    """A text of a million characters beside short ones, and columns named as results are."""
+    passage = prose(41, 120)
+    long = prose(42, 60_000) + " write to someone@example.org " + passage
+    rows = spark.createDataFrame(
+        [(1, long, "a", 1, "b"), (2, passage, "c", 2, "d"), (3, None, None, None, None)],
+        "doc_id long, text string, spans string, n_bytes int, kept string")
+    removed = {r.doc_id: r for r in suffix_dedup.suffix_digests(rows).collect()}
+    assert removed[2].n_removed == removed[2].n_bytes == len(passage.encode()) and removed[1].n_removed >= len(passage.encode())
+    assert removed[3].n_bytes == 0
+    found = {r.doc_id: r for r in pii.pii_digests(rows).collect()}
+    assert found[1].n_email == 1 and found[2].n_email == 0 and len(found) == 3
+    html = f"<html><body><nav>Home</nav><article><p>{long}</p></article><footer>Imprint</footer></body></html>"
+    pages = spark.createDataFrame(
+        [(1, "http://a.org/1", html, "x", 1), (2, "http://a.org/2", html.replace(long, passage), "y", 2)],
+        "page_id long, url string, html string, text string, n_chars int")
+    got = {r.page_id: r for r in wrappers.main_text(pages).collect()}
+    assert got[1].text == " ".join(long.split()) and got[2].text == passage and got[2].n_chars == len(passage)
