@@ -2,45 +2,56 @@
 
 A name is never compared with the whole list. If two names score at least the threshold,
 arithmetic on the Jaro-Winkler formula forces them to share so many characters that they
-must also share one of their few rarest ones. Names and list entries are keyed by those
-characters and meet in an equi-join. Which characters are rare is measured on the names and
-the list at hand. A key under which many names would meet many entries is replaced by keys of
-four characters: whoever must share four or more also shares the four rarest of them.
-Of the pairs that meet, those that can share enough characters at all, which a comparison of
-two 64-bit masks tells, are scored. No bound below is a heuristic: each follows from the
-formula, so every pair at or above the threshold is found, whatever was measured.
+must also share their few rarest ones. Names and list entries are keyed by those characters
+and meet in an equi-join. Which characters are rare, and how many names could meet how many
+entries, is measured on the names and the list at hand; the latter decides how many characters
+a key has. Of the pairs that meet, those that can share enough characters at all, which a
+comparison of two 64-bit masks inside the join tells, are scored. No bound below is a heuristic:
+each follows from the formula, so every pair at or above the threshold is found, whatever was
+measured.
 
 With lengths l and w and m matched characters, Jaro is at most (m/l + m/w + 1)/3, and the
 Winkler boost adds at most 0.1 * p * (1 - jaro) for p common leading characters. Hence a
 score of t needs jaro >= (t - 0.1p)/(1 - 0.1p) and m >= S*l*w/(l + w) with
-S = 3*jaro - 1. Pairs fall in two classes: those with different first characters (p = 0)
-and those with the same one (p <= 4), for which the first character joins the key.
+S = 3*jaro - 1. Pairs fall in a class for each p from 0 to 4, whose key holds the first p
+characters: the less a class demands of the rest, the fewer pairs agree on its start.
+
+Whoever must share m characters also shares the k rarest of them, and those lie within the
+first l - m + k of one name and the first w - m + k of the other. A key is one choice of k
+characters from these. Longer keys are more rows, and let fewer pairs meet; k is chosen for
+each class and pair of lengths, so that both grow with the names far slower than their pairs.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from dataclasses import dataclass
+from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlens.session import scratch_path
 from ledgerlens.functions.similarity import PREFIX_LENGTH, PREFIX_SCALE, score_pairs
 
 THRESHOLD = 0.90
 # The keyed list is broadcast up to this size and joined by shuffle beyond it.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Names times entries that may meet under one key before it is split by further characters,
-# and of how many characters a key is at most.
-SPLIT_PAIRS, MOST_CHARACTERS = 2_000, 4
-# Split keys up to this number are handed to the plan as rows it knows the size of.
-LOCAL_SPLITS = 50_000
+# How many pairs may meet for each row of keys before longer keys are worth their further rows,
+# how many characters a key has at most, and from how many different ones, as good as, names draw.
+SPLIT_PAIRS, MOST_CHARACTERS, DRAWN_FROM = 10, 6, 32
+# Most keys of one name for one pair of lengths, where a shorter key leaves a choice.
+MOST_KEYS = 1_000
+# Rows of keys and pairs that meet, by their estimate, in one task of the join; most tasks.
+TASK_ROWS, TASK_PAIRS, MOST_TASKS = 300_000, 30_000_000, 20_000
 # Characters whose commonness is measured; all others count as rarest.
 ALPHABET, REPEATS = 64, 3
 # Of those, the characters with two bits of their own in a mask.
 OWN_BITS = 26
 
-_SAME_FIRST, _OTHER_FIRST = 1, 0
 _EPSILON = 1e-9
-_KEY = ["cls", "head", "len_name", "len_listed", "char"]
 
 
 @dataclass(frozen=True)
@@ -85,13 +96,10 @@ LETTERS = Commonness(" eaionrtlsudhcmgpybkwfvzjxq", tuple(
     tuple(max(3 * (27 - i) - 24 * k, 0) for i in range(27)) for k in range(REPEATS)))
 
 
-def _required_share(threshold: float) -> dict[int, float]:
-    """S of the module note for each class."""
-    boost = PREFIX_LENGTH * PREFIX_SCALE
-    return {
-        _SAME_FIRST: 3 * (threshold - boost) / (1 - boost) - 1,
-        _OTHER_FIRST: 3 * threshold - 1,
-    }
+def _required_share(threshold: float) -> list[float]:
+    """S of the module note for each class, by the common leading characters."""
+    boosts = [p * PREFIX_SCALE for p in range(PREFIX_LENGTH + 1)]
+    return [3 * (threshold - boost) / (1 - boost) - 1 for boost in boosts]
 
 
 def _bounds_length(share: float) -> bool:
@@ -103,19 +111,15 @@ def _bounds_length(share: float) -> bool:
     return share - 1 >= 0.1
 
 
-def _overlap(share: float, length: Column, other: Column) -> Column:
+def _need(share: float, length: int, other: int) -> int:
     """Least number of shared characters for two lengths; a positive score needs one."""
-    exact = F.lit(share) * length * other / (length + other)
-    return F.greatest(F.ceil(exact - F.lit(_EPSILON)), F.lit(1)).cast("int")
+    return max(1, math.ceil(share * length * other / (length + other) - _EPSILON))
 
 
-def _least_partner(share: float, length: Column) -> Column:
-    """Shortest length a partner can have."""
-    if not _bounds_length(share):
-        return F.lit(1)
-    return F.greatest(
-        F.ceil(F.lit(share - 1) * length - F.lit(_EPSILON)), F.lit(1)
-    ).cast("int")
+def _overlap(share: float, length: Column, other: Column) -> Column:
+    """The same as a column."""
+    exact = F.lit(share) * length * other / (length + other)
+    return F.greatest(F.ceil(exact - F.lit(_EPSILON)), F.lit(1)).cast("int")
 
 
 def _characters(name: Column, common: Commonness = LETTERS) -> Column:
@@ -167,127 +171,185 @@ def _mask(chars: Column, common: Commonness) -> Column:
     )
 
 
-def _keys(chars: Column, first: Column, count: Column, cls: int, len_name: Column, len_listed: Column) -> Column:
-    """The first `count` characters as join keys of a class.
+@dataclass(frozen=True)
+class Cell:
+    """A class and a pair of lengths (0 and 0: any), the characters its pairs must share at
+    least, and how many of them a key has."""
 
-    Each comes with its place in the order and with `count`: the next characters of a longer
-    key lie within one place more each.
-    """
-    return F.transform(
-        F.slice(chars, 1, F.greatest(count, F.lit(0))),
-        lambda char, i: F.struct(
-            F.lit(cls).alias("cls"),
-            (first if cls == _SAME_FIRST else F.lit("")).alias("head"),
-            len_name.alias("len_name"),
-            len_listed.alias("len_listed"),
-            char.alias("char"),
-            (i + 1).alias("at"),
-            count.alias("count"),
-        ),
-    )
+    cls: int
+    len_name: int
+    len_listed: int
+    need: int
+    depth: int
 
 
-def _side_keys(side: str, share: dict[int, float], partners: list[int]) -> Column:
-    """The keys of a name or list entry: per class, per length a match may have and some name
-    on the other side does have, its rarest characters. For a class that does not bound the
-    lengths the least demanding partner decides how many."""
-    length, chars = F.col(f"{side}_len"), F.col(f"{side}_chars")
-    first = F.coalesce(F.substring(f"{side}_key", 1, 1), F.lit(""))
+def _choices(length: int, need: int, depth: int) -> int:
+    return math.comb(length - need + depth, depth)
 
-    def of_class(cls: int) -> Column:
-        s = share[cls]
-        if not _bounds_length(s):
-            count = length - _overlap(s, length, F.lit(1)) + F.lit(1)
-            return _keys(chars, first, count, cls, F.lit(0), F.lit(0))
-        longest = F.floor(length / F.lit(s - 1) + F.lit(_EPSILON)).cast("int")
-        lengths = F.filter(F.array(*map(F.lit, partners)).cast("array<int>"),
-                           lambda n: (n >= _least_partner(s, length)) & (n <= longest))
-        # A key names the name's length, then the entry's.
-        order = (lambda n: (length, n)) if side == "name" else (lambda n: (n, length))
-        return F.flatten(F.transform(lengths, lambda n: _keys(
-            chars, first, length - _overlap(s, length, n) + F.lit(1), cls, *order(n))))
 
-    return F.concat(of_class(_SAME_FIRST), of_class(_OTHER_FIRST))
+def _depth(length: int, other: int, need: int, rows: int, others: int, pairs: int, split_pairs: int) -> int:
+    """The length of a key for which its rows and the pairs expected to meet cost least."""
+    def cost(k: int) -> float:
+        mine, theirs = _choices(length, need, k), _choices(other, need, k)
+        meet = pairs * min(1.0, mine * theirs / math.comb(DRAWN_FROM, k))
+        return meet + split_pairs * (mine * rows + theirs * others)
 
+    deepest = min(need, MOST_CHARACTERS)
+    fit = [k for k in range(1, deepest + 1) if k == 1 or max(_choices(length, need, k), _choices(other, need, k)) <= MOST_KEYS]
+    return min(fit, key=cost)
 
-def _keyed(df: DataFrame, side: str, keys: Column, common: Commonness) -> DataFrame:
-    return (
-        df.withColumn(f"{side}_len", F.coalesce(F.length(f"{side}_key"), F.lit(0)))
-        .withColumn(f"{side}_chars", _characters(F.col(f"{side}_key"), common))
-        .withColumn(f"{side}_mask", _mask(F.col(f"{side}_chars"), common))
-        .withColumn(
-            f"{side}_taken",
-            F.size(f"{side}_chars") - F.bit_count(f"{side}_mask"),
-        )
-        .select(
-            f"{side}_key", f"{side}_len", f"{side}_mask", f"{side}_taken", f"{side}_chars",
-            F.inline(keys),
-        )
-    )
 
+def _by_start(df: DataFrame, key: str, suffix: str) -> DataFrame:
+    """For each class the number of names by their first characters and length."""
+    length = F.length(key)
+    return df.select(
+        F.explode(F.sequence(F.lit(0), F.least(F.lit(PREFIX_LENGTH), length))).alias("cls"), F.col(key).alias("key"),
+    ).groupBy("cls", F.expr("substring(key, 1, cls)").alias("head"), F.length("key").alias(f"len_{suffix}")).agg(
+        F.count("*").alias(f"n_{suffix}"))
 
-def _split_keys(probe: DataFrame, index: DataFrame, share: dict[int, float], limit: int) -> DataFrame | None:
-    """The keys under which more than `limit` pairs would meet, with the number of characters
-    they are split by: as many as all who meet under the key must share, which the lengths in
-    it tell, and MOST_CHARACTERS at most. None where there are none."""
-    fewest = F.lit(0)
-    for cls, s in share.items():
-        if _bounds_length(s):
-            fewest = F.when(F.col("cls") == cls, _overlap(s, F.col("len_name"), F.col("len_listed"))).otherwise(fewest)
-    counted = [side.where(fewest >= 2).groupBy(*_KEY).agg(F.count("*").alias(n)) for side, n in ((probe, "_n"), (index, "_m"))]
-    found = counted[0].join(counted[1], _KEY).where(F.col("_n") * F.col("_m") > limit).select(
-        *_KEY, F.least(fewest, F.lit(MOST_CHARACTERS)).alias("_depth"))
-    local = found.limit(LOCAL_SPLITS + 1).collect()
-    if not local:
-        return None
-    return probe.sparkSession.createDataFrame(local, found.schema) if len(local) <= LOCAL_SPLITS else found
-
-
-def _refined(keyed: DataFrame, side: str, split: DataFrame | None) -> DataFrame:
-    """Keys with `more`: empty, or one row for each way to go on from the first character of a
-    split key. `before` holds what comes before the last character of the key, the key's own
-    characters excepted."""
-    chars, at = F.col(f"{side}_chars"), F.col("at")
-    if split is None:
-        keyed = keyed.withColumn("_depth", F.lit(None).cast("int"))
-    else:
-        keyed = keyed.join(split, _KEY, "left")
-    rows = keyed.withColumn("_places", F.sequence(F.lit(1), F.greatest(F.size(chars), F.lit(1))))
-
-    def after(place: Column, extra: int) -> Column:
-        last = F.least(F.col("count") + extra, F.size(chars))
-        return F.slice(F.col("_places"), place + 1, F.greatest(last - place, F.lit(0)))
-
-    ways = F.array(F.array().cast("array<int>"))
-    grown = F.transform(after(at, 1), lambda p: F.array(p))
-    for depth in range(2, MOST_CHARACTERS + 1):
-        ways = F.when(F.col("_depth") == depth, grown).otherwise(ways)
-        grown = F.flatten(F.transform(grown, lambda way: F.transform(
-            after(F.element_at(way, -1), depth), lambda p: F.concat(way, F.array(p)))))
-    out = rows.withColumn("_way", F.explode(ways))
-    last = F.coalesce(F.try_element_at("_way", F.lit(-1)), at)
-    others = F.filter(F.slice(F.col("_places"), F.lit(1), last - 1), lambda p: (p != at) & ~F.array_contains("_way", p))
-    pick = lambda p: F.get(chars, p - 1)
-    return out.select(
-        *_KEY, F.concat_ws("\0", F.transform("_way", pick)).alias("more"),
-        f"{side}_key", f"{side}_len", f"{side}_mask", f"{side}_taken",
-        at.alias(f"{side}_at"), F.transform(others, pick).alias(f"{side}_before"))
-
-
-def _index_bytes(listed: DataFrame, share: dict[int, float], partners: int, split: bool) -> int:
-    """An upper bound on the size of the keyed list, from the lengths of its entries."""
-    length = F.length("listed_key")
-    rows = F.lit(0)
-    for s in share.values():
-        lengths = F.lit(1)
+
+def _cells(names: DataFrame, listed: DataFrame, threshold: float, split_pairs: int) -> tuple[list[Cell], float, float, int]:
+    """The cells whose pairs can reach the threshold; about how many key rows they make, how
+    many pairs meet, and the bytes of the keyed list. What is collected has a row for each class
+    and pair of lengths that occur together."""
+    share = _required_share(threshold)
+    demand = F.lit(0)
+    for cls, s in enumerate(share):
+        demand = F.when(F.col("cls") == cls, _overlap(s, F.col("len_name"), F.col("len_listed"))).otherwise(demand)
+    sides = _by_start(names, "name_key", "name").where("len_name > 0"), _by_start(listed, "listed_key", "listed").where("len_listed > 0")
+    found = (
+        sides[0].join(sides[1], ["cls", "head"])
+        .where(demand <= F.least("len_name", "len_listed"))
+        .groupBy("cls", "len_name", "len_listed")
+        .agg(*[F.sum(n).alias(n) for n in ("n_name", "n_listed")], F.sum(F.col("n_name") * F.col("n_listed")).alias("pairs"))
+        .collect()
+    )
+    cells, rows, pairs, size = [], 0.0, 0.0, 0.0
+    loose = set()
+    for r in found:
+        s, l, w = share[r["cls"]], r["len_name"], r["len_listed"]
         if _bounds_length(s):
-            lengths = F.least(F.ceil(length / F.lit(s - 1)) - _least_partner(s, length) + F.lit(2), F.lit(partners))
-        rows = rows + lengths * (length - _overlap(s, length, _least_partner(s, length)) + 1)
-    # A key row holds the entry, its key, and on average half the characters before it; a split
-    # key becomes as many rows as the name has triples of characters at most.
-    ways = F.greatest(F.pow(length, F.lit(3)) / F.lit(6), F.lit(1.0)) if split else F.lit(1.0)
-    size = F.sum(rows.cast("double") * (F.lit(96.0) + F.lit(8.0) * length) * ways)
-    return int(listed.agg(F.coalesce(size, F.lit(0.0))).first()[0])
+            need = _need(s, l, w)
+            k = _depth(l, w, need, r["n_name"], r["n_listed"], r["pairs"], split_pairs)
+            cells.append(Cell(r["cls"], l, w, need, k))
+            mine, theirs = _choices(l, need, k), _choices(w, need, k)
+        else:
+            # The least demanding partner decides how many keys there are.
+            loose.add(r["cls"])
+            k, mine, theirs = 1, l, w
+        rows += mine * r["n_name"] + theirs * r["n_listed"]
+        pairs += r["pairs"] * min(1.0, mine * theirs / math.comb(DRAWN_FROM, k))
+        size += theirs * r["n_listed"] * (96.0 + 4 * w)
+    cells += [Cell(cls, 0, 0, 1, 1) for cls in sorted(loose)]
+    return cells, rows, pairs, int(size)
+
+
+def key_maker(cells: list[Cell], side: str, share: list[float], common: Commonness):
+    """A function of three arrays (names, their characters, masks) to the keys of each, as
+    structs of a list: `cls_key`, a 64-bit hash of the cell, the leading characters and those of
+    the key; `need` of the cell; and `before`, the bits of a mask that belong to one character
+    alone and come before the last of the key, its own excepted."""
+    # Shipped by value, as the kernel of the similarity is: nothing below names this package.
+    own_letters, own_repeats, at_once = common.alphabet[:OWN_BITS], 2, 500_000
+
+    def hash_of(text: str) -> int:
+        return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+
+    plan: dict[int, list[tuple[int, int, int, int, int]]] = {}
+    # For a class that does not bound lengths, a partner of one character demands least.
+    loose: list[tuple[int, int, float]] = []
+    for c in cells:
+        cell = hash_of(f"{c.cls} {c.len_name} {c.len_listed}")
+        length = c.len_name if side == "name" else c.len_listed
+        if length:
+            plan.setdefault(length, []).append((c.cls, cell, c.need, c.depth, length - c.need + c.depth))
+        else:
+            loose.append((c.cls, cell, share[c.cls]))
+
+    def of_length(length: int):
+        for cls, cell, s in loose:
+            if length >= cls:
+                yield cls, cell, 1, 1, length + 1 - max(1, math.ceil(s * length / (length + 1) - 1e-9))
+        yield from plan.get(length, ())
+
+    def make(names: pa.Array, chars: pa.Array, masks: pa.Array) -> pa.Array:
+        coded = chars.values.slice(chars.offsets[0].as_py(), chars.offsets[-1].as_py() - chars.offsets[0].as_py()).dictionary_encode()
+        codes, offsets = coded.indices.to_numpy(zero_copy_only=False), np.asarray(chars.offsets) - chars.offsets[0].as_py()
+        known = coded.dictionary.to_pylist()
+        hashes = np.array([hash_of(c[3:]) for c in known], np.uint64)
+        own = np.array([
+            1 << (own_letters.index(c[3]) * own_repeats + int(c[4:]) - 1) if c[3] in own_letters and int(c[4:]) <= own_repeats else 0
+            for c in known], np.uint64)
+        lengths, texts, mask = np.diff(offsets), names.to_pylist(), masks.to_numpy().view(np.uint64)
+        parts = []
+        for length in np.unique(lengths):
+            of = list(of_length(int(length)))
+            most = max((math.comb(window, depth) for *_, depth, window in of), default=1)
+            every = np.flatnonzero(lengths == length)
+            step = max(1, at_once // most)
+            for at in range(0, len(every) if of else 0, step):
+                rows = every[at:at + step]
+                places = codes[offsets[rows][:, None] + np.arange(length)]
+                bits, mixed = own[places], hashes[places]
+                # The bits of all characters up to each place.
+                upto = np.bitwise_or.accumulate(bits, axis=1) & mask[rows][:, None]
+                for cls, cell, need, depth, window in of:
+                    ways = np.array(list(combinations(range(window), depth)), np.int64)
+                    head = np.array([hash_of(texts[r][:cls]) for r in rows], np.uint64) if cls else np.zeros(len(rows), np.uint64)
+                    key = np.zeros((len(rows), len(ways)), np.uint64)
+                    held = np.zeros_like(key)
+                    for j in range(depth):
+                        key += mixed[:, ways[:, j]]
+                        held |= bits[:, ways[:, j]]
+                    key += (head + np.uint64(cell))[:, None]
+                    key ^= key >> np.uint64(29)
+                    before = upto[:, ways[:, -1]] & ~held
+                    parts.append((np.repeat(rows, len(ways)), key.ravel(), np.full(key.size, need, np.int32), before.ravel()))
+        if not parts:
+            parts = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.uint64))]
+        row, key, need, before = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(row, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(lengths)))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+            [pa.array(key[order].view(np.int64)), pa.array(need[order]), pa.array(before[order].view(np.int64))], ["cls_key", "need", "before"]))
+
+    return make
+
+
+def _keyed(df: DataFrame, side: str, cells: list[Cell], share: list[float], common: Commonness, tasks: int) -> DataFrame:
+    """A row for each key of a name or entry. The names are dealt out evenly first, however few
+    files they came in."""
+    # Declared so that the optimizer neither repeats the call nor moves a part of it into the generator.
+    make = F.arrow_udf(
+        key_maker(cells, side, share, common), "array<struct<cls_key:bigint,need:int,before:bigint>>").asNondeterministic()
+    chars, mask = F.col(f"{side}_chars"), F.col(f"{side}_mask")
+    profiled = (
+        df.repartition(tasks).withColumn(f"{side}_chars", _characters(F.col(f"{side}_key"), common))
+        .withColumn(f"{side}_mask", _mask(chars, common))
+        .select(f"{side}_key", f"{side}_mask", (F.size(chars) - F.bit_count(mask)).alias(f"{side}_taken"), make(f"{side}_key", chars, mask).alias("keys"))
+    )
+    extra = ["need", "before"] if side == "listed" else []
+    return profiled.select(f"{side}_key", f"{side}_mask", f"{side}_taken", F.inline("keys")).select(
+        "cls_key", f"{side}_key", f"{side}_mask", f"{side}_taken", *extra)
+
+
+def _sides(
+    names: DataFrame, listed: DataFrame, threshold: float, broadcast_bytes: int, split_pairs: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their keys, dealt for the join."""
+    if threshold <= 0:
+        raise ValueError("the threshold must be positive: a score of 0 matches everything")
+    share = _required_share(threshold)
+    common = Commonness.measure(names.select("name_key"), listed.select("listed_key"))
+    cells, rows, pairs, size = _cells(names, listed, threshold, split_pairs)
+    spark = names.sparkSession
+    tasks = min(MOST_TASKS, max(spark.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS), math.ceil(pairs / TASK_PAIRS)))
+    probe = _keyed(names, "name", cells, share, common, tasks)
+    index = _keyed(listed, "listed", cells, share, common, max(1, min(tasks, math.ceil(size / 2**24))))
+    if size <= broadcast_bytes:
+        return probe, F.broadcast(index)
+    # The keys are dealt by the rows and pairs expected of them, not by their bytes.
+    return probe.repartition(tasks, "cls_key"), index.repartition(tasks, "cls_key").hint("shuffle_hash")
 
 
 def meetings(
@@ -295,22 +357,10 @@ def meetings(
     broadcast_bytes: int = BROADCAST_BYTES, split_pairs: int = SPLIT_PAIRS,
 ) -> DataFrame:
     """Names and entries that share a key: a row each time they meet. What is measured here
-    (commonness of characters, products of keys) is counted over all names and entries."""
-    if threshold <= 0:
-        raise ValueError("the threshold must be positive: a score of 0 matches everything")
-    share = _required_share(threshold)
-    common = Commonness.measure(names.select("name_key"), listed.select("listed_key"))
-    # One number for each length that occurs.
-    lengths = {side: [r[0] for r in df.select(F.length(key)).distinct().collect()]
-               for side, df, key in (("name", names, "name_key"), ("listed", listed, "listed_key"))}
-    probe = _keyed(names, "name", _side_keys("name", share, lengths["listed"]), common)
-    index = _keyed(listed, "listed", _side_keys("listed", share, lengths["name"]), common)
-    split = _split_keys(probe, index, share, split_pairs)
-    probe, index = _refined(probe, "name", split), _refined(index, "listed", split)
-    if _index_bytes(listed, share, len(lengths["name"]), split is not None) <= broadcast_bytes:
-        # The keys of the names are dealt out evenly, however few files the names came in.
-        probe, index = probe.hint("rebalance"), F.broadcast(index)
-    return probe.join(index, [*_KEY, "more"])
+    (commonness of characters, names by their start and length) is counted over all names and
+    entries."""
+    probe, index = _sides(names, listed, threshold, broadcast_bytes, split_pairs)
+    return probe.join(index, "cls_key")
 
 
 def candidate_pairs(
@@ -321,29 +371,30 @@ def candidate_pairs(
 
     `names` has distinct `name_key`, `listed` distinct `listed_key`.
     """
-    met = meetings(names, listed, threshold, broadcast_bytes, split_pairs)
-    share = _required_share(threshold)
-    name_len, listed_len = F.col("name_len"), F.col("listed_len")
-    same_first = F.col("cls") == _SAME_FIRST
-    need = F.when(same_first, _overlap(share[_SAME_FIRST], name_len, listed_len)).otherwise(
-        _overlap(share[_OTHER_FIRST], name_len, listed_len)
-    )
-    heads_differ = F.substring("name_key", 1, 1) != F.substring("listed_key", 1, 1)
+    probe, index = _sides(names, listed, threshold, broadcast_bytes, split_pairs)
     shared_at_most = F.bit_count(
         F.col("name_mask").bitwiseAND(F.col("listed_mask"))
     ) + F.least("name_taken", "listed_taken")
-    return (
-        # Keys of a class that does not bound lengths were laid out for any; this knows both.
-        met.filter(F.col("name_at") <= name_len - need + 1)
-        .filter(F.col("listed_at") <= listed_len - need + 1)
-        .filter(shared_at_most >= need)
-        # A pair with equal first characters meets in both classes and is kept in its own.
-        .filter(same_first | heads_differ)
-        # A pair may meet on several keys; it is kept on the first characters they share. Both
-        # arrays are in one order, so what is shared earlier comes before in both.
-        .filter(~F.arrays_overlap("name_before", "listed_before"))
-        .select("name_key", "listed_key")
-    )
+    # A pair may meet on several keys; where the masks tell that it shares an earlier character
+    # than those of a key, it meets on a key with that one too. Two names whose hashes of keys
+    # are equal by chance meet once more, and are told by the same conditions.
+    earlier = F.col("name_mask").bitwiseAND(F.col("before")) != 0
+    met = probe.join(index, "cls_key").where((shared_at_most >= F.col("need")) & ~earlier)
+    share = _required_share(threshold)
+    least = F.lit(1)
+    for cls, s in enumerate(share):
+        same = F.substring("name_key", 1, cls) == F.substring("listed_key", 1, cls)
+        least = F.when(same if cls else F.lit(True), _overlap(s, F.length("name_key"), F.length("listed_key"))).otherwise(least)
+    # The exact demand of each pair, by its own lengths and start. What passes on several keys
+    # for the sake of characters that share a bit is kept once.
+    return met.where(shared_at_most >= least).select("name_key", "listed_key").distinct()
+
+
+def _staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Written once and read by each of the measurements and the join."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def best_matches(
@@ -355,13 +406,13 @@ def best_matches(
     Equal scores go to the lowest entity id. List entries that differ only in case share a
     key, and the lowest id among them stands for it.
     """
-    entries = (
+    entries = _staged(
         watchlist.withColumn("listed_key", F.lower("name"))
         .filter(F.col("listed_key") != "")
         .groupBy("listed_key")
-        .agg(F.min(F.struct("entity_id", "program")).alias("entry"))
+        .agg(F.min(F.struct("entity_id", "program")).alias("entry")), "listed",
     )
-    pairs = candidate_pairs(names, entries.select("listed_key"), threshold, broadcast_bytes)
+    pairs = candidate_pairs(_staged(names, "names"), entries.select("listed_key"), threshold, broadcast_bytes)
     scored = score_pairs(pairs, "name_key", "listed_key", threshold)
     return (
         scored.join(entries, "listed_key")

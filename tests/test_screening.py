@@ -165,3 +165,12 @@ def test_few_of_a_hundred_thousand_by_ten_thousand_names_meet(spark):
     names, listed = made(100_000, "n").toDF("name_key"), made(10_000, "l").toDF("listed_key")
     share = meetings(names, listed).count() / (names.count() * listed.count())
     assert share <= 0.02, share
+
+
+def test_a_pair_needs_the_characters_its_own_start_demands(spark):
+    """14 of 16 and 19 characters are enough for four common leading ones, not for one."""
+    listed, name = "abcdefghijklmnop", "acbdefghijklmn12345"
+    frames = [spark.createDataFrame([(n,)], f"{side}_key string") for n, side in ((name, "name"), (listed, "listed"))]
+    assert plain(name, listed) < 0.9 and candidate_pairs(*frames).count() == 0
+    close = spark.createDataFrame([("abcdgefhijklmn12345",)], "name_key string")
+    assert candidate_pairs(close, frames[1], 0.9).count() == 1
