@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import csv
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 from typing import Any
 
@@ -14,6 +15,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ledgerlens.functions.dates import as_date
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+# Files a task holds open while it writes partitions; rows of further ones are sorted.
+OPEN_FILES = 8
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -97,6 +100,22 @@ def read_partition(
     return spark.read.parquet(root).filter(F.col(column) == as_date(on))
 
 
+@contextmanager
+def _streaming_writers(spark: SparkSession) -> Iterator[None]:
+    """A task writes the rows of up to OPEN_FILES partitions as they come. By default it sorts
+    all its rows by partition first, which holds them in memory."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_partitions(
     df: DataFrame, root: str, *columns: str, rebalance: bool = False
 ) -> None:
@@ -109,12 +128,13 @@ def write_partitions(
     """
     if rebalance:
         df = df.hint("rebalance", *columns)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(root)
-    )
+    with _streaming_writers(df.sparkSession):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*columns)
+            .parquet(root)
+        )
 
 
 def replace_partition(
@@ -204,7 +224,8 @@ def compact(
             .repartition(before["writers"], *columns, "_writer")
             .drop("_writer")
         )
-        spread.write.partitionBy(*columns).parquet(out)
+        with _streaming_writers(spark):
+            spread.write.partitionBy(*columns).parquet(out)
     else:
         wanted = max(1, math.ceil(before["bytes"] / target_bytes))
         data.repartition(wanted).write.parquet(out)

@@ -225,3 +225,19 @@ def test_fingerprints_see_where_a_null_stands(spark):
     one, other = ([tuple(r) for r in spark.createDataFrame([row], schema).agg(*fingerprint(["a", "b"])).collect()]
                   for row in ((None, "x"), ("x", None)))
     assert one != other
+
+
+def test_partitions_are_written_without_a_sort_of_the_rows(spark, root, monkeypatch):
+    """A sort holds all rows of a task: the more, the larger a table's files are."""
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(key)
+    from pyspark.sql import DataFrameWriter
+
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(key)), write(self, *a, **k))[1])
+    rows = spark.range(100).selectExpr("id", "id % 12 as part")
+    files.write_partitions(rows, f"{root}/loose", "part")
+    files.compact(spark, f"{root}/loose", f"{root}/few", ["part"])
+    assert [int(n) for n in seen] == [files.OPEN_FILES] * 2 and spark.conf.get(key) == before
+    # Also where a task meets more partitions than it holds open.
+    assert sorted(map(tuple, spark.read.parquet(f"{root}/few").collect())) == sorted((i, i % 12) for i in range(100))
