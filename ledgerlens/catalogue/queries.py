@@ -628,13 +628,15 @@ def _balances(stored: DataFrame) -> DataFrame:
 @query
 def landed_partitions(spark, sf):
     """What is stored after a landing resumes: October was missing, December had fewer rows."""
-    root, source = scratch_path(spark, "landing"), views.silver_months(spark, sf)
-    month = F.col("snapshot_date")
-    earlier = source.filter(month != F.lit("1998-10-31").cast("date")).filter(
-        (month != F.lit(REPORTING_DATE).cast("date")) | (F.col("status") == "performing")
-    )
-    landing.land(spark, earlier, root)
-    landing.land(spark, source, root)
+    root, month = scratch_path(spark, "landing"), F.col("snapshot_date")
+    with landing.staged(
+        views.silver_months(spark, sf), scratch_path(spark, "landing-source")
+    ) as source:
+        earlier = source.filter(month != F.lit("1998-10-31").cast("date")).filter(
+            (month != F.lit(REPORTING_DATE).cast("date")) | (F.col("status") == "performing")
+        )
+        landing.land(spark, earlier, root)
+        landing.land(spark, source, root)
     return _balances(spark.read.parquet(root))
 
 

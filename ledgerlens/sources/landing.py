@@ -7,6 +7,9 @@ an append without a look at the rows before it, and a rerun without change reads
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -63,6 +66,22 @@ def landing_plan(
     return compared(fingerprints(source, partition), theirs, partition, force)
 
 
+@contextmanager
+def staged(source: DataFrame, path: str, partition: str = "snapshot_date") -> Iterator[DataFrame]:
+    """The source stored for the landings made from it, then removed.
+
+    A landing reads its source twice, for the fingerprints and for the partitions that differ.
+    One that takes work to make is made once here, and what lands is what was compared.
+    """
+    try:
+        write_partitions(source, path, partition)
+        # Declared, because text that looks like a date would be read as one.
+        stored = source.sparkSession.read.schema(source.schema).parquet(path)
+        yield stored.select(*source.columns)
+    finally:
+        remove(source.sparkSession, path)
+
+
 def _landed(spark: SparkSession, root: str, partition: str, schema: StructType) -> DataFrame | None:
     """The fingerprints of what is stored. Two listings tell which partitions the manifest
     has; the others, landed before there was one, are read and noted in it."""
@@ -83,6 +102,7 @@ def land(
 ) -> DataFrame:
     """Land the partitions that differ; returns what was (or would be) done to each.
 
+    The source is read twice; `staged` keeps one that takes work to make.
     The fingerprints of the source have one row per partition. Those of partitions about to be
     replaced leave the manifest before their rows change, and come back after: a landing that
     breaks off in between is done again.

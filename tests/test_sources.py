@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ledgerlens.catalogue import views
+from ledgerlens.catalogue.queries import REGISTRY
 from ledgerlens.functions.keys import fingerprint
 from ledgerlens.operators.loans import raw_schema
 from ledgerlens.sources import files, landing, tables
@@ -213,6 +215,39 @@ def test_a_landing_without_change_reads_no_landed_row(spark, root):
     assert states == {"2018-10-31": "present", "2018-11-30": "new"}
 
 
+def test_landings_from_a_staged_source_make_its_rows_once(spark, root, monkeypatch):
+    made, months = spark.sparkContext.accumulator(0), views.silver_months
+
+    def counted(spark, sf):
+        rows = months(spark, sf)
+
+        def run(batches):
+            for b in batches:
+                made.add(b.num_rows)
+                yield b
+
+        return rows.mapInArrow(run, rows.schema)
+
+    monkeypatch.setattr(views, "silver_months", counted)
+    stored = REGISTRY["landed_partitions"](spark, "/root/testdata/sf0.001").collect()
+    assert made.value == sum(r["row_count"] for r in stored) > 0
+
+
+def test_a_staged_source_has_its_rows_and_types(spark, root):
+    rows = book(spark, ("2018-10-31", "a", 1), ("2018-10-31", "a", 1), ("2018-11-30", "b", 2))
+    # Text stays text, also where it looks like a date; nulls stay.
+    odd = rows.select("amount", F.col("snapshot_date").cast("string"), F.nullif("exposure_id", F.lit("b")).alias("id"))
+    for source in (rows, odd, rows.filter("false")):
+        want = sorted(map(repr, source.collect()))
+        with landing.staged(source, f"{root}/staged") as kept:
+            assert [(f.name, f.dataType) for f in kept.schema] == [(f.name, f.dataType) for f in source.schema]
+            assert sorted(map(repr, kept.collect())) == want
+        assert not files.exists(spark, f"{root}/staged")
+    with pytest.raises(RuntimeError, match="stop"), landing.staged(rows, f"{root}/staged"):
+        raise RuntimeError("stop")
+    assert not files.exists(spark, f"{root}/staged")
+
+
 def test_fingerprints_of_parts_add_up(spark):
     rows = book(spark, *[("2018-10-31", "a", i) for i in range(9)], ("2018-11-30", "b", 1))
     parts = [landing.fingerprints(rows.where(F.col("amount") % 3 == k), "snapshot_date") for k in range(3)]
