@@ -20,12 +20,18 @@ Whoever must share m characters also shares the k rarest of them, and those lie
 first l - m + k of one name and the first w - m + k of the other. A key is one choice of k
 characters from these. Longer keys are more rows, and let fewer pairs meet; k is chosen for
 each class and pair of lengths, so that both grow with the names far slower than their pairs.
+
+A list whose keys are small is broadcast with them. Else the keys of all names are never stored:
+both sides are dealt in blocks, each block of names meets each block of the list in one task, and
+the keys are made there (`functions/name_pairs.py`). What is shuffled is each name once for each
+block of the list, and each entry once for each block of names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -34,10 +40,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.session import scratch_path
+from ledgerlens.functions.name_pairs import close_pairs_kernel
 from ledgerlens.functions.similarity import PREFIX_LENGTH, PREFIX_SCALE, score_pairs
 
 THRESHOLD = 0.90
-# The keyed list is broadcast up to this size and joined by shuffle beyond it.
+# The keyed list is broadcast up to this size; beyond it both sides are dealt in blocks.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # How many pairs may meet for each row of keys before longer keys are worth their further rows,
 # how many characters a key has at most, and from how many different ones, as good as, names draw.
@@ -46,6 +53,9 @@ SPLIT_PAIRS, MOST_CHARACTERS, DRAWN_FROM = 10, 6, 32
 MOST_KEYS = 1_000
 # Rows of keys and pairs that meet, by their estimate, in one task of the join; most tasks.
 TASK_ROWS, TASK_PAIRS, MOST_TASKS = 300_000, 30_000_000, 20_000
+# Names and characters of them in a block, about; fewest pairs for which a block is split so that
+# all cores have some; pairs in an Arrow batch.
+BLOCK_NAMES, BLOCK_CHARACTERS, SPLIT_BLOCK, BATCH_PAIRS = 50_000, 2_000_000, 50_000_000, 50_000
 # Characters whose commonness is measured; all others count as rarest.
 ALPHABET, REPEATS = 64, 3
 # Of those, the characters with two bits of their own in a mask.
@@ -333,12 +343,16 @@ def _keyed(df: DataFrame, side: str, cells: list[Cell], share: list[float], comm
         "cls_key", f"{side}_key", f"{side}_mask", f"{side}_taken", *extra)
 
 
-def _sides(
-    names: DataFrame, listed: DataFrame, threshold: float, broadcast_bytes: int, split_pairs: int,
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides with their keys, dealt for the join."""
+def _positive(threshold: float) -> None:
     if threshold <= 0:
         raise ValueError("the threshold must be positive: a score of 0 matches everything")
+
+
+def _sides(
+    names: DataFrame, listed: DataFrame, threshold: float, broadcast_bytes: int, split_pairs: int,
+) -> tuple[DataFrame, DataFrame, int]:
+    """Both sides with their keys, dealt for the join, and the bytes of the keyed list."""
+    _positive(threshold)
     share = _required_share(threshold)
     common = Commonness.measure(names.select("name_key"), listed.select("listed_key"))
     cells, rows, pairs, size = _cells(names, listed, threshold, split_pairs)
@@ -347,9 +361,9 @@ def _sides(
     probe = _keyed(names, "name", cells, share, common, tasks)
     index = _keyed(listed, "listed", cells, share, common, max(1, min(tasks, math.ceil(size / 2**24))))
     if size <= broadcast_bytes:
-        return probe, F.broadcast(index)
+        return probe, F.broadcast(index), size
     # The keys are dealt by the rows and pairs expected of them, not by their bytes.
-    return probe.repartition(tasks, "cls_key"), index.repartition(tasks, "cls_key").hint("shuffle_hash")
+    return probe.repartition(tasks, "cls_key"), index.repartition(tasks, "cls_key").hint("shuffle_hash"), size
 
 
 def meetings(
@@ -359,10 +373,66 @@ def meetings(
     """Names and entries that share a key: a row each time they meet. What is measured here
     (commonness of characters, names by their start and length) is counted over all names and
     entries."""
-    probe, index = _sides(names, listed, threshold, broadcast_bytes, split_pairs)
+    probe, index, _ = _sides(names, listed, threshold, broadcast_bytes, split_pairs)
     return probe.join(index, "cls_key")
 
 
+def _grid(names: tuple[int, int], listed: tuple[int, int], cores: int) -> tuple[int, int]:
+    """Into how many blocks each side is dealt, by its names and characters."""
+    parts = [max(1, math.ceil(n / BLOCK_NAMES), math.ceil(chars / BLOCK_CHARACTERS)) for n, chars in (names, listed)]
+    while parts[0] * parts[1] < 3 * cores:
+        sizes = names[0] / parts[0], listed[0] / parts[1]
+        if sizes[0] * sizes[1] <= SPLIT_BLOCK:
+            break
+        parts[0 if sizes[0] >= sizes[1] else 1] *= 2
+    return parts[0], parts[1]
+
+
+def _block_pairs(names: DataFrame, listed: DataFrame, threshold: float, split_pairs: int) -> DataFrame:
+    """The candidate pairs, found by joining each block of names with each block of the list.
+
+    Only the names and entries are shuffled, once for each block of the other side; their keys
+    live in the memory of a task. What a task holds is bounded by the size of its blocks, also
+    where all names are alike.
+    """
+    spark = names.sparkSession
+
+    def counted(df: DataFrame) -> tuple[int, int]:
+        return tuple(df.agg(F.count("*"), F.coalesce(F.sum(F.length(df.columns[0])), F.lit(0))).first())
+
+    names, listed = names.select("name_key"), listed.select("listed_key")
+    n_names, n_listed = _grid(counted(names), counted(listed), spark.sparkContext.defaultParallelism)
+
+    def dealt(df: DataFrame, named: bool, parts: int, others: int) -> DataFrame:
+        part = F.pmod(F.xxhash64(df.columns[0]), F.lit(parts))
+        other = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
+        return df.select(F.col(df.columns[0]).alias("key"), part.alias("part"), other.alias("other")).select(
+            (F.col("part") * F.lit(others) + F.col("other") if named else F.col("other") * F.lit(parts) + F.col("part")).cast("int").alias("cell"),
+            F.lit(named).alias("named"), "key")
+
+    kernel, at_once = close_pairs_kernel(threshold, split_pairs), BATCH_PAIRS
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        sides: tuple[list, list] = [], []
+        for batch in batches:
+            keys, named = batch.column("key"), batch.column("named")
+            sides[0].append(keys.filter(named))
+            sides[1].append(keys.filter(pc.invert(named)))
+        left, right = (pa.concat_arrays(side) for side in sides)
+        for i, j in kernel(left.to_pylist(), right.to_pylist()):
+            for at in range(0, len(i), at_once):
+                yield pa.RecordBatch.from_arrays(
+                    [left.take(pa.array(i[at:at + at_once])), right.take(pa.array(j[at:at + at_once]))],
+                    names=["name_key", "listed_key"])
+
+    cells = dealt(names, True, n_names, n_listed).unionByName(dealt(listed, False, n_listed, n_names))
+    # Each cell is a task, up to the most tasks.
+    return cells.repartitionById(min(MOST_TASKS, n_names * n_listed), F.col("cell")).groupBy("cell").applyInArrow(
+        close, "name_key string, listed_key string")
+
+
 def candidate_pairs(
     names: DataFrame, listed: DataFrame, threshold: float = THRESHOLD,
     broadcast_bytes: int = BROADCAST_BYTES, split_pairs: int = SPLIT_PAIRS,
@@ -371,7 +441,12 @@ def candidate_pairs(
 
     `names` has distinct `name_key`, `listed` distinct `listed_key`.
     """
-    probe, index = _sides(names, listed, threshold, broadcast_bytes, split_pairs)
+    _positive(threshold)
+    if broadcast_bytes <= 0:
+        return _block_pairs(names, listed, threshold, split_pairs)
+    probe, index, size = _sides(names, listed, threshold, broadcast_bytes, split_pairs)
+    if size > broadcast_bytes:
+        return _block_pairs(names, listed, threshold, split_pairs)
     shared_at_most = F.bit_count(
         F.col("name_mask").bitwiseAND(F.col("listed_mask"))
     ) + F.least("name_taken", "listed_taken")

@@ -7,7 +7,9 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.name_pairs import close_pairs_kernel
 from ledgerlens.functions.similarity import jaro_winkler_kernel
+from ledgerlens.operators import screening
 from ledgerlens.operators.screening import Commonness, _characters, candidate_pairs, meetings, screen, top_hits
 
 KERNEL = jaro_winkler_kernel()
@@ -174,3 +176,72 @@ def test_a_pair_needs_the_characters_its_own_start_demands(spark):
     assert plain(name, listed) < 0.9 and candidate_pairs(*frames).count() == 0
     close = spark.createDataFrame([("abcdgefhijklmn12345",)], "name_key string")
     assert candidate_pairs(close, frames[1], 0.9).count() == 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sampled_from(["ab", "abcdefgh", "abcé 漢😀"]).flatmap(lambda letters: st.tuples(*[
+           st.lists(st.text(letters, max_size=20), max_size=40, unique=True)] * 2)),
+       st.sampled_from([0.97, 0.85, 0.7, 0.45]), st.sampled_from([0, 1, 10]))
+def test_the_pairs_of_two_blocks_are_those_that_reach_the_threshold(sides, threshold, split):
+    found = [(sides[0][i], sides[1][j]) for i, j in block_pairs(threshold, split, *sides)]
+    assert len(found) == len(set(found))
+    every = [(a, b) for a in sides[0] for b in sides[1]]
+    scores = dict(zip(every, KERNEL([a for a, _ in every], [b for _, b in every])))
+    assert {p for p, s in scores.items() if s >= threshold} <= set(found)
+    assert all(scores[p] >= threshold - 1e-6 for p in found)
+
+
+def block_pairs(threshold, split, left, right, tally=None):
+    for i, j in close_pairs_kernel(threshold, split, tally)(left, right):
+        yield from zip(i.tolist(), j.tolist())
+
+
+def test_few_of_two_blocks_of_made_up_names_meet():
+    rng = random.Random(3)
+    made = sorted({" ".join("".join(rng.choices("eeeeaaatttiinnooossrrhhlldducmfpgwybvk", k=k)) for k in (7, 8)) for _ in range(12_000)})
+    rng.shuffle(made)
+    met = {}
+    list(block_pairs(0.9, 10, made[:8_000], made[8_000:], met))
+    assert 0 < met["met"] <= 0.05 * 8_000 * (len(made) - 8_000), met
+
+
+def test_long_names_are_told_by_the_characters_they_share():
+    rng = random.Random(9)
+    base = ["".join(rng.choices("abcdefghijklmnop", k=k)) for k in (250, 290, 330) for _ in range(4)]
+    left, right = ([t[:p] + end + t[p + 5:] for t in base for p in (30, 200)] for end in ("", "qrstu"))
+    found = set(block_pairs(0.85, 10, left, right))
+    every = [(i, j) for i in range(len(left)) for j in range(len(right))]
+    scores = KERNEL([left[i] for i, _ in every], [right[j] for _, j in every])
+    wanted = {p for p, s in zip(every, scores) if s >= 0.85}
+    assert len(wanted) >= 24 and wanted <= found
+
+
+def test_names_that_are_all_alike_come_in_parts():
+    left, right = ([f"customer {k:07d}{end}" for k in range(2_000)] for end in ("", "x"))
+    sizes = [len(i) for i, _ in close_pairs_kernel(0.85, 10)(left, right)]
+    assert sum(sizes) == 4_000_000 and max(sizes) <= 1_100_000
+
+
+def test_the_names_are_shuffled_and_not_their_keys(spark, monkeypatch):
+    """Disk grows with the names times the blocks of the list, not with the keys of each name."""
+    monkeypatch.setattr(screening, "BLOCK_NAMES", 100)
+    left, right = names(1, 250), names(2, 120)
+    pairs = candidate_pairs(
+        spark.createDataFrame([(n,) for n in left], "name_key string"),
+        spark.createDataFrame([(n,) for n in right], "listed_key string"), 0.85, 0)
+    found = {tuple(r) for r in pairs.collect()}
+    every = [(a, b) for a in left for b in right]
+    assert found >= {p for p, s in zip(every, KERNEL([a for a, _ in every], [b for _, b in every])) if s >= 0.85}
+
+    def records(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return records(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return records(node.plan())
+        metric = node.metrics().get("shuffleRecordsWritten")
+        own = metric.get().value() if metric.isDefined() else 0
+        return own + sum(records(node.children().apply(k)) for k in range(node.children().size()))
+
+    # 3 blocks by 2 blocks.
+    assert records(pairs._jdf.queryExecution().executedPlan()) == 2 * len(left) + 3 * len(right)
