@@ -59,9 +59,11 @@ def close_pairs_kernel(threshold: float, split_pairs: int, tally: dict | None =
         of = rows * letters + chars
         order = np.argsort(of, kind="stable")
         new = np.flatnonzero(np.diff(of[order], prepend=-1))
-        repeat = np.empty(len(of), np.int64)
-        repeat[order] = np.arange(len(of)) - np.repeat(new, np.diff(np.append(new, len(of))))
+        del of
+        repeat = np.empty(len(chars), np.int64)
+        repeat[order] = np.arange(len(chars)) - np.repeat(new, np.diff(np.append(new, len(chars))))
         _, element = np.unique(chars * (int(repeat.max()) + 1) + repeat, return_inverse=True)
+        del order, new, repeat
         kinds, cut = int(element.max()) + 1, int(lengths[:n_left].sum())
         held = np.bincount(element[:cut], minlength=kinds) * np.bincount(element[cut:], minlength=kinds)
         # First what one of the blocks lacks, which nobody shares, then the rarest.
@@ -70,6 +72,7 @@ def close_pairs_kernel(threshold: float, split_pairs: int, tally: dict | None =
         lacking = int((held == 0).sum())
         elements = np.sort(rows * kinds + rank[element]) - rows * kinds
         shared = np.bincount(rows[elements >= lacking], minlength=len(texts))
+        del element, rows
         # The most common elements have a bit of their own in a mask, the others share some.
         place = kinds - 1 - np.arange(kinds)
         own = 64 if kinds - lacking <= 64 else 56
@@ -86,7 +89,7 @@ def close_pairs_kernel(threshold: float, split_pairs: int, tally: dict | None =
         narrow = np.uint8 if letters <= 256 else np.uint16 if letters <= 65536 else np.uint32
         return {
             "lengths": lengths, "shared": shared, "starts": starts, "first": starts + lengths - shared,
-            "chars": chars.astype(narrow), "elements": elements, "mix": mixed(np.arange(kinds)),
+            "chars": chars.astype(narrow), "elements": elements.astype(np.int32), "mix": mixed(np.arange(kinds)),
             "own": np.where(place < own, bits, np.uint64(0)), "masks": masks,
             "taken": (shared - np.bitwise_count(masks)).astype(np.int32), "heads": heads,
         }
@@ -204,18 +207,25 @@ def close_pairs_kernel(threshold: float, split_pairs: int, tally: dict | None =
         window_left, window_right = int(block["shared"][mine[0]]) - need, int(block["shared"][theirs[0]]) - need
         depth = depth_of(need, window_left, window_right, len(mine), len(theirs), pairs)
         keys, before = keys_of(block, theirs, window_right + depth, depth, heads[cls][theirs], depth > 0)
-        size = min(24, max(4, (2 * keys.size).bit_length()))
+        size = min(24, max(4, keys.size.bit_length()))
         shift, odd = np.uint64(64 - size), np.uint64(0x9E3779B97F4A7C15)
-        bucket = (keys * odd >> shift).ravel()
-        starts = np.zeros((1 << size) + 1, np.int64)
-        np.cumsum(np.bincount(bucket.view(np.int64), minlength=1 << size), out=starts[1:])
-        order = (np.sort((bucket << np.uint64(32)) | np.arange(keys.size, dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        keys *= odd
+        keys >>= shift
+        keys = keys.ravel()
+        starts = np.zeros((1 << size) + 1, np.int32)
+        np.cumsum(np.bincount(keys.view(np.int64), minlength=1 << size), out=starts[1:])
+        filled = starts[1:] > starts[:-1]
+        # Sorted by bucket, with the place of each in the lower half.
+        keys <<= np.uint64(32)
+        keys |= np.arange(keys.size, dtype=np.uint64)
+        keys.sort()
+        order = (keys & np.uint64(0xFFFFFFFF)).view(np.int64)
+        del keys
         listed = theirs[order % len(theirs)]
         listed_masks = masks[listed]
         if depth:
             before = before.ravel()[order]
-        filled = np.diff(starts) > 0
-        del keys, bucket, order
+        del order
         ways = math.comb(window_left + depth, depth)
         step = max(1, keys_at_once // ways)
         for at in range(0, len(mine), step):
@@ -225,7 +235,8 @@ def close_pairs_kernel(threshold: float, split_pairs: int, tally: dict | None =
             bucket = (keys * odd >> shift).ravel().view(np.int64)
             some = np.flatnonzero(filled[bucket])
             bucket, name = bucket[some], some % len(rows)
-            first, times = starts[bucket], starts[bucket + 1] - starts[bucket]
+            first = starts[bucket].astype(np.int64)
+            times = starts[bucket + 1] - first
             each = np.bincount(name, weights=times, minlength=len(rows)).astype(np.int64)
             # Who would meet more than there are is compared with each once.
             wide = each > len(theirs)
